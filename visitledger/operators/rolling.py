@@ -17,7 +17,7 @@ def rolling_active_users(
     day: str = "event_date",
     windows: tuple[int, ...] = WINDOW_DAYS,
     sums: tuple[str, ...] = (),
-    until: dt.date | None = None,
+    until: dt.date | Column | None = None,
 ) -> DataFrame:
     """Exact users active in the last N days ending on each day, per key, for several N in one pass.
 
@@ -29,8 +29,9 @@ def rolling_active_users(
     Shuffles: user-days (combined on the map side, so a hot user collapses to at most one row per day and task),
     user runs, change points, and the running sum. No window ever holds more than one row per calendar day.
 
-    Returns key, day, ``users_<N>d`` and the additive ``sums`` of the day, for all days up to ``until`` (the last
-    active day when not given) on which any of the windows is not empty.
+    Returns key, day, ``users_<N>d`` and the additive ``sums`` of the day, for all days up to ``until`` on which any
+    of the windows is not empty. ``until`` is a date or a scalar column; when it is not given the last active day is
+    found with a second pass over ``activity``.
     """
     daily = activity.groupBy(*keys, user, day).agg(*[F.sum(c).alias(c) for c in sums])
     by_user = Window.partitionBy(*keys, user).orderBy(day)
@@ -65,7 +66,7 @@ def rolling_active_users(
     changes = points.groupBy(*keys, "_at").agg(*[F.sum(c).alias(c) for c in [*names, *sums]])
 
     by_key = Window.partitionBy(*keys).orderBy("_at") if keys else Window.partitionBy(F.lit(0)).orderBy("_at")
-    last = F.lit(until) if until else activity.agg(F.max(day)).scalar()
+    last = _last_day(activity, day, until)
     levels = changes.select(
         *keys, "_at", *sums,
         *[F.sum(c).over(by_key).alias(c) for c in names],
@@ -84,7 +85,7 @@ def rolling_active_users_sketch(
     user: str = "user_id",
     day: str = "event_date",
     windows: tuple[int, ...] = WINDOW_DAYS,
-    until: dt.date | None = None,
+    until: dt.date | Column | None = None,
 ) -> DataFrame:
     """Estimate of :func:`rolling_active_users` from one small sketch per key and day.
 
@@ -92,7 +93,7 @@ def rolling_active_users_sketch(
     aggregation depends on keys and days alone.
     """
     daily = activity.groupBy(*keys, day).agg(F.hll_sketch_agg(user).alias("_sketch"))
-    last = F.lit(until) if until else activity.agg(F.max(day)).scalar()
+    last = _last_day(activity, day, until)
     widest = max(windows)
     spread = daily.select(
         *keys, F.col(day).alias("_seen"), "_sketch",
@@ -106,6 +107,12 @@ def rolling_active_users_sketch(
     ])
 
 
+def _last_day(activity: DataFrame, day: str, until: dt.date | Column | None) -> Column:
+    if until is None:
+        return activity.agg(F.max(day)).scalar()
+    return until if isinstance(until, Column) else F.lit(until)
+
+
 def rolling_sums(
     df: DataFrame, keys: list[str], sums: dict[int, dict[str, str]], day: str = "event_date"
 ) -> DataFrame:

@@ -22,8 +22,9 @@ def append_snapshot(
     """Store one extraction: a snapshot per day, rows kept flat with values exactly as delivered.
 
     A day is a folder of rows, not one cell holding the whole day, so no task ever has to assemble a day. The
-    number of rows per day goes to the snapshot log after the rows are written; a crash in between leaves rows no
-    log entry points to, which nothing reads.
+    snapshot id is part of the folder, so earlier snapshots are never touched and repeating an interrupted append
+    under the same id overwrites only itself. The number of rows per day goes to the snapshot log last; until then
+    nothing reads the rows.
     """
     sid = snapshot_id or uuid.uuid4().hex
     rows = records.select(
@@ -33,7 +34,9 @@ def append_snapshot(
         F.lit(sid).alias("snapshot_id"),
     )
     slot = F.pmod(F.xxhash64(*[f"`{c}`" for c in feed.fields]), F.lit(DAY_SLOTS))
-    wh.append(rows.repartition("event_date", slot), "bronze", feed.name, partitions=("event_date", "snapshot_id"))
+    rows.repartition("event_date", slot).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "event_date", "snapshot_id"
+    ).parquet(wh.path("bronze", feed.name))
     stored = wh.bronze(feed).where(F.col("snapshot_id") == sid)
     log = stored.groupBy("event_date", "snapshot_id", "data_extracao").agg(F.count("*").alias("linhas")).select(
         F.lit(feed.name).alias("relatorio"), "event_date", "snapshot_id", "linhas", "data_extracao"

@@ -28,12 +28,12 @@ def stream_landed(
 
     def on_batch(batch: DataFrame, number: int) -> None:
         sid = f"stream-{number:012d}"
-        done = wh.snapshots().where((F.col("relatorio") == feed.name) & (F.col("snapshot_id") == sid))
-        if done.isEmpty():
+        mine = (F.col("relatorio") == feed.name) & (F.col("snapshot_id") == sid)
+        if wh.snapshots().where(mine).isEmpty():
             records, _ = landed.flatten(batch, feed)
             at = now()
             bronze.append_snapshot(wh, feed, records, at, sid)
-            span = done.agg(F.min("event_date"), F.max("event_date"), F.count("*"), F.sum("linhas")).first()
+            span = wh.snapshots().where(mine).agg(F.min("event_date"), F.max("event_date"), F.count("*"), F.sum("linhas")).first()
             if span[2]:
                 bronze.register_load(wh, wh.spark, feed.name, "incremental", *span, at)
         refresh_silver(wh, feed, settings)
