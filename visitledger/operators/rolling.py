@@ -33,7 +33,11 @@ def rolling_active_users(
     of the windows is not empty. ``until`` is a date or a scalar column; when it is not given the last active day is
     found with a second pass over ``activity``.
     """
-    daily = activity.groupBy(*keys, user, day).agg(*[F.sum(c).alias(c) for c in sums])
+    user_day = [*keys, user, day]
+    daily = (
+        activity.groupBy(*user_day).agg(*[F.sum(c).alias(c) for c in sums]) if sums
+        else activity.select(*user_day).distinct()
+    )
     by_user = Window.partitionBy(*keys, user).orderBy(day)
     runs = daily.select(
         *keys, day, *sums,

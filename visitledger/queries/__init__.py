@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("views",)
+_MODULES = ("views", "reports", "functions", "star")
 
 
 def load_all():
