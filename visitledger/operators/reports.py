@@ -44,20 +44,52 @@ def all_of(*predicates: Column) -> Column:
 
 # ---- metrics -------------------------------------------------------------------------------------------------------
 
-def metric(name: str, cols: EventColumns, approximate_users: bool = False) -> Column:
-    """Aggregate of one named metric. User counts may be estimated, as the report service itself does."""
-    distinct_users = F.approx_count_distinct if approximate_users else F.count_distinct
-    sessions = F.count_distinct(F.col(cols.session))
-    engaged = F.count_distinct(F.when(F.col(cols.engaged), F.col(cols.session)))
+_SESSION_METRICS = {"sessions", "engagedSessions", "engagementRate"}
+
+
+def _exact(rows: DataFrame, dims: list[str], metrics: tuple[str, ...], c: EventColumns) -> DataFrame:
+    """Counts by levels: sessions, then users, then the dimensions.
+
+    Several distinct counts in one aggregation would make Spark expand every row once per count. A session belongs
+    to one user, so plain aggregations in this order give the same numbers, each combined on the map side.
+    """
+    rows = rows.withColumn("_n", F.lit(1).cast("bigint"))
+    seconds = F.sum(c.seconds).alias(c.seconds) if "userEngagementDuration" in metrics else None
+    kept = [seconds] if seconds is not None else []
+    if _SESSION_METRICS & set(metrics):
+        rows = rows.groupBy(*dims, c.user, c.session).agg(
+            F.sum("_n").alias("_n"), F.bool_or(c.engaged).alias("_e"), *kept
+        ).select(
+            "*", F.when(F.col(c.session).isNotNull(), 1).otherwise(0).cast("bigint").alias("_s"),
+            F.when(F.col(c.session).isNotNull() & F.col("_e"), 1).otherwise(0).cast("bigint").alias("_es"),
+        )
+    else:
+        zero = F.lit(0).cast("bigint")
+        rows = rows.withColumn("_s", zero).withColumn("_es", zero)
+    if "activeUsers" in metrics:
+        rows = rows.groupBy(*dims, c.user).agg(*[F.sum(x).alias(x) for x in ("_n", "_s", "_es")], *kept)
+        users = F.count(c.user)
+    else:
+        users = F.lit(None).cast("bigint")
+    out = rows.groupBy(*dims).agg(*[F.sum(x).alias(x) for x in ("_n", "_s", "_es")], users.alias("_u"), *kept)
     made = {
-        "eventCount": lambda: F.count("*"),
-        "sessions": lambda: sessions,
-        "engagedSessions": lambda: engaged,
-        "activeUsers": lambda: distinct_users(F.col(cols.user)),
-        "userEngagementDuration": lambda: F.sum(cols.seconds),
-        "engagementRate": lambda: ratio(engaged, sessions),
+        "eventCount": F.col("_n"), "sessions": F.col("_s"), "engagedSessions": F.col("_es"), "activeUsers": F.col("_u"),
+        "userEngagementDuration": F.col(c.seconds) if kept else None,
+        "engagementRate": ratio(F.col("_es"), F.col("_s")),
     }
-    return made[name]().alias(name)
+    return out.select(*dims, *[made[m].alias(m) for m in metrics])
+
+
+def _estimated(rows: DataFrame, dims: list[str], metrics: tuple[str, ...], c: EventColumns) -> DataFrame:
+    """One pass with sketches for every distinct count, as the report service itself does for users."""
+    sessions = F.approx_count_distinct(c.session)
+    engaged = F.approx_count_distinct(F.when(F.col(c.engaged), F.col(c.session)))
+    made = {
+        "eventCount": lambda: F.count("*"), "sessions": lambda: sessions, "engagedSessions": lambda: engaged,
+        "activeUsers": lambda: F.approx_count_distinct(c.user),
+        "userEngagementDuration": lambda: F.sum(c.seconds), "engagementRate": lambda: ratio(engaged, sessions),
+    }
+    return rows.groupBy(*dims).agg(*[made[m]().alias(m) for m in metrics])
 
 
 def time_grain(grain: str, ts: str = "ts") -> Column:
@@ -78,12 +110,12 @@ class ReportSpec:
     order_by: tuple[tuple[str, bool], ...] = ()  # (column, descending)
     limit: int | None = None
     offset: int = 0
-    approximate_users: bool = False
+    estimate: bool = False
     columns: EventColumns = field(default_factory=EventColumns)
 
 
 def run_report(events: DataFrame, spec: ReportSpec, today: dt.date | None = None) -> DataFrame:
-    """One scan, one aggregation. The date range and filters reach the scan; counts combine on the map side."""
+    """One scan; the date range and filters reach it, and every aggregation combines on the map side."""
     cols = spec.columns
     rows = events
     if spec.start:
@@ -92,7 +124,10 @@ def run_report(events: DataFrame, spec: ReportSpec, today: dt.date | None = None
         rows = rows.where(F.col(cols.day) <= F.lit(relative_day(spec.end, today)))
     if spec.where is not None:
         rows = rows.where(spec.where)
-    out = rows.groupBy(*spec.dimensions).agg(*[metric(m, cols, spec.approximate_users) for m in spec.metrics])
+    dims = rows.select(*spec.dimensions).columns
+    plain = [c for c in (cols.user, cols.session, cols.engaged, cols.seconds) if c in rows.columns and c not in dims]
+    count = _estimated if spec.estimate else _exact
+    out = count(rows.select(*spec.dimensions, *plain), dims, spec.metrics, cols)
     if not spec.keep_empty_rows:
         out = out.where(reduce(lambda a, b: a | b, [F.coalesce(F.col(m) > 0, F.lit(False)) for m in spec.metrics]))
     if spec.order_by:

@@ -1,0 +1,17 @@
+"""Broadcasting behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a lookup for broadcast once it has been counted to be small; leave a larger one to a shuffled join.
+
+    Estimates of a lookup that is itself joined together are products of its parts and would make Spark shuffle the
+    fact table for a few rows. Counting stops at the bound, so it costs little however large the lookup is.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

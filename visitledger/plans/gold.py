@@ -124,8 +124,8 @@ def vw_paineis_acessos(s: Silver, start: dt.date | None = None, end: dt.date | N
 
     Someone who opens the desktop and the mobile version, or two encodings of one URL, on one day counts twice.
     """
-    known = panels.target_map(s.dim_painel_relatorio, s.dim_painel)
-    return _page_rows(s, start, end).join(known, "alvo").groupBy(
+    rows = panels.with_target(_page_rows(s, start, end), s.dim_painel_relatorio, s.dim_painel)
+    return rows.groupBy(
         "event_date", "painel", "ordem_menu", "tema", "hierarquia", "tipo", "versao"
     ).agg(
         F.sum("page_views").alias("aberturas"),
@@ -138,8 +138,7 @@ def vw_paineis_acessos(s: Silver, start: dt.date | None = None, end: dt.date | N
 def vw_paineis_url_sem_mapa(s: Silver, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Audit: opened targets nobody mapped. Unreadable URLs form one NULL group. Sort when reading."""
     rows = _page_rows(s, start, end).where(F.coalesce("alvo", F.lit("")) != s.settings.contact_page)
-    _, unmapped = panels.split_targets(rows, s.dim_painel_relatorio)
-    return unmapped.groupBy("alvo").agg(
+    return panels.unmapped_targets(rows, s.dim_painel_relatorio).groupBy("alvo").agg(
         F.min("event_date").alias("primeira_data"),
         F.max("event_date").alias("ultima_data"),
         F.sum("page_views").alias("aberturas"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FEEDS, Feed, Settings
+from ..schemas import LOADED_LOG
 from ..sources import bronze, landed
 from ..sources.silver import silver_rows
 from ..sources.tables import Warehouse
@@ -17,39 +18,60 @@ from .gold import VIEWS, Silver
 
 def land(
     wh: Warehouse, feed: Feed, path: str, extracted_at: dt.datetime, kind: str = "incremental",
-    snapshot_id: str | None = None,
+    snapshot_id: str | None = None, window: tuple[dt.date, dt.date] | None = None, clear_empty_days: bool = False,
 ) -> str:
-    """Store the response files of one extraction as a snapshot and note the window in the control log."""
+    """Store the response files of one extraction as a snapshot and note its window in the control log.
+
+    Without a requested window the first and last delivered day are noted.
+    """
     records, _ = landed.flatten(landed.read_landed(wh.spark, path), feed)
-    sid = bronze.append_snapshot(wh, feed, records, extracted_at, snapshot_id)
-    span = wh.snapshots().where((F.col("snapshot_id") == sid) & (F.col("relatorio") == feed.name)).agg(
+    sid = bronze.append_snapshot(
+        wh, feed, records, extracted_at, snapshot_id, window if window and clear_empty_days else None
+    )
+    mine = (F.col("snapshot_id") == sid) & (F.col("relatorio") == feed.name) & (F.col("linhas") > 0)
+    first, last, days, rows = wh.snapshots().where(mine).agg(
         F.min("event_date"), F.max("event_date"), F.count("*"), F.sum("linhas")
     ).first()
-    if span[2]:
-        bronze.register_load(wh, wh.spark, feed.name, kind, span[0], span[1], span[2], span[3], extracted_at)
+    start, end = window or (first, last)
+    if start:
+        bronze.register_load(wh, wh.spark, feed.name, kind, start, end, days, rows or 0, extracted_at)
     return sid
 
 
 def pending(wh: Warehouse, feed: Feed) -> DataFrame:
-    log = wh.snapshots().where(F.col("relatorio") == feed.name)
-    return bronze.pending_days(log, wh.silver(feed.table))
+    """From two small logs; the fact table is not read."""
+    return bronze.pending_days(
+        wh.snapshots().where(F.col("relatorio") == feed.name), wh.loaded().where(F.col("tabela") == feed.table)
+    )
 
 
 def refresh_silver(wh: Warehouse, feed: Feed, settings: Settings) -> list[dt.date]:
     """Replace the days whose newest snapshot is newer than what silver holds. Running it again does nothing.
 
-    The list of days (one entry per calendar day) comes to the driver, so that bronze is read by partition.
+    The list of days (one entry per calendar day) comes to the driver, so that bronze is read by partition. The days
+    are noted as loaded only after they were replaced: a run that dies in between is simply repeated.
     """
-    days = sorted((r["event_date"], r["snapshot_id"]) for r in pending(wh, feed).collect())
-    if days:
-        wh.replace_days(feed.table, silver_rows(_chosen(wh, feed, days), feed, settings))
-    return [d for d, _ in days]
+    days = sorted(pending(wh, feed).collect(), key=lambda r: r["event_date"])
+    if not days:
+        return []
+    filled = [(r["event_date"], r["snapshot_id"]) for r in days if r["linhas"]]
+    emptied = [r["event_date"] for r in days if not r["linhas"]]
+    wh.replace_days(feed.table, silver_rows(_chosen(wh, feed, filled), feed, settings), emptied)
+    _note_loaded(wh, feed, [(r["event_date"], r["data_extracao"]) for r in days])
+    return [r["event_date"] for r in days]
+
+
+def _note_loaded(wh: Warehouse, feed: Feed, days: list[tuple[dt.date, dt.datetime]]) -> None:
+    rows = [(feed.table, day, at) for day, at in days]
+    wh.append(wh.spark.createDataFrame(rows, LOADED_LOG).coalesce(1), "log", "loaded")
 
 
 def rebuild_silver(wh: Warehouse, feed: Feed, settings: Settings) -> None:
     """Everything again from the newest snapshot of every day, e.g. after a rule changed."""
     newest = bronze.newest_snapshots(wh.snapshots().where(F.col("relatorio") == feed.name))
     wh.replace_all(feed.table, silver_rows(bronze.newest_rows(wh.bronze(feed), newest), feed, settings))
+    loaded = newest.select(F.lit(feed.table).alias("tabela"), "event_date", "data_extracao")
+    wh.append(loaded.coalesce(1), "log", "loaded")
 
 
 def _chosen(wh: Warehouse, feed: Feed, days: list[tuple[dt.date, str]]) -> DataFrame:

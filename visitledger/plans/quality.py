@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import WINDOW_DAYS
 from ..functions.dates import micros, week_start
 from ..functions.text import ratio
 from ..operators.matching import signal_ratio
-from ..operators.panels import split_targets, target_map
-from ..operators.rolling import rolling_active_users
+from ..operators.panels import mark_targets, with_target
 from .gold import Silver
 
 
@@ -60,35 +60,45 @@ def robots_by(events: DataFrame, dims: list[str], limit: int = 50) -> DataFrame:
     ).orderBy(F.desc("sessions"), *[F.asc(d) for d in dims]).limit(limit)
 
 
-def user_inflation(activity: DataFrame, coarse: list[str], fine: list[str], day: dt.date) -> DataFrame:
-    """How much summing users of a finer grain overstates the exact count, per window, on one day."""
-    exact = rolling_active_users(activity, coarse, until=day).where(F.col("event_date") == F.lit(day))
-    summed = rolling_active_users(activity, fine, until=day).where(F.col("event_date") == F.lit(day))
-    names = [c for c in exact.columns if c.startswith("users_")]
-    total = summed.groupBy(*coarse).agg(*[F.sum(c).alias(f"{c}_summed") for c in names])
-    return exact.join(total, coarse).select(
-        *coarse,
-        F.inline(F.array(*[
-            F.struct(
-                F.lit(c.removeprefix("users_")).alias("janela"),
-                F.col(c).alias("exact"),
-                F.col(f"{c}_summed").alias("summed"),
-                (ratio(F.col(f"{c}_summed"), F.col(c)) - 1).alias("inflation"),
-            )
-            for c in names
-        ])),
+def user_inflation(
+    activity: DataFrame, coarse: list[str], fine: list[str], day: dt.date, windows: tuple[int, ...] = WINDOW_DAYS
+) -> DataFrame:
+    """How much summing users of a finer grain overstates the exact count, per window, on one day.
+
+    On a single day a user is inside a window when their last visit is, so the latest visit per user answers all
+    windows at once, first per fine member and then per coarse one.
+    """
+    since = F.lit(day - dt.timedelta(days=max(windows) - 1))
+    recent = activity.where(F.col("event_date").between(since, F.lit(day)))
+    per_fine = recent.groupBy(*fine, "user_id").agg(F.max("event_date").alias("_last"))
+
+    def inside(n: int) -> Column:
+        return F.col("_last") > F.lit(day - dt.timedelta(days=n))
+
+    per_user = per_fine.groupBy(*coarse, "user_id").agg(
+        *[F.count_if(inside(n)).alias(f"_rows_{n}") for n in windows], F.max("_last").alias("_last")
+    )
+    totals = per_user.groupBy(*coarse).agg(
+        *[F.count_if(inside(n)).alias(f"_exact_{n}") for n in windows],
+        *[F.sum(f"_rows_{n}").alias(f"_summed_{n}") for n in windows],
     )
+    return totals.select(*coarse, F.inline(F.array(*[
+        F.struct(
+            F.lit(f"{n}d").alias("janela"), F.col(f"_exact_{n}").alias("exact"), F.col(f"_summed_{n}").alias("summed"),
+            (ratio(F.col(f"_summed_{n}"), F.col(f"_exact_{n}")) - 1).alias("inflation"),
+        )
+        for n in windows
+    ])))
 
 
 def map_coverage(s: Silver) -> DataFrame:
     """Page views by whether the URL could be read and whether its target is mapped."""
-    rows = s.ga4_paginas.where(F.col("site") == s.settings.panel_site.label)
-    mapped, unmapped = split_targets(rows, s.dim_painel_relatorio)
-    state = F.when(F.col("alvo").isNull(), F.lit("unreadable")).otherwise(F.lit("unmapped"))
-    counted = mapped.select(F.lit("mapped").alias("estado"), "page_views").unionByName(
-        unmapped.select(state.alias("estado"), "page_views")
+    rows = mark_targets(s.ga4_paginas.where(F.col("site") == s.settings.panel_site.label), s.dim_painel_relatorio)
+    state = (
+        F.when(F.col("mapeado"), F.lit("mapped")).when(F.col("alvo").isNull(), F.lit("unreadable"))
+        .otherwise(F.lit("unmapped"))
     )
-    return counted.groupBy("estado").agg(F.sum("page_views").alias("page_views"))
+    return rows.groupBy(state.alias("estado")).agg(F.sum("page_views").alias("page_views"))
 
 
 def history_depth(events: DataFrame, keys: list[str] | None = None, day: str = "event_date") -> DataFrame:
@@ -137,9 +147,9 @@ def hourly_gaps(events: DataFrame, source: str, hours: int, ts: str = "ts") -> D
 
 def click_signal(s: Silver, event_name: str, max_drop: float = 0.5) -> DataFrame:
     """Weekly opens by URL against weekly click events: a falling ratio means a broken tag."""
-    known = target_map(s.dim_painel_relatorio, s.dim_painel).select("alvo")
     week = week_start(F.col("event_date")).alias("week")
-    opens = s.ga4_paginas.where(F.col("site") == s.settings.panel_site.label).join(known, "alvo", "left_semi")
+    pages = s.ga4_paginas.where(F.col("site") == s.settings.panel_site.label)
+    opens = with_target(pages, s.dim_painel_relatorio, s.dim_painel)
     clicks = s.ga4_paineis.where(
         (F.col("site") == s.settings.panel_site.label) & (F.col("event_name") == event_name)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_name, month_short
 from ..functions.text import ratio
+from ..operators.sizes import broadcast_if_small
 from .gold import VIEWS, Silver
 from .measures import MEASURES, Base, Derived
 
@@ -44,7 +45,7 @@ def calendar(span: DataFrame, first: str = "first_day", last: str = "last_day")
 
 def with_region(df: DataFrame, regions: DataFrame) -> DataFrame:
     """State, code and country of a delivered region; unmatched regions keep the blank member (NULL)."""
-    return df.join(regions.withColumnRenamed("region_ga4", "region"), "region", "left")
+    return df.join(broadcast_if_small(regions.withColumnRenamed("region_ga4", "region")), "region", "left")
 
 
 # ---- filters of a visual -------------------------------------------------------------------------------------------

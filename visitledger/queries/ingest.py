@@ -151,7 +151,7 @@ def _snapshot_log(spark, sf_dir) -> DataFrame:
 @registered("latest_snapshot", f"""SELECT event_date, snapshot_id, data_extracao FROM (SELECT *, row_number() OVER (PARTITION BY event_date
     ORDER BY data_extracao DESC, snapshot_id DESC) AS rn FROM ({_LOG_SQL})) WHERE rn = 1""")
 def latest_snapshot(spark, sf_dir):
-    return bronze.newest_snapshots(_snapshot_log(spark, sf_dir))
+    return bronze.newest_snapshots(_snapshot_log(spark, sf_dir)).drop("linhas")
 
 
 @registered("latest_snapshot_rows", f"""WITH l AS (SELECT event_date, snapshot_id FROM (SELECT *, row_number() OVER (PARTITION BY event_date
@@ -177,7 +177,7 @@ def pending_days(spark, sf_dir):
     silver_days = d.raw_events(spark, sf_dir).where("day(event_date) % 3 <> 0").select(
         "event_date", held.alias("data_extracao")
     )
-    return bronze.pending_days(_snapshot_log(spark, sf_dir), silver_days)
+    return bronze.pending_days(_snapshot_log(spark, sf_dir), silver_days).drop("linhas")
 
 
 def _as_delivered(facts: DataFrame) -> DataFrame:

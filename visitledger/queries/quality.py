@@ -233,10 +233,8 @@ def key_sets(spark, sf_dir):
 def target_sets(spark, sf_dir):
     """Opened targets inside and outside the map."""
     pages = d.page_feed(spark, sf_dir).where("alvo is not null")
-    mapped, unmapped = panels.split_targets(pages, d.report_dimension(spark, sf_dir))
-    return mapped.select("alvo").distinct().withColumn("mapped", F.lit(True)).unionByName(
-        unmapped.select("alvo").distinct().withColumn("mapped", F.lit(False))
-    )
+    marked = panels.mark_targets(pages, d.report_dimension(spark, sf_dir))
+    return marked.select("alvo", F.col("mapeado").alias("mapped")).distinct()
 
 
 @registered("expected_columns", """SELECT 'events' AS tabela, count(*) AS linhas, 'session_id' AS missing FROM events""")

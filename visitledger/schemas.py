@@ -41,6 +41,12 @@ SNAPSHOT_LOG = T.StructType([
     T.StructField("data_extracao", T.TimestampNTZType()),
 ])
 
+LOADED_LOG = T.StructType([
+    T.StructField("tabela", T.StringType()),
+    T.StructField("event_date", T.DateType()),
+    T.StructField("data_extracao", T.TimestampNTZType()),
+])
+
 CONTROL_LOG = T.StructType([
     T.StructField("relatorio", T.StringType()),
     T.StructField("tipo_carga", T.StringType()),

@@ -13,11 +13,10 @@ from ..functions.dates import from_compact
 from ..schemas import CONTROL_LOG, payload_schema
 from .tables import Warehouse
 
-DAY_SLOTS = 16
-
 
 def append_snapshot(
-    wh: Warehouse, feed: Feed, records: DataFrame, extracted_at: dt.datetime, snapshot_id: str | None = None
+    wh: Warehouse, feed: Feed, records: DataFrame, extracted_at: dt.datetime, snapshot_id: str | None = None,
+    empty_days: tuple[dt.date, dt.date] | None = None,
 ) -> str:
     """Store one extraction: a snapshot per day, rows kept flat with values exactly as delivered.
 
@@ -25,23 +24,31 @@ def append_snapshot(
     snapshot id is part of the folder, so earlier snapshots are never touched and repeating an interrupted append
     under the same id overwrites only itself. The number of rows per day goes to the snapshot log last; until then
     nothing reads the rows.
+
+    A day that returned nothing keeps its earlier snapshot, unless the requested range is given as ``empty_days``:
+    then every day of it without rows gets an empty snapshot, which clears the day.
     """
     sid = snapshot_id or uuid.uuid4().hex
     rows = records.select(
-        *feed.fields,
+        *[F.col(f"`{c}`") for c in feed.fields],
         F.lit(extracted_at).cast("timestamp_ntz").alias("data_extracao"),
         from_compact(F.col("date")).alias("event_date"),
         F.lit(sid).alias("snapshot_id"),
     )
-    slot = F.pmod(F.xxhash64(*[f"`{c}`" for c in feed.fields]), F.lit(DAY_SLOTS))
-    rows.repartition("event_date", slot).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    rows.hint("rebalance", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "event_date", "snapshot_id"
     ).parquet(wh.path("bronze", feed.name))
     stored = wh.bronze(feed).where(F.col("snapshot_id") == sid)
     log = stored.groupBy("event_date", "snapshot_id", "data_extracao").agg(F.count("*").alias("linhas")).select(
         F.lit(feed.name).alias("relatorio"), "event_date", "snapshot_id", "linhas", "data_extracao"
     )
-    wh.append(log, "log", "snapshots")
+    if empty_days:
+        wanted = wh.spark.range(1).select(F.explode(F.sequence(*map(F.lit, empty_days))).alias("event_date"))
+        log = log.unionByName(wanted.join(log, "event_date", "left_anti").select(
+            F.lit(feed.name).alias("relatorio"), "event_date", F.lit(sid).alias("snapshot_id"),
+            F.lit(0).cast("bigint").alias("linhas"), F.lit(extracted_at).cast("timestamp_ntz").alias("data_extracao"),
+        ))
+    wh.append(log.coalesce(1), "log", "snapshots")
     return sid
 
 
@@ -54,10 +61,10 @@ def explode_payload(snapshots: DataFrame, feed: Feed) -> DataFrame:
 
 def newest_snapshots(log: DataFrame) -> DataFrame:
     """day -> its newest snapshot; extraction times that tie are settled by the snapshot id."""
-    newest = F.max(F.struct("data_extracao", "snapshot_id"))
+    newest = F.max(F.struct("data_extracao", "snapshot_id", *(["linhas"] if "linhas" in log.columns else [])))
     return log.groupBy("event_date").agg(newest.alias("_n")).select(
-        "event_date", F.col("_n.snapshot_id").alias("snapshot_id"), F.col("_n.data_extracao").alias("data_extracao")
-    )
+        "event_date", "_n.*"
+    ).select("event_date", "snapshot_id", "data_extracao", *(["linhas"] if "linhas" in log.columns else []))
 
 
 def newest_rows(bronze: DataFrame, newest: DataFrame) -> DataFrame:
@@ -66,11 +73,15 @@ def newest_rows(bronze: DataFrame, newest: DataFrame) -> DataFrame:
 
 
 def pending_days(log: DataFrame, silver_days: DataFrame) -> DataFrame:
-    """Days whose newest snapshot is newer than what silver holds (or that silver does not hold at all)."""
+    """Days whose newest snapshot is newer than what silver holds (or that silver does not hold at all).
+
+    ``silver_days`` is anything with ``event_date`` and ``data_extracao``: the small log of loaded days, or the
+    silver table itself.
+    """
     held = silver_days.groupBy("event_date").agg(F.max("data_extracao").alias("_held"))
     return newest_snapshots(log).join(held, "event_date", "left").where(
         F.col("_held").isNull() | (F.col("data_extracao") > F.col("_held"))
-    ).select("event_date", "snapshot_id", "data_extracao")
+    ).drop("_held")
 
 
 # ---- load windows --------------------------------------------------------------------------------------------------

@@ -6,16 +6,15 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import FEEDS, Feed
-from ..schemas import CONTROL_LOG, DIMENSIONS, SILVER, SNAPSHOT_LOG, payload_schema
+from ..schemas import CONTROL_LOG, DIMENSIONS, LOADED_LOG, SILVER, SNAPSHOT_LOG, payload_schema
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """bronze/<feed>, silver/<table>, dims/<table> and two small logs below one root folder."""
+    """bronze/<feed>, silver/<table>, dims/<table> and small logs below one root folder."""
 
     spark: SparkSession
     root: str
@@ -41,6 +40,7 @@ class Warehouse:
             self._create(self.path("silver", feed.table), SILVER[feed.table], ["event_date"])
         self._create(self.path("log", "snapshots"), SNAPSHOT_LOG, [])
         self._create(self.path("log", "control"), CONTROL_LOG, [])
+        self._create(self.path("log", "loaded"), LOADED_LOG, [])
         for name, schema in DIMENSIONS.items():
             self._create(self.path("dims", name), schema, [])
 
@@ -59,6 +59,9 @@ class Warehouse:
     def snapshots(self) -> DataFrame:
         return self.spark.read.schema(SNAPSHOT_LOG).parquet(self.path("log", "snapshots"))
 
+    def loaded(self) -> DataFrame:
+        return self.spark.read.schema(LOADED_LOG).parquet(self.path("log", "loaded"))
+
     def control(self) -> DataFrame:
         return self.spark.read.schema(CONTROL_LOG).parquet(self.path("log", "control"))
 
@@ -77,17 +80,17 @@ class Warehouse:
         commit. The swap is per day, not atomic across days; re-running it is idempotent.
         """
         path = self.path("silver", table)
-        rows.repartition("event_date", _spread_key(rows)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("event_date").parquet(path)
+        _by_day(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "event_date"
+        ).parquet(path)
         for day in emptied or []:
             self._drop_day(path, day)
 
     def replace_all(self, table: str, rows: DataFrame) -> None:
         """Full rebuild."""
-        rows.repartition("event_date", _spread_key(rows)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("event_date").parquet(self.path("silver", table))
+        _by_day(rows).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "event_date"
+        ).parquet(self.path("silver", table))
 
     def replace_dim(self, name: str, rows: DataFrame) -> None:
         """Write the new dimension beside the old one first, because it was computed from the old one."""
@@ -102,6 +105,6 @@ class Warehouse:
         target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _spread_key(rows: DataFrame, files_per_day: int = 8):
-    """Second write key, so that one large day is written by several tasks."""
-    return F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_day))
+def _by_day(rows: DataFrame) -> DataFrame:
+    """Rows of a day together, with AQE splitting large days and merging small ones to its advisory size."""
+    return rows.hint("rebalance", "event_date")
