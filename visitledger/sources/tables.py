@@ -34,19 +34,24 @@ class Warehouse:
         ])
 
     def create_all(self) -> None:
-        """Empty tables where none exist yet."""
+        """Folders of the tables that do not exist yet; an empty folder reads as an empty table of its schema."""
         for feed in FEEDS.values():
-            self._create(self.path("bronze", feed.name), self.bronze_schema(feed), ["event_date", "snapshot_id"])
-            self._create(self.path("silver", feed.table), SILVER[feed.table], ["event_date"])
-        self._create(self.path("log", "snapshots"), SNAPSHOT_LOG, [])
-        self._create(self.path("log", "control"), CONTROL_LOG, [])
-        self._create(self.path("log", "loaded"), LOADED_LOG, [])
-        for name, schema in DIMENSIONS.items():
-            self._create(self.path("dims", name), schema, [])
-
-    def _create(self, path: str, schema: T.StructType, partitions: list[str]) -> None:
-        empty = self.spark.createDataFrame([], schema)
-        empty.write.mode("append").partitionBy(*partitions).parquet(path)
+            self._create("bronze", feed.name)
+            self._create("silver", feed.table)
+        for log in ("snapshots", "loaded", "control"):
+            self._create("log", log)
+        for dim in DIMENSIONS:
+            self._create("dims", dim)
+
+    def _folder(self, *parts: str):
+        """(file system, path) of a folder, on whatever storage the root is."""
+        spark = self.spark
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(*parts))
+        return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+    def _create(self, *parts: str) -> None:
+        fs, path = self._folder(*parts)
+        fs.mkdirs(path)
 
     # -- reading -------------------------------------------------------------------------------------------------
     def bronze(self, feed: Feed) -> DataFrame:
@@ -84,7 +89,8 @@ class Warehouse:
             "event_date"
         ).parquet(path)
         for day in emptied or []:
-            self._drop_day(path, day)
+            fs, folder = self._folder("silver", table, f"event_date={day.isoformat()}")
+            fs.delete(folder, True)
 
     def replace_all(self, table: str, rows: DataFrame) -> None:
         """Full rebuild."""
@@ -99,11 +105,6 @@ class Warehouse:
         fresh = self.spark.read.schema(DIMENSIONS[name]).parquet(staged)
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path("dims", name))
 
-    def _drop_day(self, path: str, day: dt.date) -> None:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(f"{path}/event_date={day.isoformat()}")
-        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
 
 def _by_day(rows: DataFrame) -> DataFrame:
     """Rows of a day together, with AQE splitting large days and merging small ones to its advisory size."""
