@@ -212,18 +212,15 @@ def alias_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = table(spark, sf_dir, "part").select("p_size").distinct()
-    ids = sizes.select(
-        F.col("p_size").cast("string").alias("alvo"),
-        F.concat(F.lit("Brand#"), (F.col("p_size") % 25 + 1).cast("string")).alias("painel"),
-        F.expr("CASE p_size % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'unica' END").alias("versao"),
-        F.expr("CASE WHEN p_size % 4 = 0 THEN 'inferido' ELSE 'gtm' END").alias("fonte"),
+    """Part sizes as report ids of a panel, and one plain page."""
+    ids = F.explode(F.array(F.col("p_size").cast("string"), F.lit("tutorial.php"))).alias("alvo")
+    targets = table(spark, sf_dir, "part").select(ids).distinct().withColumn("n", F.expr("try_cast(alvo AS INT)"))
+    return targets.select(
+        "alvo",
+        F.concat(F.lit("Brand#"), F.coalesce(F.col("n") % 25 + 1, F.lit(25)).cast("string")).alias("painel"),
+        F.expr("CASE n % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'unica' END").alias("versao"),
+        F.expr("CASE WHEN n IS NULL THEN 'site' WHEN n % 4 = 0 THEN 'inferido' ELSE 'gtm' END").alias("fonte"),
     )
-    page = table(spark, sf_dir, "part").where(F.col("p_brand") == "Brand#25").select(
-        F.lit("tutorial.php").alias("alvo"), F.col("p_brand").alias("painel"),
-        F.lit("unica").alias("versao"), F.lit("site").alias("fonte"),
-    ).distinct()
-    return ids.unionByName(page)
 
 
 def region_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:

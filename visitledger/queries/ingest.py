@@ -313,15 +313,15 @@ def dim_upsert(spark, sf_dir):
 
 @registered("key_upsert", """SELECT alvo, painel, versao, fonte FROM dim_relatorio WHERE alvo NOT IN (SELECT CAST(p_size AS VARCHAR) FROM part WHERE p_size <= 20)
     UNION ALL SELECT alvo, painel, 'unica', 'gtm' FROM dim_relatorio WHERE alvo IN (SELECT CAST(p_size AS VARCHAR) FROM part WHERE p_size <= 20)
-    UNION ALL SELECT DISTINCT 'contato.php', 'Brand#1', 'unica', 'site' FROM part WHERE p_size <= 20""")
+    UNION ALL SELECT DISTINCT concat(p_brand, '.php'), p_brand, 'unica', 'site' FROM part WHERE p_size <= 20""")
 def key_upsert(spark, sf_dir):
-    """Twenty targets change, one is new, the others survive."""
+    """Twenty targets change, one per brand is new, the others survive."""
     old = d.report_dimension(spark, sf_dir)
     changed = old.where(F.expr("try_cast(alvo AS INT) <= 20")).withColumn("versao", F.lit("unica")).withColumn(
         "fonte", F.lit("gtm")
     )
     new = d.table(spark, sf_dir, "part").where("p_size <= 20").select(
-        F.lit("contato.php").alias("alvo"), F.lit("Brand#1").alias("painel"), F.lit("unica").alias("versao"),
-        F.lit("site").alias("fonte"),
+        F.concat("p_brand", F.lit(".php")).alias("alvo"), F.col("p_brand").alias("painel"),
+        F.lit("unica").alias("versao"), F.lit("site").alias("fonte"),
     ).distinct()
     return dims.upsert(old, changed.unionByName(new), "alvo")

@@ -253,8 +253,8 @@ def map_countries(spark, sf_dir):
 def top10_members(spark, sf_dir):
     """Days of the ten panels with most accesses."""
     facts = gold.vw_paineis_ranking(d.silver(spark, sf_dir))
-    kept = keep_top_members(facts, "painel", F.sum("acessos"), 10)
-    return kept.groupBy("event_date", "painel").agg(F.sum("acessos").alias("acessos"))
+    days = facts.groupBy("event_date", "painel").agg(F.sum("acessos").alias("acessos"))
+    return keep_top_members(days, "painel", F.sum("acessos"), 10)
 
 
 @registered("region_sessions", f"""SELECT event_date, region, estado, uf, pais, {_m('sessoes_validas', 'total_sessoes_site')}

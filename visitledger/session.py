@@ -27,16 +27,20 @@ def build_session(master: str | None = None, app: str = "visitledger", **conf: s
     return builder.getOrCreate()
 
 
+_local_base: str | None = None
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 
     Only a local session (tests, laptop) may fall back to a temporary folder of its own; on a cluster the
     executors would not see it, so an unset folder is an error there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    global _local_base
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="visitledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        _local_base = _local_base or tempfile.mkdtemp(prefix="visitledger-")
+        base = _local_base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
