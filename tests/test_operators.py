@@ -176,6 +176,15 @@ def test_last_label_before_against_pairs(spark, bucket):
     assert {r["event_id"]: (r["label"], r["target"]) for r in got.collect()} == expected
 
 
+def test_event_that_is_label_and_target(spark):
+    at = dt.datetime(2024, 1, 1, 12)
+    rows = [(1, 1, at, "a"), (2, 1, at + dt.timedelta(seconds=5), "b"), (3, 1, at + dt.timedelta(seconds=5), "c"), (4, 1, at + dt.timedelta(seconds=26), "d")]
+    df = spark.createDataFrame(rows, "event_id int, user_id int, ts timestamp_ntz, panel string")
+    both = F.lit(True)
+    got = last_label_before(df, "user_id", "ts", "event_id", both, both, F.col("panel"), F.col("panel"), 20)
+    assert {r["event_id"]: r["label"] for r in got.collect()} == {2: "a", 3: "a"}
+
+
 def test_bucket_must_cover_interval(spark):
     with pytest.raises(ValueError):
         last_label_before(spark.range(1), "id", "id", "id", F.lit(True), F.lit(True), F.lit(""), F.lit(""), 20, 10)

@@ -25,27 +25,29 @@ def last_label_before(
 
     Time is cut into buckets and a window is taken per (user, bucket), so one hot user spreads over as many tasks
     as there are buckets. A label event so late in its bucket that the next bucket can still see it is copied
-    there, and only there; no pairs are formed.
+    there, and only there. Within a bucket the latest label is carried along a running frame: no pairs are formed,
+    and the work is linear. Targets sort before labels of the same instant, which do not count as preceding; labels
+    of one instant are settled by the larger id.
     """
     if bucket_seconds < seconds:
         raise ValueError("a bucket must be at least as long as the interval")
     span = bucket_seconds * 1_000_000
     reach = seconds * 1_000_000
+    roles = F.explode(F.array_compact(F.array(F.when(is_target, F.lit(0)), F.when(is_label, F.lit(1)))))
     base = events.where(is_label | is_target).select(
         F.col(user).alias("_user"), micros(F.col(ts)).alias("_us"), F.col(event_id).alias("_id"),
-        is_label.alias("_is_label"), is_target.alias("_is_target"),
-        F.when(is_label, label).alias("_label"), F.when(is_target, target).alias("_target"),
-    ).withColumn("_bucket", F.floor(F.col("_us") / span))
-    crosses = F.col("_is_label") & (F.col("_us") + reach >= (F.col("_bucket") + 1) * span)
-    copies = F.explode(
-        F.when(crosses, F.array(F.col("_bucket"), F.col("_bucket") + 1)).otherwise(F.array(F.col("_bucket")))
+        label.alias("_label"), target.alias("_target"), roles.alias("_role"),
+    ).withColumn("_own", F.floor(F.col("_us") / span))
+    is_copied = (F.col("_role") == 1) & (F.col("_us") + reach >= (F.col("_own") + 1) * span)
+    buckets = F.when(is_copied, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array(F.col("_own")))
+    placed = base.withColumn("_bucket", F.explode(buckets))
+    before = Window.partitionBy("_user", "_bucket").orderBy("_us", "_role", "_id").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    placed = base.withColumn("_own", F.col("_bucket")).withColumn("_bucket", copies)
-    before = Window.partitionBy("_user", "_bucket").orderBy("_us").rangeBetween(-reach, -1)
-    seen = F.when(F.col("_is_label"), F.struct("_us", "_id", "_label"))
+    label_event = F.when(F.col("_role") == 1, F.struct("_us", "_label"))
     return (
-        placed.withColumn("_seen", F.max(seen).over(before))
-        .where(F.col("_is_target") & (F.col("_own") == F.col("_bucket")) & F.col("_seen").isNotNull())
+        placed.withColumn("_seen", F.last(label_event, ignorenulls=True).over(before))
+        .where((F.col("_role") == 0) & (F.col("_seen._us") >= F.col("_us") - reach))
         .select(
             F.col("_user").alias(user), F.col("_id").alias(event_id),
             F.col("_target").alias("target"), F.col("_seen._label").alias("label"),
