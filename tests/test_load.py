@@ -151,6 +151,13 @@ def test_flatten_pairs_up_to_the_shorter(spark, tmp_path):
     assert rejected.count() == 1
 
 
+def test_rows_without_a_day_are_set_aside(warehouse, tmp_path, spark):
+    load.land(warehouse, USERS, land_file(tmp_path, "a", USERS, [user_row("20240101", 1), user_row("", 3)]), dt.datetime(2024, 1, 2))
+    assert warehouse.bronze(USERS).count() == 1
+    aside = spark.read.parquet(warehouse.path("quarantine", "usuarios"))
+    assert [r["active1DayUsers"] for r in aside.collect()] == ["3"]
+
+
 def test_bad_number_stops_the_load(spark):
     records = spark.createDataFrame([user_row("20240101", 1, sessions="many")]).withColumn("data_extracao", F.lit(None).cast("timestamp_ntz"))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

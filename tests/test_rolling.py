@@ -46,6 +46,13 @@ def test_against_brute_force(spark, seed):
     assert {(r["k"], r["event_date"]): r["n"] for r in got if r["n"] is not None} == dict(per_day)
 
 
+def test_unknown_users_add_to_sums_only(spark):
+    rows = [("a", None, DAY0, 5), ("a", 1, DAY0 + dt.timedelta(days=1), 2), ("a", None, DAY0 + dt.timedelta(days=1), 3)]
+    df = spark.createDataFrame(rows, "k string, user_id int, event_date date, n bigint")
+    got = rolling_active_users(df, ["k"], windows=(1, 7), sums=("n",)).orderBy("event_date").collect()
+    assert [(r["event_date"], r["users_1d"], r["users_7d"], r["n"]) for r in got] == [(DAY0, 0, 0, 5), (DAY0 + dt.timedelta(days=1), 1, 1, 5)]
+
+
 def test_exact_gap_boundaries(spark):
     """A visit exactly N days after the last one starts a new run the day the old one ends."""
     rows = [("a", 1, DAY0, 1), ("a", 1, DAY0 + dt.timedelta(days=7), 1), ("a", 1, DAY0 + dt.timedelta(days=15), 1)]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,10 +29,10 @@ def rolling_active_users(
     running sum of +1 at starts and -1 at ends, so the work is linear in user-days whatever N is.
 
     Shuffles: user-days (combined on the map side, so a hot user collapses to at most one row per day and task),
-    user runs, change points, and the running sum. No window ever holds more than one row per calendar day.
+    user runs, change points, and the running sum. Rows without a user count for the sums only. No window ever holds more than one row per calendar day.
 
     Returns key, day, ``users_<N>d`` and the additive ``sums`` of the day, for all days up to ``until`` on which any
-    of the windows is not empty. ``until`` is a date or a scalar column; when it is not given the last active day is
+    of the windows or sums is not empty. ``until`` is a date or a scalar column; when it is not given the last active day is
     found with a second pass over ``activity``.
     """
     user_day = [*keys, user, day]
@@ -40,16 +42,17 @@ def rolling_active_users(
     )
     by_user = Window.partitionBy(*keys, user).orderBy(day)
     runs = daily.select(
-        *keys, day, *sums,
+        *keys, day, *sums, F.col(user).isNotNull().alias("_known"),
         F.datediff(day, F.lag(day).over(by_user)).alias("_since"),
         F.datediff(F.lead(day).over(by_user), day).alias("_gap"),
     )
 
     def starts(n: int) -> Column:
-        return F.when(F.col("_since").isNull() | (F.col("_since") >= n), 1).otherwise(0).cast("bigint")
+        uncovered = F.col("_since").isNull() | (F.col("_since") >= n)
+        return F.when(F.col("_known") & uncovered, 1).otherwise(0).cast("bigint")
 
     def ends(n: int) -> Column:
-        return F.col("_gap").isNull() | (F.col("_gap") >= n)
+        return F.col("_known") & (F.col("_gap").isNull() | (F.col("_gap") >= n))
 
     names = [f"users_{n}d" for n in windows]
     zero = F.lit(0).cast("bigint")
@@ -75,8 +78,12 @@ def rolling_active_users(
         *keys, "_at", *sums,
         *[F.sum(c).over(by_key).alias(c) for c in names],
         F.lead("_at").over(by_key).alias("_next"),
-    ).where((F.greatest(*names) > 0) & (F.col("_at") <= last))
-    held = F.explode(F.sequence("_at", F.least(F.date_sub("_next", 1), last)))
+    )
+    occupied = reduce(or_, [F.col(c) > 0 for c in names])
+    measured = reduce(or_, [F.col(c) != 0 for c in sums], F.lit(False))
+    until_next = F.when(occupied, F.least(F.date_sub("_next", 1), last)).otherwise(F.col("_at"))
+    levels = levels.where((occupied | F.coalesce(measured, F.lit(False))) & (F.col("_at") <= last))
+    held = F.explode(F.sequence("_at", until_next))
     return levels.select(*keys, held.alias(day), "_at", *names, *sums).select(
         *keys, day, *names,
         *[F.when(F.col(day) == F.col("_at"), F.col(c)).alias(c) for c in sums],

@@ -22,12 +22,15 @@ def land(
 ) -> str:
     """Store the response files of one extraction as a snapshot and note its window in the control log.
 
+    Rows without a readable day go to the quarantine folder.
+
     Without a requested window the first and last delivered day are noted.
     """
-    records, _ = landed.flatten(landed.read_landed(wh.spark, path), feed)
+    records, rejected = landed.flatten(landed.read_landed(wh.spark, path), feed)
     sid = bronze.append_snapshot(
         wh, feed, records, extracted_at, snapshot_id, window if window and clear_empty_days else None
     )
+    bronze.set_aside(wh, feed, rejected, sid)
     mine = (F.col("snapshot_id") == sid) & (F.col("relatorio") == feed.name) & (F.col("linhas") > 0)
     first, last, days, rows = wh.snapshots().where(mine).agg(
         F.min("event_date"), F.max("event_date"), F.count("*"), F.sum("linhas")

@@ -69,7 +69,7 @@ def user_inflation(
     windows at once, first per fine member and then per coarse one.
     """
     since = F.lit(day - dt.timedelta(days=max(windows) - 1))
-    recent = activity.where(F.col("event_date").between(since, F.lit(day)))
+    recent = activity.where(F.col("event_date").between(since, F.lit(day)) & F.col("user_id").isNotNull())
     per_fine = recent.groupBy(*fine, "user_id").agg(F.max("event_date").alias("_last"))
 
     def inside(n: int) -> Column:

@@ -19,7 +19,7 @@ from ..operators.rolling import rolling_active_users
 from ..operators.segments import flag_by_window
 from ..schemas import DIMENSIONS, SILVER
 
-SETTINGS = Settings(robots=RobotRule(min_sessions=2, min_engaged_pct=60), home_country="ASIA")
+SETTINGS = Settings(robots=RobotRule(min_sessions=2, min_engaged_pct=45), home_country="ASIA")
 
 # How columns of the given tables stand in for report dimensions (plain SQL, valid in both engines).
 HOST = """CASE user_id % 5 WHEN 0 THEN 'data.example.org' WHEN 1 THEN 'WWW.example.org' WHEN 2 THEN 'example.org'

@@ -84,6 +84,12 @@ def pending_days(log: DataFrame, silver_days: DataFrame) -> DataFrame:
     ).drop("_held")
 
 
+def set_aside(wh: Warehouse, feed: Feed, rejected: DataFrame, snapshot_id: str) -> None:
+    """Keep rows that belong to no day, beside the snapshot they came with."""
+    if not rejected.isEmpty():
+        wh.append(rejected.withColumn("snapshot_id", F.lit(snapshot_id)), "quarantine", feed.name)
+
+
 # ---- load windows --------------------------------------------------------------------------------------------------
 
 def month_ranges(days: DataFrame, start: str = "start", end: str = "end") -> DataFrame:

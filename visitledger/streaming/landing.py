@@ -30,8 +30,9 @@ def stream_landed(
         sid = f"stream-{number:012d}"
         mine = (F.col("relatorio") == feed.name) & (F.col("snapshot_id") == sid)
         if wh.snapshots().where(mine).isEmpty():
-            records, _ = landed.flatten(batch, feed)
+            records, rejected = landed.flatten(batch, feed)
             at = now()
+            bronze.set_aside(wh, feed, rejected, sid)
             bronze.append_snapshot(wh, feed, records, at, sid)
             span = wh.snapshots().where(mine).agg(F.min("event_date"), F.max("event_date"), F.count("*"), F.sum("linhas")).first()
             if span[2]:
