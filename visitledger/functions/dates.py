@@ -22,6 +22,11 @@ def minute_from_compact(text: Column) -> Column:
     return F.to_timestamp_ntz(text, F.lit("yyyyMMddHHmm"))
 
 
+def instant(at: dt.datetime) -> Column:
+    """A zone-less timestamp literal; going through text keeps the session time zone out of it."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def micros(ts: Column) -> Column:
     """Microseconds since 1970 of a zone-less timestamp, without any session time zone in between."""
     return (

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import WINDOW_DAYS
-from ..functions.dates import micros, week_start
+from ..functions.dates import instant, micros, week_start
 from ..functions.text import ratio
 from ..operators.matching import signal_ratio
 from ..operators.panels import mark_targets, with_target
@@ -26,15 +26,15 @@ def week_completeness(s: Silver, sunday: dt.date) -> DataFrame:
             F.lit(name).alias("tabela"), "last_day", "extracted_at"
         ))
     missing = F.col("last_day").isNull() | (F.col("last_day") < F.lit(sunday))
-    early = F.col("extracted_at").isNull() | (F.col("extracted_at") < F.lit(closes).cast("timestamp_ntz"))
+    early = F.col("extracted_at").isNull() | (F.col("extracted_at") < instant(closes))
     problem = F.when(missing, F.lit("missing_days")).when(early, F.lit("extracted_early"))
     return reduce(DataFrame.unionByName, parts).withColumn("problem", problem).where("problem is not null")
 
 
 def freshness(events: DataFrame, now: dt.datetime, ts: str = "ts") -> DataFrame:
     """Latest minute with data, lag in hours, and whether yesterday is closed. ``now`` is in the events' own zone."""
-    at = F.lit(now).cast("timestamp_ntz")
-    midnight = F.lit(dt.datetime.combine(now.date(), dt.time())).cast("timestamp_ntz")
+    at = instant(now)
+    midnight = instant(dt.datetime.combine(now.date(), dt.time()))
     last = F.date_trunc("minute", F.max(ts)).cast("timestamp_ntz")
     return events.agg(last.alias("last_minute")).select(
         "last_minute",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Feed, Settings
-from ..functions.dates import from_compact
+from ..functions.dates import from_compact, instant
 from ..schemas import CONTROL_LOG, payload_schema
 from .tables import Warehouse
 
@@ -31,7 +31,7 @@ def append_snapshot(
     sid = snapshot_id or uuid.uuid4().hex
     rows = records.select(
         *[F.col(f"`{c}`") for c in feed.fields],
-        F.lit(extracted_at).cast("timestamp_ntz").alias("data_extracao"),
+        instant(extracted_at).alias("data_extracao"),
         from_compact(F.col("date")).alias("event_date"),
         F.lit(sid).alias("snapshot_id"),
     )
@@ -46,7 +46,7 @@ def append_snapshot(
         wanted = wh.spark.range(1).select(F.explode(F.sequence(*map(F.lit, empty_days))).alias("event_date"))
         log = log.unionByName(wanted.join(log, "event_date", "left_anti").select(
             F.lit(feed.name).alias("relatorio"), "event_date", F.lit(sid).alias("snapshot_id"),
-            F.lit(0).cast("bigint").alias("linhas"), F.lit(extracted_at).cast("timestamp_ntz").alias("data_extracao"),
+            F.lit(0).cast("bigint").alias("linhas"), instant(extracted_at).alias("data_extracao"),
         ))
     wh.append(log.coalesce(1), "log", "snapshots")
     return sid

@@ -6,29 +6,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Feed, Settings
-from ..functions.dates import from_compact
 from ..functions.text import or_not_set
 from ..functions.traffic import site_of
 from ..functions.url import redirect_target
 from ..operators.segments import flag_by_join
 from ..schemas import silver_schema
 
-_TYPED = {"date": "date", "count": "bigint", "seconds": "decimal(14,2)"}
+_NUMBERS = {"count": "bigint", "seconds": "decimal(14,2)"}
 
 
-def _typed(source: str, kind: str) -> Column:
+def _converted(source: str, kind: str) -> Column:
+    """The typed value, NULL where the text cannot be read."""
     col = F.col(f"`{source}`")
     if kind == "date":
-        return from_compact(col)
+        return F.try_to_timestamp(col, F.lit("yyyyMMdd")).cast("date")
     if kind == "dim":
         return or_not_set(col)
-    if kind == "text":
-        return col
-    return col.cast(_TYPED[kind])
+    return col.try_cast(_NUMBERS[kind]) if kind in _NUMBERS else col
+
+
+def _unreadable(source: str, kind: str) -> Column:
+    return F.col(f"`{source}`").isNotNull() & _converted(source, kind).isNull()
+
+
+def _typed(source: str, kind: str) -> Column:
+    if kind in ("dim", "text"):
+        return _converted(source, kind)
+    message = F.concat(F.lit(f"{source} cannot be read as {kind}: "), F.col(f"`{source}`"))
+    return F.when(_unreadable(source, kind), F.raise_error(message)).otherwise(_converted(source, kind))
 
 
 def typed_rows(records: DataFrame, feed: Feed, settings: Settings) -> DataFrame:
-    """Delivered text to typed columns. Bad numbers or dates raise and stop the load (ANSI casts)."""
+    """Delivered text to typed columns. Bad numbers or dates raise and stop the load, whatever the cast settings."""
     cols = [_typed(src, kind).alias(name) for src, (name, kind) in feed.fields.items()]
     out = records.select(*cols, "data_extracao").withColumn("site", site_of(F.col("hostname"), settings))
     if feed.name == "paginas":
@@ -40,11 +49,10 @@ def split_bad(records: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
     """(loadable, quarantine): rows with a number or date that cannot be read are set aside instead of raising."""
     bad = F.lit(False)
     for src, (_, kind) in feed.fields.items():
-        col = F.col(f"`{src}`")
+        if kind not in ("dim", "text"):
+            bad = bad | _unreadable(src, kind)
         if kind == "date":
-            bad = bad | F.try_to_timestamp(col, F.lit("yyyyMMdd")).isNull()
-        elif kind in ("count", "seconds"):
-            bad = bad | (col.isNotNull() & col.try_cast(_TYPED[kind]).isNull())
+            bad = bad | F.col(f"`{src}`").isNull()
     return records.where(~bad), records.where(bad)
 
 
