@@ -158,6 +158,29 @@ def test_rows_without_a_day_are_set_aside(warehouse, tmp_path, spark):
     assert [r["active1DayUsers"] for r in aside.collect()] == ["3"]
 
 
+def test_impossible_day_is_rejected(spark, tmp_path):
+    rows = [user_row("20240101", 1), user_row("20240230", 2), user_row("2024011", 3)]
+    records, rejected = landed.flatten(landed.read_landed(spark, land_file(tmp_path, "a", USERS, rows)), USERS)
+    assert [r["date"] for r in records.collect()] == ["20240101"]
+    assert sorted(r["date"] for r in rejected.collect()) == ["2024011", "20240230"]
+
+
+def test_imported_payloads(warehouse, spark):
+    """Snapshots kept as JSON arrays: two of one day, the newer one wins; a later landing wins over both."""
+    old, new = dt.datetime(2024, 1, 2, 6), dt.datetime(2024, 1, 3, 6)
+    snapshots = spark.createDataFrame([
+        (json.dumps([user_row("20240101", 1), user_row("20240101", 2, country="")]), old),
+        (json.dumps([user_row("20240101", 5)]), new), (json.dumps([user_row("20240102", 6)]), new),
+    ], "payload string, data_extracao timestamp_ntz")
+    bronze.import_payloads(warehouse, USERS, snapshots)
+    load.refresh_silver(warehouse, USERS, S)
+    assert users(warehouse) == {(1, "Brazil"): 5, (2, "Brazil"): 6}
+    assert sorted((r["event_date"].day, r["linhas"]) for r in warehouse.snapshots().collect()) == [(1, 1), (1, 2), (2, 1)]
+    bronze.append_snapshot(warehouse, USERS, spark.createDataFrame([user_row("20240102", 9)]), dt.datetime(2024, 1, 4))
+    assert load.refresh_silver(warehouse, USERS, S) == [dt.date(2024, 1, 2)]
+    assert users(warehouse) == {(1, "Brazil"): 5, (2, "Brazil"): 9}
+
+
 def test_bad_number_stops_the_load(spark):
     records = spark.createDataFrame([user_row("20240101", 1, sessions="many")]).withColumn("data_extracao", F.lit(None).cast("timestamp_ntz"))
     with pytest.raises(Exception, match="sessions cannot be read as count: many"):

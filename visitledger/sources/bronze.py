@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Feed, Settings
@@ -29,19 +29,9 @@ def append_snapshot(
     then every day of it without rows gets an empty snapshot, which clears the day.
     """
     sid = snapshot_id or uuid.uuid4().hex
-    rows = records.select(
-        *[F.col(f"`{c}`") for c in feed.fields],
-        instant(extracted_at).alias("data_extracao"),
-        from_compact(F.col("date")).alias("event_date"),
-        F.lit(sid).alias("snapshot_id"),
-    )
-    rows.hint("rebalance", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "event_date", "snapshot_id"
-    ).parquet(wh.path("bronze", feed.name))
-    stored = wh.bronze(feed).where(F.col("snapshot_id") == sid)
-    log = stored.groupBy("event_date", "snapshot_id", "data_extracao").agg(F.count("*").alias("linhas")).select(
-        F.lit(feed.name).alias("relatorio"), "event_date", "snapshot_id", "linhas", "data_extracao"
-    )
+    rows = records.withColumn("data_extracao", instant(extracted_at)).withColumn("snapshot_id", F.lit(sid))
+    _store(wh, feed, rows)
+    log = _stored(wh, feed, F.col("snapshot_id") == sid)
     if empty_days:
         wanted = wh.spark.range(1).select(F.explode(F.sequence(*map(F.lit, empty_days))).alias("event_date"))
         log = log.unionByName(wanted.join(log, "event_date", "left_anti").select(
@@ -52,6 +42,35 @@ def append_snapshot(
     return sid
 
 
+def import_payloads(wh: Warehouse, feed: Feed, snapshots: DataFrame) -> None:
+    """Take over snapshots kept elsewhere as one JSON array per day (``payload``, ``data_extracao``)."""
+    rows = explode_payload(snapshots.select("payload", "data_extracao"), feed)
+    _store(wh, feed, rows.withColumn("snapshot_id", _import_id(F.col("data_extracao"))))
+    wh.append(_stored(wh, feed, F.col("snapshot_id").startswith("import-")).coalesce(1), "log", "snapshots")
+
+
+def _import_id(extracted_at: Column) -> Column:
+    return F.concat(F.lit("import-"), F.date_format(extracted_at, "yyyyMMddHHmmssSSSSSS"))
+
+
+def _store(wh: Warehouse, feed: Feed, rows: DataFrame) -> None:
+    """Write (day, snapshot) folders; only folders that are in ``rows`` are touched."""
+    rows.select(
+        *[F.col(f"`{c}`") for c in feed.fields], "data_extracao", from_compact(F.col("date")).alias("event_date"),
+        "snapshot_id",
+    ).hint("rebalance", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "event_date", "snapshot_id"
+    ).parquet(wh.path("bronze", feed.name))
+
+
+def _stored(wh: Warehouse, feed: Feed, chosen: Column) -> DataFrame:
+    """Log lines of stored snapshots."""
+    rows = wh.bronze(feed).where(chosen)
+    return rows.groupBy("event_date", "snapshot_id", "data_extracao").agg(F.count("*").alias("linhas")).select(
+        F.lit(feed.name).alias("relatorio"), "event_date", "snapshot_id", "linhas", "data_extracao"
+    )
+
+
 def explode_payload(snapshots: DataFrame, feed: Feed) -> DataFrame:
     """Rows of snapshots kept as one JSON array per day (``payload``); every other column is repeated."""
     schema = "array<struct<" + ",".join(f"`{c}`:string" for c in payload_schema(feed).names) + ">>"

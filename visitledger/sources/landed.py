@@ -19,7 +19,7 @@ def flatten(responses: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
 
     A record has one string column per field of the feed; a field the response does not carry is NULL. Cells
     beyond the headers are ignored, and headers without a cell give NULL, as when the two are paired up to the
-    shorter one. Rows without a date cannot be assigned to a day and are rejected.
+    shorter one. Rows without a readable date cannot be assigned to a day and are rejected.
     """
     names = F.concat(F.col("dimensionHeaders.name"), F.col("metricHeaders.name"))
     rows = responses.select("dimensionHeaders", "metricHeaders", names.alias("_names"), F.inline("rows"))
@@ -29,8 +29,9 @@ def flatten(responses: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
     records = rows.select(F.map_from_arrays("_names", values).alias("_r")).select(
         *[F.try_element_at("_r", F.lit(name)).alias(name) for name in feed.fields]
     )
-    has_day = F.col("date").rlike("^[0-9]{8}$")
-    return records.where(has_day), records.where(~F.coalesce(has_day, F.lit(False)))
+    real_day = F.try_to_timestamp("date", F.lit("yyyyMMdd")).isNotNull()
+    has_day = F.coalesce(F.col("date").rlike("^[0-9]{8}$") & real_day, F.lit(False))
+    return records.where(has_day), records.where(~has_day)
 
 
 def _paired(headers: str, cells: str) -> Column:
