@@ -127,8 +127,8 @@ def test_change_wording(spark):
 def test_headline(spark):
     df = spark.createDataFrame([(0.2, -0.1), (0.2, 0.01), (None, None)], "a double, b double")
     said = [r[0] for r in df.select(text.headline("Dados", F.col("a"), "Institucional", F.col("b"))).collect()]
-    assert said[0] == "Esta semana, Dados ganhou 20% de usuários e Institucional perdeu 10% de usuários frente à semana anterior."
-    assert said[1] == "Esta semana, Dados ganhou 20% de usuários frente à semana anterior."
+    assert said[0] == "Esta semana, o Dados ganhou 20% de usuários e o Institucional perdeu 10% de usuários frente à semana anterior."
+    assert said[1] == "Esta semana, o Dados ganhou 20% de usuários frente à semana anterior."
     assert said[2].startswith("Semana estável")
 
 

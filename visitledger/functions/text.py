@@ -72,6 +72,10 @@ def show_duration(seconds: Column) -> Column:
     )
 
 
+# Sentence of a week without large changes.
+STABLE_WEEK = "Semana estável nos dois portais — sem grandes variações de público frente à anterior."
+
+
 # ---- change between two periods ------------------------------------------------------------------------------------
 
 def change(current: Column, previous: Column) -> Column:
@@ -113,10 +117,10 @@ def headline(panel_site: str, panel_var: Column, home_site: str, home_var: Colum
 
     def part(site: str, var: Column) -> Column:
         verb = F.when(var > 0, F.lit("ganhou")).otherwise(F.lit("perdeu"))
-        text = F.concat(F.lit(f"{site} "), verb, F.lit(" "), _whole_percent(var), F.lit("% de usuários"))
+        text = F.concat(F.lit(f"o {site} "), verb, F.lit(" "), _whole_percent(var), F.lit("% de usuários"))
         return F.when(headline_worthy(var), text)
 
     both = F.concat_ws(" e ", part(panel_site, panel_var), part(home_site, home_var))
     return F.when(
         both != "", F.concat(F.lit("Esta semana, "), both, F.lit(" frente à semana anterior."))
-    ).otherwise(F.lit("Semana estável nos dois sites, sem grandes variações de público frente à anterior."))
+    ).otherwise(F.lit(STABLE_WEEK))

@@ -70,12 +70,12 @@ def weekly_change(spark, sf_dir):
     return weekly.site_change(weekly.site_kpis(_silver(spark, sf_dir), SUNDAY), SUNDAY)
 
 
-_PART = """CASE WHEN abs({v}) >= 0.1 THEN '{s} ' || (CASE WHEN {v} > 0 THEN 'ganhou ' ELSE 'perdeu ' END)
+_PART = """CASE WHEN abs({v}) >= 0.1 THEN 'o {s} ' || (CASE WHEN {v} > 0 THEN 'ganhou ' ELSE 'perdeu ' END)
       || CAST(round_even(abs({v}) * 100, 0) AS BIGINT) || '% de usuários' END"""
 
 
 @registered("weekly_headline", f"""SELECT panel_change, home_change, CASE WHEN said <> '' THEN 'Esta semana, ' || said || ' frente à semana anterior.'
-      ELSE 'Semana estável nos dois sites, sem grandes variações de público frente à anterior.' END AS headline
+      ELSE 'Semana estável nos dois portais — sem grandes variações de público frente à anterior.' END AS headline
     FROM (SELECT *, concat_ws(' e ', {_PART.format(v='panel_change', s='Dados')}, {_PART.format(v='home_change', s='Institucional')}) AS said
           FROM (SELECT max(wau_change) FILTER (WHERE site = 'Dados') AS panel_change,
                   max(wau_change) FILTER (WHERE site = 'Institucional') AS home_change FROM ({_CHANGE})))""")
