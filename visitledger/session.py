@@ -16,13 +16,20 @@ _CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# On a cluster shuffles start fine-grained and AQE merges them to its advisory size; 200 partitions would spill.
+_CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+}
+
 
 def build_session(master: str | None = None, app: str = "visitledger", **conf: str) -> SparkSession:
-    """Session with the settings the loads expect. Shuffle partitions are left to AQE unless given."""
+    """Session with the settings the loads expect; anything given as ``conf`` wins."""
+    local = master is not None and master.startswith("local")
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**_CONF, **conf}.items():
+    for key, value in {**_CONF, **({} if local else _CLUSTER_CONF), **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
