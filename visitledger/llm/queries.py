@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import bpe, quality
 from .frames import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -45,5 +45,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
          AS base_failed, failures = 0 AS kept, n_lines, failures FROM f
 """
 
-QUERIES: dict[str, Run] = {"op8_quality_rules": op8_quality_rules}
+def op2_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    import public_tokenizers
+
+    vocab = bpe.vocabulary(spark, public_tokenizers.path(vocabulary))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, vocab, public_tokenizers.PATTERN).select("doc_id", "tokens")
+    return coded.select(
+        "doc_id", "tokens.n_tokens", F.sha2("tokens.ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("tokens.ids"), vocab, public_tokenizers.PATTERN), 256).alias("decoded_sha256"))
+
+
+QUERIES: dict[str, Run] = {"op2_byte_bpe": op2_byte_bpe, "op8_quality_rules": op8_quality_rules}
 SQL: dict[str, str] = {"op8_quality_rules": OP8_SQL}
