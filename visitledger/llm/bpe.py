@@ -66,10 +66,9 @@ class Coder:
         self.cached_chars = 0
 
     def _merge(self, pieces: list[str]) -> None:
-        new = list(set(pieces) - self.cache.keys())
         if self.cached_chars > CACHE_CHARS:
             self.cache, self.cached_chars = {}, 0
-            new = list(set(pieces))
+        new = [piece for piece in set(pieces) if piece not in self.cache]
         for start in range(0, len(new), 1000):
             part = new[start:start + 1000]
             for piece, coded in zip(part, self.merger.encode_batch_fast(part, add_special_tokens=False), strict=True):
