@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality
+from . import bpe, licenses, quality, secrets, urls
 from .frames import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -56,5 +56,67 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_m
         F.sha2(bpe.decoded(F.col("tokens.ids"), vocab, public_tokenizers.PATTERN), 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Run] = {"op2_byte_bpe": op2_byte_bpe, "op8_quality_rules": op8_quality_rules}
-SQL: dict[str, str] = {"op8_quality_rules": OP8_SQL}
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+    base = "filter(secrets, s -> s.kind <> 'guess')"
+    joined = "concat_ws(',', transform({}, s -> concat_ws(':', s.kind, s.start, s.end)))"
+    count = "CAST(size(filter(secrets, s -> s.kind = '{}')) AS BIGINT)"
+    return found.select(
+        "doc_id", *[F.expr(count.format(k)).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.expr(f"sha2({joined.format(base)}, 256)").alias("base_sha256"), F.expr(joined.format("secrets")).alias("spans"))
+
+
+# The rules that the query judges by.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, rules).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+OP9_SQL = r"""
+WITH p AS (SELECT page_id, url, coalesce(regexp_extract(url, '://([^/?#]*)', 1), '') AS raw_host,
+             coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+h AS (SELECT page_id, lower(raw_host) AS host, path FROM p),
+r AS (SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+        ('net', '/es/', 'block'), ('net', '/fr/', 'block')) AS v(rh, rp, rv)),
+w AS (SELECT page_id, host, path, rh || rp AS rule, rv,
+        row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC NULLS LAST) AS k
+      FROM h LEFT JOIN r ON (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp))
+SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM w WHERE k = 1
+"""
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs).select("doc_id", "licences.*")
+    label = F.create_map(*[F.lit(x) for pair in {**licenses.BASE_PHRASES, **licenses.PHRASES}.items() for x in pair])
+    listed = ", ".join(f"'{p}'" for p in licenses.BASE_PHRASES)
+    rows = found.select(
+        "doc_id", "n_words", F.expr(f"filter(places, p -> p.phrase IN ({listed}))").alias("base"), "places", "expressions")
+    labels_of = lambda places: F.transform(places, lambda p: label[p["phrase"]])
+    tagged = F.flatten(F.transform("expressions", lambda e: e["identifiers"]))
+    notices = F.array_distinct(labels_of(F.col("places")))
+    return rows.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.transform("base", lambda p: p["word"])).alias("first_word"),
+        F.array_max(F.transform("base", lambda p: p["word"])).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(labels_of(F.col("base")))), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(notices, tagged))), ",").alias("labels"),
+        # an identifier tag settles it; each further kind of notice halves the doubt
+        F.when(F.size("expressions") > 0, F.lit(1.0)).otherwise(1.0 - F.pow(F.lit(0.5), F.size(notices))).alias("score"),
+        F.transform("expressions", lambda e: e["expression"]).alias("expressions"),
+        F.exists("expressions", lambda e: e["permitted"]).alias("permitted"))
+
+
+QUERIES: dict[str, Run] = {
+    "op2_byte_bpe": op2_byte_bpe,
+    "op3_secret_scan": op3_secret_scan,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_url_filter": op9_url_filter,
+    "op10_license_scan": op10_license_scan,
+}
+SQL: dict[str, str] = {"op8_quality_rules": OP8_SQL, "op9_url_filter": OP9_SQL}
