@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import os
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,7 @@ class Coder:
     """Encoder and decoder of one vocabulary; one per worker process."""
 
     def __init__(self, data: bytes, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import regex
         from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -72,7 +75,7 @@ class Coder:
         for start in range(0, len(new), 1000):
             part = new[start:start + 1000]
             for piece, coded in zip(part, self.merger.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.cache[piece] = np.array(coded.ids, "<u4").tobytes()
+                self.cache[piece] = struct.pack(f"<{len(coded.ids)}I", *coded.ids)
         self.cached_chars += sum(map(len, new))
 
     def encode(self, text: str | None) -> bytes:
