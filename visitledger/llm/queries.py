@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, quality, secrets, urls
+from . import bpe, jaccard, licenses, quality, secrets, urls
 from .frames import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.join(docs, likeness=jaccard.Likeness(width=3, part=90)).select(
+        "doc_id", "n_shingles", F.col("class_id").alias("component_id"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(read_table(spark, sf_dir, "documents"))
     base = quality.passes(F.col("failures"), quality.BASE)
@@ -115,6 +121,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
