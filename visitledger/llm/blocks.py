@@ -16,21 +16,19 @@ TILE = 2048
 
 
 def tiled(rows: DataFrame, member: str, size: str, tile: int = TILE) -> DataFrame:
-    """``rows`` with columns tile_a, tile_b: a group of ``size`` members becomes pairs of tiles.
+    """``rows`` with columns tile_own, tile_a, tile_b: a group of ``size`` members becomes pairs of tiles.
 
     Groups of up to ``tile`` members are the single pair (0, 0). Members of larger ones are dealt to tiles by hash and
     go to every pair of tiles that theirs is part of, so that each two members of the group meet in some task and no task
     holds more than about two tiles.
     """
+    other = free_name(rows.columns, "tile_other")
     n = F.ceil(F.col(size) / F.lit(tile)).cast("int")
-    own = F.pmod(F.xxhash64(named(member), F.lit(17)), n).cast("int")
-    name = {k: free_name(rows.columns, k) for k in ("tile_own", "tile_other")}
-    spread = (rows.withColumn(name["tile_own"], own)
-              .withColumn(name["tile_other"], F.explode(F.sequence(F.lit(0), n - 1))))
-    mine, other = named(name["tile_own"]), named(name["tile_other"])
+    spread = (rows.withColumn("tile_own", F.pmod(F.xxhash64(named(member), F.lit(17)), n).cast("int"))
+              .withColumn(other, F.explode(F.sequence(F.lit(0), n - 1))))
     # a tile meets itself together with every other one, so of several tiles no pair of equal ones is needed
-    return (spread.filter((n == 1) | (mine != other))
-            .withColumns({"tile_a": F.least(mine, other), "tile_b": F.greatest(mine, other)}).drop(*name.values()))
+    return spread.filter((n == 1) | (F.col("tile_own") != named(other))).withColumns({
+        "tile_a": F.least("tile_own", named(other)), "tile_b": F.greatest("tile_own", named(other))}).drop(other)
 
 
 def by_group(df: DataFrame, keys: list[str], work: Callable[[dict, int, int], list], load: Callable[[pa.Table], dict],

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, quality, secrets, urls
+from . import bpe, embeddings, jaccard, licenses, quality, secrets, urls
 from .frames import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", F.col("class_id").alias("component_id"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(read_table(spark, sf_dir, "documents"))
     base = quality.passes(F.col("failures"), quality.BASE)
@@ -122,6 +126,7 @@ QUERIES: dict[str, Run] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
