@@ -27,11 +27,22 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as a table in the shared folder and read again: later jobs do not depend on lost executors."""
+    """The rows written as a table in the shared folder and read again: later jobs do not depend on lost executors.
+
+    Once the table is there its shuffle files serve nobody, so Spark is asked to remove them with the job.
+    """
     spark: SparkSession = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

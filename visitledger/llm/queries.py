@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, jaccard, licenses, quality, secrets, urls
+from . import bpe, embeddings, jaccard, licenses, quality, secrets, suffixes, urls
 from .frames import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        "kept_sha256")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.join(docs, likeness=jaccard.Likeness(width=3, part=90)).select(
@@ -125,6 +132,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_quality_rules": op8_quality_rules,
