@@ -17,7 +17,7 @@ strings repeat. Texts are worked on in pieces of ``PIECE`` bytes, so a long one
 
 Defined results: a null text is empty; an empty or short text has no spans; repeated rows each get their result, and
 repeat each other from ``length`` bytes on; an empty table gives an empty result. Fingerprints have 64 bits and are
-confirmed by 32 bits from elsewhere in the string.
+confirmed by 32 bits from elsewhere in the string; those of the screening samples have 48.
 """
 
 from __future__ import annotations
@@ -87,7 +87,7 @@ def checks(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 def slices(texts: Iterable[tuple[int, bytes, np.ndarray | None]], reach: int):
     """Texts, or pieces of long ones, gathered to about ``PIECE`` bytes: (bytes, uids, begins, offsets, lengths, marks).
 
-    A piece ends ``reach`` - 1 bytes behind its last own position. A slice holds uids of one written partition only.
+    A piece ends ``reach`` - 1 bytes behind its last own position.
     """
     held: list = []
     volume = 0
@@ -99,9 +99,6 @@ def slices(texts: Iterable[tuple[int, bytes, np.ndarray | None]], reach: int):
                 np.array([h[1] for h in held], np.int64), sizes, [h[3] for h in held])
 
     for uid, text, extra in texts:
-        if held and held[0][0] >> 33 != uid >> 33:
-            yield flush()
-            held, volume = [], 0
         for offset in range(0, max(1, len(text) - reach + 1), PIECE):
             held.append((uid, offset, text[offset:offset + PIECE + reach - 1], extra))
             volume += len(held[-1][2])
@@ -112,33 +109,40 @@ def slices(texts: Iterable[tuple[int, bytes, np.ndarray | None]], reach: int):
         yield flush()
 
 
-_DEALT = "bucket int, base long, uids binary, at binary, marks binary, checks binary"
+_DEALT = "bucket int, uids binary, at binary, marks binary, checks binary"
 
 
 def _dealt(marks: np.ndarray, check: np.ndarray | None, uids: np.ndarray, at: np.ndarray, bits: int) -> pa.RecordBatch:
-    """One row for each bucket that the entries fall into."""
+    """One row for each bucket that the entries fall into.
+
+    Samples (no ``check``) only screen, so the upper 48 bits of their marks are enough.
+    """
     bucket = (marks >> np.uint64(64 - bits)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
-    bucket, base = bucket[order], int(uids.min())
+    bucket = bucket[order]
     first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
 
-    def blobs(values: np.ndarray) -> pa.Array:
+    def blobs(values: np.ndarray, skip: int = 0) -> pa.Array:
         raw = np.ascontiguousarray(values[order])
-        ends = np.append(first, len(raw)).astype(np.int32) * raw.itemsize
+        raw = np.ascontiguousarray(raw.view(np.uint8).reshape(len(raw), -1)[:, skip:])
+        ends = np.append(first, len(raw)).astype(np.int32) * raw.shape[1]
         return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
 
-    none = np.zeros(len(marks), np.uint32) if check is None else check
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[first]), pa.array(np.full(len(first), base)), blobs((uids - base).astype(np.uint32)),
-         blobs(at.astype(np.uint32)), blobs(marks), blobs(none) if check is not None else pa.array([None] * len(first), pa.binary())],
-        ["bucket", "base", "uids", "at", "marks", "checks"])
+        [pa.array(bucket[first]), blobs(uids), blobs(at.astype("<u4")), blobs(marks.astype("<u8"), 0 if check is not None else 2),
+         pa.nulls(len(first), pa.binary()) if check is None else blobs(check)],
+        ["bucket", "uids", "at", "marks", "checks"])
 
 
 def _tied(rows: DataFrame) -> DataFrame:
     """(uid, at): the positions whose entry has an equal one in its bucket. A task sorts one bucket after another."""
 
     def sort_bucket(held: list[dict]) -> pa.RecordBatch | None:
-        marks = np.concatenate([np.frombuffer(r["marks"], np.uint64) for r in held])
+        if held[0]["checks"] is None:
+            upper = np.concatenate([np.frombuffer(r["marks"], np.uint8) for r in held]).reshape(-1, 6)
+            marks = np.concatenate([np.zeros((len(upper), 2), np.uint8), upper], axis=1).view("<u8").ravel()
+        else:
+            marks = np.concatenate([np.frombuffer(r["marks"], "<u8") for r in held])
         order = np.argsort(marks, kind="stable")
         ranked = marks[order]
         same = ranked[1:] == ranked[:-1]
@@ -158,9 +162,7 @@ def _tied(rows: DataFrame) -> DataFrame:
             order = order[tie]
         if not len(order):
             return None
-        sizes = [len(r["marks"]) // 8 for r in held]
-        base = np.repeat(np.array([r["base"] for r in held], np.int64), sizes)[order]
-        uids = base + np.concatenate([np.frombuffer(r["uids"], np.uint32) for r in held])[order]
+        uids = np.concatenate([np.frombuffer(r["uids"], np.int64) for r in held])[order]
         at = np.concatenate([np.frombuffer(r["at"], np.uint32) for r in held])[order]
         again = np.lexsort((at, uids))
         uids, at = uids[again], np.ascontiguousarray(at[again])
