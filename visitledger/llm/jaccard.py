@@ -25,12 +25,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import TILE, by_group, forest, tiled
 from .components import components
-from .frames import named, written
+from .frames import SPACE, free_name, named, written
 
 BITMAP = 64  # bytes
 CACHED_WORDS = 500_000
@@ -135,7 +135,7 @@ def bitmap(grams: np.ndarray) -> bytes:
 
 
 def profiles(docs: DataFrame, key: str, text: str, likeness: Likeness) -> DataFrame:
-    """(id, size, mark, bits, blocks) of every document; mark is null for an empty set."""
+    """(id, text_hash, size, mark, bits, blocks) of every document; mark is null for an empty set."""
 
     def batch(values: pa.Array) -> pa.Array:
         classes = _Classes(likeness)
@@ -151,7 +151,13 @@ def profiles(docs: DataFrame, key: str, text: str, likeness: Likeness) -> DataFr
              pa.array(blocks, pa.list_(pa.int64()))], ["size", "mark", "bits", "blocks"])
 
     run = F.arrow_udf(batch, "struct<size:long,mark:binary,bits:binary,blocks:array<long>>")
-    return docs.select(named(key).alias("id"), run(named(text).cast("string")).alias("p")).select("id", "p.*")
+    return docs.select(named(key).alias("id"), _text_hash(text).alias("text_hash"),
+                       run(named(text).cast("string")).alias("p")).select("id", "text_hash", "p.*")
+
+
+def _text_hash(text: str) -> Column:
+    whole = named(text).cast("string")
+    return F.xxhash64(whole, F.octet_length(whole), whole.isNull())
 
 
 def _candidates(rows: DataFrame, vertices: DataFrame, likeness: Likeness) -> DataFrame:
@@ -214,7 +220,11 @@ def _products(members: DataFrame, likeness: Likeness) -> DataFrame:
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: Likeness = Likeness()) -> DataFrame:
-    """(id, n_shingles, class_id, mark) of every row of ``docs``; equal marks are equal sets."""
+    """(key, n_shingles, class_id, mark, class_key, text_hash) of every row of ``docs``.
+
+    Equal marks are equal sets; class_key numbers the classes within this result (null for empty sets) and tells those
+    apart that share their least id because ids repeat.
+    """
     rows = written(profiles(docs, key, text, likeness), "profiles")
     sets = rows.filter("mark IS NOT NULL").groupBy("mark").agg(
         F.min("id").alias("least"), F.max("size").alias("size"), F.max("bits").alias("bits"))
@@ -241,6 +251,24 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: Lik
     least = vertices.select("vertex", "least", "mark").join(sure, "vertex", "left")
     found = written(least.select("mark", "least", F.coalesce("root", "vertex").alias("root")), "classes")
     class_ids = found.groupBy("root").agg(F.min("least").alias("class_id"))
-    named_classes = written(found.join(class_ids, "root").select(F.col("mark").alias("m"), "class_id"), "named")
-    return rows.select("id", "size", "mark").join(named_classes, F.col("mark") == F.col("m"), "left").select(
-        F.col("id").alias(key), F.col("size").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"), "mark")
+    named_classes = written(found.join(class_ids, "root").select(F.col("mark").alias("m"), "class_id", F.col("root").alias("class_key")), "named")
+    return rows.select("id", "size", "mark", "text_hash").join(named_classes, F.col("mark") == F.col("m"), "left").select(
+        F.col("id").alias(key), F.col("size").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"), "mark",
+        "class_key", "text_hash")
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: Likeness = Likeness()) -> DataFrame:
+    """The rows of ``docs`` of which one stays for each class: that with the least id, then the least hash of its text.
+
+    Rows without words stay, each of them; of rows that are equal in id and text one stays.
+    """
+    found = written(join(docs.select(named(key), named(text)), key, text, likeness), "joined")
+    least = F.struct(named(key).alias("id"), F.col("text_hash"))
+    chosen = found.filter("class_key IS NOT NULL").filter(named(key).eqNullSafe(F.col("class_id"))).groupBy("class_key").agg(
+        F.min(least).alias("k")).select(F.col("k.id").alias("keep_id"), F.col("k.text_hash").alias("keep_hash"))
+    hashed = free_name(docs.columns, "text_hash")
+    rows = docs.withColumn(hashed, _text_hash(text))
+    empty = F.coalesce(F.length(F.btrim(named(text).cast("string"), F.lit(SPACE))), F.lit(0)) == 0
+    kept = rows.filter(~empty).join(written(chosen, "chosen"), (named(hashed) == F.col("keep_hash"))
+                                    & named(key).eqNullSafe(F.col("keep_id")), "left_semi").dropDuplicates([key, hashed])
+    return kept.unionByName(rows.filter(empty)).select(*[named(c) for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, jaccard, licenses, quality, secrets, suffixes, urls
+from . import bpe, embeddings, jaccard, licenses, lines, mixing, quality, secrets, suffixes, urls
 from .frames import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
          AS base_failed, failures = 0 AS kept, n_lines, failures FROM f
 """
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    rows = mixing.drawn(docs)
+    return rows.select("doc_id", "source", "lang", "mixed.topic", "mixed.n_tokens", F.round("mixed.weight", 6).alias("weight"),
+                       F.round("mixed.probability", 6).alias("probability"), "mixed.sampled")
+
+
+def _mixing_sql(mix: mixing.Mix) -> str:
+    """The same fit, one step for each dimension of each pass."""
+    steps = ["""d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t, text FROM documents)""",
+             r"""w AS (SELECT doc_id, source, lang, text, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
+               CASE WHEN contains(t, ' | ') THEN 'table' WHEN regexp_matches(t, '@|https?://|\+\d') THEN 'contact'
+                    WHEN contains(t, chr(10)) THEN 'paragraphs' ELSE 'prose' END AS topic FROM d)""",
+             "c AS (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS n FROM w GROUP BY ALL)",
+             "s AS (SELECT sum(n) AS total FROM c)"]
+    for dim, power in zip(mixing.DIMENSIONS, mix.flatten, strict=True):
+        steps.append(f"t_{dim} AS (SELECT {dim}, pow(sum(n)::DOUBLE, {power}) AS p FROM c GROUP BY {dim} HAVING sum(n) > 0)")
+        steps.append(f"g_{dim} AS (SELECT {dim}, p / (SELECT sum(p) FROM t_{dim}) AS target FROM t_{dim})")
+    steps.append("f0 AS (SELECT c.*, n / total::DOUBLE AS weight FROM c, s)")
+    number = 0
+    for _ in range(mix.passes):
+        for dim in mixing.DIMENSIONS:
+            steps.append(
+                f"f{number + 1} AS (SELECT f.source, f.lang, f.topic, n, CASE WHEN sum(weight) OVER (PARTITION BY f.{dim}) > 0 "
+                f"THEN weight * (coalesce(target, 0) / sum(weight) OVER (PARTITION BY f.{dim})) ELSE 0 END AS weight "
+                f"FROM f{number} f LEFT JOIN g_{dim} g ON f.{dim} IS NOT DISTINCT FROM g.{dim})")
+            number += 1
+    steps.append(f"r AS MATERIALIZED (SELECT *, CASE WHEN n > 0 THEN weight / n ELSE 0 END AS rate FROM f{number})")
+    steps.append(f"k0 AS (SELECT {mix.budget} * total AS scale FROM s)")
+    for k in range(mix.fills):
+        steps.append(
+            f"k{k + 1} AS MATERIALIZED (SELECT greatest(max(scale), coalesce(({mix.budget} * max(total) "
+            f"- sum(CASE WHEN rate * scale >= 1 THEN n ELSE 0 END)) "
+            f"/ nullif(sum(CASE WHEN rate * scale >= 1 THEN 0 ELSE weight END), 0), 0)) AS scale FROM r, k{k}, s)")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, w.source, w.lang, w.topic, n_tokens, round(CASE WHEN n > 0 THEN weight * total / n ELSE 0 END, 6) AS weight,
+  round(least(1.0, rate * scale), 6) AS probability,
+  ('0x' || substr(md5('{mix.seed}' || chr(31) || doc_id || chr(31) || coalesce(text, chr(0))), 1, 8))::BIGINT / 4294967296.0
+    < least(1.0, rate * scale) AS sampled
+FROM w JOIN r ON w.source IS NOT DISTINCT FROM r.source AND w.lang IS NOT DISTINCT FROM r.lang AND w.topic = r.topic,
+  k{mix.fills}, s"""
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return lines.remove(docs, removed="n_removed").select("doc_id", "text", "n_removed")
+
+
+OP5_SQL = rf"""
+WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+             unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+t AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM l),
+b AS (SELECT k, min(doc_id) AS keeper FROM t WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {lines.MIN_SITES}),
+r AS (SELECT t.*, b.k IS NOT NULL AND doc_id <> keeper AS gone FROM t LEFT JOIN b ON t.k = b.k),
+a AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text,
+        count(*) FILTER (gone) AS n_removed FROM r GROUP BY doc_id)
+SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE a.text END AS text, coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN a USING (doc_id)
+"""
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     import public_tokenizers
 
@@ -130,13 +191,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_source_mixing": op1_source_mixing,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
 }
-SQL: dict[str, str] = {"op8_quality_rules": OP8_SQL, "op9_url_filter": OP9_SQL}
+SQL: dict[str, str] = {
+    "op1_source_mixing": _mixing_sql(mixing.Mix()),
+    "op5_line_dedup": OP5_SQL,
+    "op8_quality_rules": OP8_SQL,
+    "op9_url_filter": OP9_SQL,
+}
