@@ -21,19 +21,19 @@ from __future__ import annotations
 import functools
 import hashlib
 import math
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .blocks import by_group, forest, tiled
 from .components import components
 from .frames import named, written
 
 #: Filters that a vector lies in on average and at least, and the seed of the code.
-MEAN, LEAST, SEED = 24, 16, 20_240_607
+MEAN, LEAST, SEED = 20, 12, 20_240_607
 
 
 class Code:
@@ -48,7 +48,20 @@ class Code:
         for size in (self.half, dim - self.half):
             book = draw.standard_normal((words, size)) if size else np.zeros((words, 0))
             self.books.append(book / np.maximum(np.linalg.norm(book, axis=1, keepdims=True), 1e-300))
-        self.reach = NormalDist().inv_cdf(1 - min(0.5, MEAN / words ** 2)) / math.sqrt(dim)
+        self.reach = self._calibrated(draw.standard_normal((64, dim)))
+
+    def _calibrated(self, trial: np.ndarray) -> float:
+        """The product at which random vectors, not the data's, lie in ``MEAN`` caps on average."""
+        turned = trial / np.linalg.norm(trial, axis=1, keepdims=True) @ self.turn
+        first = turned[:, :self.half] @ self.books[0].T
+        falling = np.sort(-(turned[:, self.half:] @ self.books[1].T), axis=1)
+        low, high = -2.0, 2.0
+        for _ in range(40):
+            reach = (low + high) / 2
+            count = sum(int(np.searchsorted(f, a - reach * math.sqrt(2), side="right").sum())
+                        for a, f in zip(first, falling, strict=True))
+            low, high = (reach, high) if count > MEAN * len(trial) else (low, reach)
+        return high
 
     def filters(self, unit: np.ndarray) -> list[np.ndarray]:
         """For each row the sorted numbers of all directions whose product with it reaches the cap."""
@@ -64,7 +77,7 @@ class Code:
                 count = np.searchsorted(falling, first - reach * math.sqrt(2), side="right")
                 if count.sum() >= least:
                     break
-                reach -= 0.25 * abs(self.reach) + 1e-3  # a vector that few caps reach widens them for itself
+                reach -= 0.02 * abs(self.reach) + 1e-4  # a vector that few caps reach widens them for itself
             rows = np.repeat(np.arange(self.words), count)
             rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             found.append(np.sort(rows * self.words + order[rank]))
@@ -76,16 +89,24 @@ def _code(dim: int, words: int) -> Code:
     return Code(dim, words)
 
 
-def _unit(vector: np.ndarray) -> np.ndarray:
-    scaled = vector / np.abs(vector).max()
-    return scaled / math.sqrt(float(scaled @ scaled))
+def _units(raw: list[bytes], kind: str) -> np.ndarray:
+    """Rows of unit length in double precision; scaled first, so that no square is too large or too small."""
+    rows = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    rows /= np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
-def _marked(rows: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """(id, mark, label, dim, unit): mark is the same for equal vectors of a label, null for what links with nothing."""
+def _kind(rows: DataFrame, vector: str) -> str:
+    """How components travel: floats as they are, all else as doubles."""
+    element = getattr(rows.schema[vector].dataType, "elementType", None)
+    return "<f4" if isinstance(element, T.FloatType) else "<f8"
+
+
+def _marked(rows: DataFrame, key: str, vector: str, label: str, kind: str) -> DataFrame:
+    """(id, mark, label, dim, vector): mark is the same for equal vectors of a label, null for what links with nothing."""
 
     def batch(vectors: pa.Array, labels: pa.Array) -> pa.Array:
-        mark, dim, unit = [], [], []
+        mark, dim, raw = [], [], []
         for value, name in zip(vectors, labels, strict=True):
             items = value.as_py() if name.is_valid else None
             good = bool(items) and None not in items
@@ -94,47 +115,47 @@ def _marked(rows: DataFrame, key: str, vector: str, label: str) -> DataFrame:
             mark.append(hashlib.blake2b(repr(name.as_py()).encode() + b"\0" + array.tobytes(), digest_size=16).digest()
                         if good else None)
             dim.append(len(items) if good else None)
-            unit.append(_unit(array).tobytes() if good else None)
+            raw.append(array.astype(kind).tobytes() if good else None)
         return pa.StructArray.from_arrays(
-            [pa.array(mark, pa.binary()), pa.array(dim, pa.int32()), pa.array(unit, pa.binary())], ["mark", "dim", "unit"])
+            [pa.array(mark, pa.binary()), pa.array(dim, pa.int32()), pa.array(raw, pa.binary())], ["mark", "dim", "vector"])
 
-    run = F.arrow_udf(batch, "struct<mark:binary,dim:int,unit:binary>")
+    run = F.arrow_udf(batch, "struct<mark:binary,dim:int,vector:binary>")
     return rows.select(named(key).alias("id"), named(label).alias("label"), run(named(vector), named(label)).alias("m")
                        ).select("id", "label", "m.*")
 
 
-def _links(vertices: DataFrame, words: int, threshold: float) -> DataFrame:
+def _links(vertices: DataFrame, words: int, threshold: float, kind: str) -> DataFrame:
     """(a, b, links): a link of a spanning forest, or with null b a number of vectors linked to a."""
 
-    def listed(units: pa.Array, dims: pa.Array) -> pa.Array:
+    def listed(vectors: pa.Array, dims: pa.Array) -> pa.Array:
         sizes = dims.to_numpy(zero_copy_only=False)
         out: list = [None] * len(sizes)
-        raw = units.to_pylist()
+        raw = vectors.to_pylist()
         for dim in np.unique(sizes):
             at = np.flatnonzero(sizes == dim)
             for part in np.array_split(at, max(1, len(at) * words // 4_000_000)):
-                block = np.frombuffer(b"".join(raw[i] for i in part), np.float64).reshape(len(part), dim)
+                block = _units([raw[i] for i in part], kind)
                 for i, found in zip(part, _code(int(dim), words).filters(block), strict=True):
                     out[i] = found
         return pa.array(out, pa.list_(pa.int64()))
 
-    filters = vertices.withColumn("filters", F.arrow_udf(listed, "array<long>")("unit", "dim"))
-    rows = filters.select("label", "dim", F.explode("filters").alias("filter"), "vertex", "copies", "unit", "filters")
-    at = Window.partitionBy("label", "dim", "filter")
-    shared = rows.withColumn("members", F.count(F.lit(1)).over(at)).filter("members > 1")
-    group = F.xxhash64("label", "dim")  # a number that keeps labels of any type apart; equal ones are told apart below
-    spread = tiled(shared, "vertex", "members").withColumn("part", group).select(
-        "part", "dim", "filter", "tile_a", "tile_b", "tile_own", "vertex", "copies", "unit", "filters",
-        F.col("label").cast("string").alias("label"))
+    filters = written(vertices.withColumn("filters", F.arrow_udf(listed, "array<long>")("vector", "dim")), "filters")
+    # filters with one vector go before vectors travel
+    rows = filters.select(F.xxhash64("label", "dim").alias("part"), "dim", F.explode("filters").alias("filter"), "vertex")
+    at = Window.partitionBy("part", "dim", "filter")
+    shared = written(rows.withColumn("members", F.count(F.lit(1)).over(at)).filter("members > 1"), "shared")
+    spread = tiled(shared, "vertex", "members").join(
+        filters.select("vertex", "copies", "vector", "filters", F.col("label").cast("string").alias("label")), "vertex"
+    ).select("part", "dim", "filter", "tile_a", "tile_b", "tile_own", "vertex", "copies", "vector", "filters", "label")
 
     def load(table: pa.Table) -> dict:
         return {"table": table, **{c: table.column(c).to_numpy() for c in (
-            "vertex", "copies", "dim", "filter", "tile_own", "tile_a", "tile_b")}}
+            "vertex", "copies", "filter", "tile_own", "tile_a", "tile_b")}}
 
     def work(c: dict, start: int, end: int) -> list:
         rows = c["table"].slice(start, end - start)
-        dim, tile_a, tile_b = int(c["dim"][start]), int(c["tile_a"][start]), int(c["tile_b"][start])
-        unit = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(end - start, dim)
+        tile_a, tile_b = int(c["tile_a"][start]), int(c["tile_b"][start])
+        unit = _units(rows.column("vector").to_pylist(), kind)
         alike = unit @ unit.T >= threshold
         names = np.array(rows.column("label").to_pylist(), object)
         if (names != names[0]).any():
@@ -169,14 +190,15 @@ def _links(vertices: DataFrame, words: int, threshold: float) -> DataFrame:
 def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                     threshold: float = 0.98) -> DataFrame:
     """(key, n_links, component_id, kept) of every row."""
-    marked = written(_marked(rows, key, vector, label), "vectors")
+    kind = _kind(rows, vector)
+    marked = written(_marked(rows, key, vector, label, kind), "vectors")
     valid = marked.filter("mark IS NOT NULL")
     vertices = written(valid.groupBy("mark").agg(
         F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"),
-        F.first("dim").alias("dim"), F.first("unit").alias("unit")).withColumn("vertex", F.monotonically_increasing_id()),
+        F.first("dim").alias("dim"), F.first("vector").alias("vector")).withColumn("vertex", F.monotonically_increasing_id()),
         "vertices")
     largest = vertices.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 1
-    found = written(_links(vertices, max(8, math.ceil(math.sqrt(largest))), threshold), "found")
+    found = written(_links(vertices, max(8, math.ceil(math.sqrt(largest))), threshold, kind), "found")
     sums = found.filter("b IS NULL").groupBy(F.col("a").alias("v")).agg(F.sum("links").alias("links"))
     roots = components(found.filter("b IS NOT NULL").select("a", "b"))
     joined = vertices.select("vertex", "mark", "least", "copies").join(
