@@ -116,7 +116,8 @@ def with_ledger(docs: DataFrame, text: str, out: str, rules: tuple[Rule, ...] =
     for i, rule in enumerate(rules):
         failures = failures.bitwiseOR(bit(i, rule))
     struct = F.struct(*[F.expr(v).alias(m) for m, v in fields.items()], failures.alias("failures"))
-    return measured.select(*[named(c) for c in docs.columns], struct.alias(out))
+    # a filter on the verdict must not be pushed down: it would evaluate the measures anew for every place that names them
+    return measured.select(*[named(c) for c in docs.columns], F.explode(F.array(struct)).alias(out))
 
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
