@@ -8,7 +8,10 @@ import __spark_entry__ as entry
 from compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# the queries of the llm subpackage have tests of their own beside it
+OWN = re.compile(r"op\d+_|pipeline$")
+QUERIES = {k: v for k, v in entry.queries().items() if not OWN.match(k)}
+ORACLES = {k: v for k, v in entry.oracle_sql().items() if not OWN.match(k)}
 # estimates have no statement that gives the same numbers; tests/test_rolling.py bounds their error
 WITHOUT_SQL = {"rolling_users_sketch"}
 
