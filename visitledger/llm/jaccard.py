@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import TILE, by_group, forest, tiled
@@ -34,6 +34,8 @@ from .frames import SPACE, free_name, named, written
 
 BITMAP = 64  # bytes
 CACHED_WORDS = 500_000
+#: One in so many blocks is looked at first.
+FIRST = 16
 
 
 @dataclass(frozen=True)
@@ -135,22 +137,19 @@ def bitmap(grams: np.ndarray) -> bytes:
 
 
 def profiles(docs: DataFrame, key: str, text: str, likeness: Likeness) -> DataFrame:
-    """(id, text_hash, size, mark, bits, blocks) of every document; mark is null for an empty set."""
+    """(id, text_hash, size, mark, bits) of every document; mark is null for an empty set."""
 
     def batch(values: pa.Array) -> pa.Array:
-        classes = _Classes(likeness)
-        size, mark, bits, blocks = [], [], [], []
+        size, mark, bits = [], [], []
         for value in values:
             grams = shingles(value.as_py(), likeness.width)
             size.append(len(grams))
             mark.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
             bits.append(bitmap(grams) if len(grams) else None)
-            blocks.append(block_prints(grams, classes).view(np.int64) if len(grams) else None)
         return pa.StructArray.from_arrays(
-            [pa.array(size, pa.int64()), pa.array(mark, pa.binary()), pa.array(bits, pa.binary()),
-             pa.array(blocks, pa.list_(pa.int64()))], ["size", "mark", "bits", "blocks"])
+            [pa.array(size, pa.int64()), pa.array(mark, pa.binary()), pa.array(bits, pa.binary())], ["size", "mark", "bits"])
 
-    run = F.arrow_udf(batch, "struct<size:long,mark:binary,bits:binary,blocks:array<long>>")
+    run = F.arrow_udf(batch, "struct<size:long,mark:binary,bits:binary>")
     return docs.select(named(key).alias("id"), _text_hash(text).alias("text_hash"),
                        run(named(text).cast("string")).alias("p")).select("id", "text_hash", "p.*")
 
@@ -160,11 +159,34 @@ def _text_hash(text: str) -> Column:
     return F.xxhash64(whole, F.octet_length(whole), whole.isNull())
 
 
-def _candidates(rows: DataFrame, vertices: DataFrame, likeness: Likeness) -> DataFrame:
-    """Links (a, b) of a spanning forest of what the bitmaps cannot rule out, within each block that rows share."""
-    from pyspark.sql import Window
+def _row_key(key: Column, text_hash: Column) -> Column:
+    return F.xxhash64(key, key.isNull(), text_hash)
+
+
+def _texts(docs: DataFrame, key: str, text: str, chosen: DataFrame) -> DataFrame:
+    """(vertex, text) for the rows that stand for the sets in ``chosen`` (vertex, row_key); equal rows are one."""
+    rows = docs.select(_row_key(named(key), _text_hash(text)).alias("k"), named(text).cast("string").alias("text"))
+    return rows.join(chosen, F.col("k") == F.col("row_key")).groupBy("k", "vertex").agg(
+        F.first("text").alias("text")).select("vertex", "text")
+
+
+def _shared_blocks(texts: DataFrame, likeness: Likeness) -> DataFrame:
+    """(block, vertex, members) of every block fingerprint that several rows have."""
+
+    def batch(values: pa.Array) -> pa.Array:
+        classes = _Classes(likeness)
+        found = []
+        for value in values:
+            grams = shingles(value.as_py(), likeness.width)
+            found.append(np.unique(block_prints(grams, classes)).view(np.int64) if len(grams) else None)
+        return pa.array(found, pa.list_(pa.int64()))
+
+    rows = texts.select("vertex", F.explode(F.arrow_udf(batch, "array<long>")("text")).alias("block")).select("block", "vertex")
+    return rows.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("block"))).filter("members > 1")
 
-    shared = (rows.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("block"))).filter("members > 1"))
+
+def _candidates(shared: DataFrame, vertices: DataFrame, likeness: Likeness) -> DataFrame:
+    """Links (a, b) of a spanning forest of what the bitmaps cannot rule out, within each block that rows share."""
     full = shared.join(vertices.select("vertex", "size", "bits"), "vertex")
     spread = tiled(full, "vertex", "members").select("block", "tile_a", "tile_b", "vertex", "size", "bits")
 
@@ -226,27 +248,34 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: Lik
     apart that share their least id because ids repeat.
     """
     rows = written(profiles(docs, key, text, likeness), "profiles")
+    stands = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash"))  # a row with an id where there is one
     sets = rows.filter("mark IS NOT NULL").groupBy("mark").agg(
-        F.min("id").alias("least"), F.max("size").alias("size"), F.max("bits").alias("bits"))
-    vertices = written(sets.withColumn("vertex", F.monotonically_increasing_id()), "sets")
-    keys = vertices.select(F.col("mark").alias("m"), F.col("least").alias("l"), "vertex")
-    chosen = rows.filter("mark IS NOT NULL AND size(blocks) > 0").join(
-        keys, (F.col("mark") == F.col("m")) & F.col("id").eqNullSafe(F.col("l")))
-    blocks = chosen.select("vertex", F.explode(F.array_distinct("blocks")).alias("block")).select("block", "vertex")
-    maybe = components(_candidates(blocks, vertices, likeness))
-
-    wanted = maybe.join(vertices, "vertex").select("root", "vertex", F.col("least").alias("l"), F.col("mark").alias("m"))
+        stands.alias("row"), F.max("size").alias("size"), F.max("bits").alias("bits"))
+    vertices = written(sets.select("mark", F.col("row.id").alias("least"), "size", "bits", F.monotonically_increasing_id().alias(
+        "vertex"), _row_key(F.col("row.id"), F.col("row.text_hash")).alias("row_key")), "sets")
+    shared = written(_shared_blocks(_texts(docs, key, text, vertices.select("vertex", "row_key")), likeness), "shared")
+
+    # Most blocks are shared inside one group. A sixteenth of them finds most groups; of the others only those that
+    # hold rows of several groups are left to look at, so the bitmaps do not travel once for every block.
+    some = F.pmod(F.xxhash64("block"), F.lit(FIRST)) == 0
+    early = written(_candidates(shared.filter(some), vertices, likeness), "early")
+    grouped = components(early).withColumnRenamed("vertex", "v")
+    rest = written(shared.filter(~some).join(grouped, F.col("vertex") == F.col("v"), "left").select(
+        "block", "vertex", "members", F.coalesce("root", "vertex").alias("root")), "rest")
+    mixed = written(rest.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
+        "low <> high").select(F.col("block").alias("open")), "open")
+    late = written(_candidates(rest.join(mixed, F.col("block") == F.col("open"), "left_semi"), vertices, likeness), "late")
+    maybe = components(early.unionByName(late))
+
+    wanted = written(maybe.join(vertices, "vertex").select("root", "vertex", "row_key"), "wanted")
 
     def gather(values: pa.Array) -> pa.Array:
-        grams = [shingles(v.as_py(), likeness.width).tobytes() for v in values]
-        marks = [hashlib.blake2b(g, digest_size=16).digest() for g in grams]
-        return pa.StructArray.from_arrays([pa.array(marks, pa.binary()), pa.array(grams, pa.binary())], ["mark", "grams"])
-
-    texts = docs.select(named(key).alias("id"), named(text).cast("string").alias("text")).join(
-        wanted, F.col("id").eqNullSafe(F.col("l")))
-    again = texts.select("root", "vertex", "m", F.arrow_udf(gather, "struct<mark:binary,grams:binary>")("text").alias("g"))
-    members = (again.filter("g.mark = m").select("root", "vertex", "g.grams").dropDuplicates(["vertex"]))
-    sure = components(_products(written(members, "members"), likeness))
+        return pa.array([shingles(v.as_py(), likeness.width).tobytes() for v in values], pa.binary())
+
+    texts = _texts(docs, key, text, wanted.select("vertex", "row_key"))
+    again = texts.select("vertex", F.arrow_udf(gather, "binary")("text").alias("grams"))
+    members = written(again.join(wanted.select("vertex", "root"), "vertex"), "members")
+    sure = components(_products(members, likeness))
 
     least = vertices.select("vertex", "least", "mark").join(sure, "vertex", "left")
     found = written(least.select("mark", "least", F.coalesce("root", "vertex").alias("root")), "classes")
