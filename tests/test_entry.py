@@ -60,3 +60,15 @@ def test_day_filter_prunes_partitions(spark, warehouse):
     plan = week._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "city" not in scan.split("ReadSchema")[1] and "event_date" in plan
+
+
+@pytest.mark.parametrize("name", ["panel_ranking", "panel_opens", "unmapped_targets", "weekly_dataset", "quality_gold_counts",
+                                  "views_by_name", "bars_by_state"])
+def test_no_job_runs_while_a_plan_is_built(spark, name):
+    group = f"building {name}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        QUERIES[name](spark, SF)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")

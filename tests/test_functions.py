@@ -167,3 +167,13 @@ def test_micros_needs_no_time_zone(spark):
             assert got == (at - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_decimals_round_the_binary_value(spark):
+    from visitledger.functions.text import show_decimal
+
+    values = [0.35, 0.15, 0.45, 1.15, 0.25, 0.75, -0.35, 1e6 + 0.05, *[n / 20 for n in range(400)], *[n / 7 for n in range(90)]]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for places in (0, 1, 2):
+        for r in rows.select("v", show_decimal(rows.v, places).alias("shown")).collect():
+            assert r.shown == f"{r.v:.{places}f}".replace(".", ",")

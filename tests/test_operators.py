@@ -101,13 +101,37 @@ def test_names(spark, dims):
     assert {r["n"] for r in panels.unmatched_names(rows, *dims).collect()} == {3, 4, 6, 7}
 
 
-def test_large_lookup_is_not_broadcast(spark):
-    from visitledger.operators.sizes import broadcast_if_small
+def test_lookup_join_follows_its_size(spark):
+    from visitledger.operators import panels
 
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    facts = spark.range(1000).selectExpr("CAST(id AS STRING) AS alvo")
+    known = spark.range(5).selectExpr("CAST(id AS STRING) AS alvo")
+
+    def plan():
+        found = panels.unmapped_targets(facts, known)
+        assert found.count() == 995
+        found.collect()
+        return found._jdf.queryExecution().executedPlan().toString()
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        assert "BroadcastHashJoin" in plan()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_events_without_a_user_match_nothing(spark):
+    from visitledger.operators.matching import last_label_before
+
+    rows = spark.sql("""SELECT * FROM VALUES (1, CAST(NULL AS BIGINT), timestamp_ntz'2024-01-01 10:00:00', 'label'),
+        (2, NULL, timestamp_ntz'2024-01-01 10:00:05', 'target'), (3, 7, timestamp_ntz'2024-01-01 10:00:00', 'label'),
+        (4, 7, timestamp_ntz'2024-01-01 10:00:05', 'target') AS t(id, user, ts, kind)""")
+    found = last_label_before(rows, "user", "ts", "id", F.col("kind") == "label", F.col("kind") == "target",
+                              F.col("kind"), F.col("id"), 60).collect()
+    assert [(r.user, r.id, r.label) for r in found] == [(7, 4, "label")]
 
-    assert hinted(broadcast_if_small(spark.range(10), 10)) and not hinted(broadcast_if_small(spark.range(11), 10))
 
 
 def test_targets(spark, dims):

@@ -49,9 +49,28 @@ def show_integer(value: Column) -> Column:
 
 
 def show_decimal(value: Column, places: int = 1) -> Column:
-    """Fixed number of places with a decimal comma and no thousands mark; missing shows as 0."""
-    text = F.format_string(f"%.{places}f", F.bround(F.coalesce(value.cast("double"), F.lit(0.0)), places))
-    return F.translate(text, ".", ",")
+    """Fixed number of places with a decimal comma and no thousands mark; missing shows as 0.
+
+    The binary value is rounded, not its shortest decimal form: 0.35 is a little less than it looks and shows as 0,3.
+    """
+    number = F.coalesce(value.cast("double"), F.lit(0.0))
+    rounded = _round_binary(number, places) / F.lit(10.0 ** places)
+    return F.translate(F.format_string(f"%.{places}f", rounded), ".", ",")
+
+
+def _round_binary(number: Column, places: int) -> Column:
+    """``number`` times ten to ``places`` as a whole number; only exact ties go to the even one.
+
+    Where the product looks like a tie, what the multiplication lost (from the halves of a split factor) settles it.
+    """
+    scale = F.lit(10.0 ** places)
+    product = number * scale
+    spread = number * F.lit(134217729.0)
+    upper = spread - (spread - number)
+    lost = (upper * scale - product) + (number - upper) * scale
+    low = F.floor(product).cast("double")
+    tie = F.when(lost > 0, low + 1).when(lost < 0, low).otherwise(F.rint(product))
+    return F.when(product - low == 0.5, tie).otherwise(F.rint(product))
 
 
 def show_percent(num: Column, den: Column, places: int = 0) -> Column:

@@ -27,14 +27,14 @@ def last_label_before(
     as there are buckets. A label event so late in its bucket that the next bucket can still see it is copied
     there, and only there. Within a bucket the latest label is carried along a running frame: no pairs are formed,
     and the work is linear. Targets sort before labels of the same instant, which do not count as preceding; labels
-    of one instant are settled by the larger id.
+    of one instant are settled by the larger id. Events without a user match nothing.
     """
     if bucket_seconds < seconds:
         raise ValueError("a bucket must be at least as long as the interval")
     span = bucket_seconds * 1_000_000
     reach = seconds * 1_000_000
     roles = F.explode(F.array_compact(F.array(F.when(is_target, F.lit(0)), F.when(is_label, F.lit(1)))))
-    base = events.where(is_label | is_target).select(
+    base = events.where(F.col(user).isNotNull() & (is_label | is_target)).select(
         F.col(user).alias("_user"), micros(F.col(ts)).alias("_us"), F.col(event_id).alias("_id"),
         label.alias("_label"), target.alias("_target"), roles.alias("_role"),
     ).withColumn("_own", F.floor(F.col("_us") / span))

@@ -81,7 +81,7 @@ _SHOW_INT = "replace(format('{:,}', CAST(round_even(total / 100.0, 0) AS BIGINT)
 
 
 @registered("display_formats", f"""SELECT o_custkey, {_SHOW_INT} AS whole,
-      replace(format('{{:.1f}}', n / 4.0), '.', ',') AS one_place,
+      replace(format('{{:.1f}}', n / 20.0), '.', ',') AS one_place,
       CASE WHEN urgent IS NULL THEN '—' ELSE replace(format('{{:.0f}}', round_even(100.0 * urgent / n, 0)), '.', ',') || '%' END AS share,
       CASE WHEN secs = 0 THEN '—' WHEN secs < 60 THEN secs || ' s'
            ELSE (secs // 60) || ' min ' || lpad(CAST(secs % 60 AS VARCHAR), 2, '0') || ' s' END AS duration
@@ -96,7 +96,7 @@ def display_formats(spark, sf_dir):
     return per_customer.select(
         "o_custkey",
         text.show_integer(F.col("total") / 100).alias("whole"),
-        text.show_decimal(F.col("n") / 4).alias("one_place"),
+        text.show_decimal(F.col("n") / 20).alias("one_place"),
         text.show_percent(F.col("urgent"), F.col("n")).alias("share"),
         text.show_duration(F.col("n") * 13 - 13).alias("duration"),
     )

@@ -72,10 +72,16 @@ def _stored(wh: Warehouse, feed: Feed, chosen: Column) -> DataFrame:
 
 
 def explode_payload(snapshots: DataFrame, feed: Feed) -> DataFrame:
-    """Rows of snapshots kept as one JSON array per day (``payload``); every other column is repeated."""
+    """Rows of snapshots kept as one JSON array per day (``payload``); every other column is repeated.
+
+    A payload that cannot be read stops the job: leaving it out would drop its whole day.
+    """
     schema = "array<struct<" + ",".join(f"`{c}`:string" for c in payload_schema(feed).names) + ">>"
     others = [c for c in snapshots.columns if c != "payload"]
-    return snapshots.select(*others, F.inline(F.from_json("payload", schema)))
+    rows = F.from_json("payload", schema)
+    broken = F.col("payload").isNotNull() & rows.isNull()
+    checked = F.when(broken, F.raise_error(F.lit("a snapshot payload is not a readable JSON array"))).otherwise(rows)
+    return snapshots.select(*others, F.inline(checked))
 
 
 def newest_snapshots(log: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from ..schemas import LANDED_RESPONSE
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Response files, one JSON object per file or line, with the explicit schema."""
-    return spark.read.schema(LANDED_RESPONSE).option("multiLine", True).json(path)
+    """Response files, one JSON object per file, with the explicit schema. A truncated file stops the job."""
+    return spark.read.schema(LANDED_RESPONSE).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def flatten(responses: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
