@@ -275,3 +275,19 @@ def test_views_by_name_over_tables(warehouse, tmp_path, spark):
         ("dim_painel", "painel"): 19, ("dim_painel", "auxiliar"): 1, ("dim_painel_alias", ""): 26,
         ("dim_painel_relatorio", "gtm"): 33, ("dim_painel_relatorio", "inferido"): 8, ("dim_painel_relatorio", "site"): 1,
     }
+
+
+def test_truncated_response_stops_the_load(spark, tmp_path):
+    whole = json.dumps(response(USERS, [user_row("20240101", 3)]))
+    (tmp_path / "good.json").write_text(whole)
+    (tmp_path / "short.json").write_text(whole[: len(whole) // 2])
+    records, _ = landed.flatten(landed.read_landed(spark, str(tmp_path)), USERS)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        records.collect()
+
+
+def test_unreadable_payload_stops_the_load(spark):
+    rows = spark.createDataFrame([("a", "[]"), ("b", "[{"), ("c", None)], "snapshot_id string, payload string")
+    assert bronze.explode_payload(rows.where("snapshot_id <> 'b'"), USERS).count() == 0
+    with pytest.raises(Exception, match="not a readable JSON array"):
+        bronze.explode_payload(rows, USERS).collect()
