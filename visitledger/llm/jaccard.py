@@ -8,8 +8,8 @@ differing bits are a lower bound of the differing columns; what can still link f
 sparse product is formed: overlap counts are accumulated column by column from posting lists, and pairs below the bound
 of their sizes are discarded.
 
-Nothing is capped. Documents with the same set are one row. Groups of more than ``blocks.TILE`` rows are cut into tiles
-that meet pairwise, and rows that are connected already are not multiplied again, since classes, not pairs, are wanted.
+Nothing is capped. Documents with the same set are one row. Large groups are cut into tiles of bounded volume that
+meet pairwise, and rows that are connected already are not multiplied again, since classes, not pairs, are wanted.
 
 Defined results: a text without words, empty or null has an empty set and links with nothing, its class is its own id;
 equal rows and equal ids share a class, whose id is the smallest id in it (null only if all are null); an empty table
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import TILE, by_group, forest, tiled
+from .blocks import by_group, forest, tiled
 from .components import components
 from .frames import SPACE, free_name, named, written
 
@@ -36,6 +36,8 @@ BITMAP = 64  # bytes
 CACHED_WORDS = 500_000
 #: One in so many blocks is looked at first.
 FIRST = 16
+#: Shingles of a group that are multiplied in one task; larger groups are cut into tiles of this volume.
+TILE_SHINGLES = 3_000_000
 
 
 @dataclass(frozen=True)
@@ -211,8 +213,8 @@ def _candidates(shared: DataFrame, vertices: DataFrame, likeness: Likeness) -> D
 
 def _products(members: DataFrame, likeness: Likeness) -> DataFrame:
     """Links (a, b) of a spanning forest of the exact join inside each candidate group (columns root, vertex, grams)."""
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    spread = tiled(members.join(sizes, "root"), "vertex", "members", TILE // 4)
+    volume = members.groupBy("root").agg(F.sum(F.octet_length("grams") / 8).alias("volume"))
+    spread = tiled(members.join(volume, "root"), "vertex", "volume", TILE_SHINGLES)
 
     def load(table: pa.Table) -> dict:
         return {"v": table.column("vertex").to_numpy(), "grams": table.column("grams")}
