@@ -1,11 +1,11 @@
 """N-gram Jaccard join as a blocked sparse matrix product.
 
 A document is a row of the incidence matrix of documents by shingles. Two rows of sizes x and y reach the threshold t
-only if they differ in at most (1 - t)(x + y)/(1 + t) columns. So the columns, dealt by hash, are cut into two blocks more
-than that bound for the size class: at least two blocks of a linking pair are equal as a whole, and rows meet in an
-equi-join on the fingerprints of their blocks. Rows that meet are thinned by a bitmap of their columns, whose
-differing bits are a lower bound of the differing columns; what can still link forms candidate groups. In those the
-sparse product is formed: overlap counts are accumulated column by column from posting lists, and pairs below the bound
+only if they differ in at most (1 - t)(x + y)/(1 + t) columns. So the columns, dealt by hash, are cut into more blocks
+than that bound for the size class: some blocks of a linking pair are equal as a whole, so many that not all of them are
+empty ones, and rows meet in an equi-join on the fingerprints of their blocks. Rows that meet are thinned by a bitmap of
+their columns, as wide as the row is long, whose differing bits are a lower bound of the differing columns; what can
+still link forms candidate groups. In those the sparse product is formed: overlap counts are accumulated column by column from posting lists, and pairs below the bound
 of their sizes are discarded.
 
 Nothing is capped. Documents with the same set are one row. Large groups are cut into tiles of bounded volume that
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,12 +33,13 @@ from .blocks import by_group, forest, tiled
 from .components import components
 from .frames import SPACE, free_name, named, written
 
-BITMAP = 64  # bytes
-CACHED_WORDS = 500_000
+#: Least and most bytes of a row's bitmap; between them it has a bit for each column of the row.
+BITMAP = (64, 1024)
+CACHED_WORDS = 200_000
 #: One in so many blocks is looked at first.
 FIRST = 16
 #: Shingles of a group that are multiplied in one task; larger groups are cut into tiles of this volume.
-TILE_SHINGLES = 3_000_000
+TILE_SHINGLES = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -99,6 +101,7 @@ class _Classes:
     def __init__(self, likeness: Likeness):
         self.likeness = likeness
         self.bounds: list[tuple[int, int]] = []
+        self.spares: list[int] = []
 
     def at(self, number: int) -> tuple[int, int]:
         while len(self.bounds) <= number:
@@ -111,11 +114,29 @@ class _Classes:
             self.at(len(self.bounds))
         return bisect.bisect_left(self.bounds, n, key=lambda b: b[1])
 
+    def spare(self, number: int) -> int:
+        """Blocks beyond the bound and one more: about as many as a row of this class or the one before leaves empty.
+
+        Any number gives right results, see ``block_prints``; it is held to an eighth of the bound, since more blocks
+        are shorter ones and leave still more of them empty.
+        """
+        while len(self.spares) <= number:
+            k = len(self.spares)
+            least, most = self.at(max(k - 1, 0))[0], self.likeness.differing(2 * self.at(k)[1])
+            spare = 1
+            for _ in range(8):
+                blocks = most + 1 + spare
+                empty = blocks * math.exp(-least / blocks)
+                spare = min(math.ceil(empty + 4 * math.sqrt(empty)) + 1, most // 8 + 1)
+            self.spares.append(spare)
+        return self.spares[number]
+
 
 def block_prints(grams: np.ndarray, classes: _Classes) -> np.ndarray:
     """Fingerprints of the row's column blocks for its size class and the next one.
 
-    A row with at most one empty block leaves it out: of the two equal blocks of a linking pair one is not empty.
+    A linking pair has at least one more equal block than ``spare``. So a row with no more empty blocks than that leaves
+    them out: one of the equal blocks is not empty. Only rows with more of them are known by their empty blocks, too.
     """
     own = classes.of(len(grams))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_mix(grams), dtype=np.uint64)])
@@ -124,20 +145,31 @@ def block_prints(grams: np.ndarray, classes: _Classes) -> np.ndarray:
         most = classes.likeness.differing(2 * classes.at(number)[1])
         if not most:
             continue  # only equal sets can link, and those are one row
-        cuts = _cuts(grams, most + 2)
+        spare = classes.spare(number)
+        blocks = most + 1 + spare
+        cuts = _cuts(grams, blocks)
         inside = sums[cuts[1:]] - sums[cuts[:-1]]
-        marks = _mix(inside + _mix(np.arange(most + 2, dtype=np.uint64) + np.uint64(number << 32)))
+        marks = _mix(inside + _mix(np.arange(blocks, dtype=np.uint64) + np.uint64(number << 32)))
         full = cuts[1:] > cuts[:-1]
-        prints.append(marks if (~full).sum() > 1 else marks[full])
+        prints.append(marks if (~full).sum() > spare else marks[full])
     return np.concatenate(prints) if prints else np.empty(0, np.uint64)
 
 
 def bitmap(grams: np.ndarray) -> bytes:
-    """Parity of the number of columns behind each bit."""
-    bits = np.bincount((_mix(grams + _TURN[0]) >> np.uint64(55)).astype(np.int64), minlength=BITMAP * 8) & 1
+    """Parity of the number of columns behind each bit. The width is a power of two."""
+    width = min(max(1 << (len(grams) - 1).bit_length(), BITMAP[0] * 8), BITMAP[1] * 8)
+    bits = np.bincount((_mix(grams + _TURN[0]) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def same_width(bitmaps: list[bytes]) -> np.ndarray:
+    """Rows of 64-bit words, all as wide as the narrowest: a wider bitmap is folded, the parities of its halves added."""
+    width = min(map(len, bitmaps)) // 8
+    if max(map(len, bitmaps)) == width * 8:
+        return np.frombuffer(b"".join(bitmaps), np.uint64).reshape(-1, width)
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, width), axis=0) for b in bitmaps])
+
+
 def profiles(docs: DataFrame, key: str, text: str, likeness: Likeness) -> DataFrame:
     """(id, text_hash, size, mark, bits) of every document; mark is null for an empty set."""
 
@@ -193,13 +225,13 @@ def _candidates(shared: DataFrame, vertices: DataFrame, likeness: Likeness) -> D
     spread = tiled(full, "vertex", "members").select("block", "tile_a", "tile_b", "vertex", "size", "bits")
 
     def load(table: pa.Table) -> dict:
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP // 8)
-        return {"v": table.column("vertex").to_numpy(), "n": table.column("size").to_numpy(), "bits": bits}
+        return {"v": table.column("vertex").to_numpy(), "n": table.column("size").to_numpy(),
+                "bits": table.column("bits").to_pylist()}
 
     ratio = (likeness.whole - likeness.part, likeness.whole + likeness.part)
 
     def work(c: dict, start: int, end: int) -> list:
-        v, n, bits = c["v"][start:end], c["n"][start:end], c["bits"][start:end]
+        v, n, bits = c["v"][start:end], c["n"][start:end], same_width(c["bits"][start:end])
 
         def near(x: int, others: np.ndarray) -> np.ndarray:
             apart = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
