@@ -50,10 +50,10 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     vocab = bpe.vocabulary(spark, public_tokenizers.path(VOCABULARY))
     rows = docs.select("doc_id", "source", "lang", "text")
-    coded = bpe.encode(rows, vocab, public_tokenizers.PATTERN, out="tokens")
-    back = bpe.decoded(F.col("tokens.ids"), vocab, public_tokenizers.PATTERN)
+    coded = bpe.encode(rows, vocab, public_tokenizers.PATTERN, out="tokens", decode=True)
     whole = F.coalesce("text", F.lit("")).cast("binary")
-    return coded.select("doc_id", "source", "lang", "tokens.n_tokens", "tokens.ids", (back == whole).alias("decodes"))
+    return coded.select("doc_id", "source", "lang", "tokens.n_tokens", "tokens.ids",
+                        (F.col("tokens.decoded") == whole).alias("decodes"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .frames import named
 
 #: Characters of distinct pieces that a worker keeps merged; beyond that it starts afresh.
-CACHE_CHARS = 4_000_000
+CACHE_CHARS = 2_000_000
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -109,10 +109,11 @@ def vocabulary(spark: SparkSession, path: str) -> Broadcast:
 
 
 def encode(docs: DataFrame, vocab: Broadcast, pattern: str, text: str = "text", out: str = "tokens",
-           offsets: bool = False) -> DataFrame:
-    """``docs`` and a struct ``out``: n_tokens, ids (binary) and, on request, starts and ends in characters.
+           offsets: bool = False, decode: bool = False) -> DataFrame:
+    """``docs`` and a struct ``out``: n_tokens, ids (binary), on request starts and ends in characters and ``decoded``.
 
-    ``out`` must not be a column of ``docs``; other names may clash with its fields.
+    ``decoded`` holds the bytes that the ids stand for, as ``decoded()`` gives them; here the same worker does both, where
+    a second function would start a second worker for every task. ``out`` must not be a column of ``docs``; other names may clash with its fields.
     """
     if out.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"documents already have a column {out}")
@@ -120,7 +121,7 @@ def encode(docs: DataFrame, vocab: Broadcast, pattern: str, text: str = "text",
     def batch(values: pa.Array) -> pa.Array:
         coder = _coder(vocab.value, pattern)
         texts = (v.as_py() for v in values)
-        ids, n, starts, ends = [], [], [], []
+        ids, n, starts, ends, back = [], [], [], [], []
         for value in texts:
             coded = coder.encode(value)
             ids.append(coded)
@@ -129,12 +130,17 @@ def encode(docs: DataFrame, vocab: Broadcast, pattern: str, text: str = "text",
                 first, last = coder.spans(value, coded)
                 starts.append(first)
                 ends.append(last)
+            if decode:
+                back.append(coder.decode(coded))
         fields = {"n_tokens": pa.array(n, pa.int64()), "ids": pa.array(ids, pa.binary())}
         if offsets:
             fields |= {"starts": pa.array(starts, pa.list_(pa.int64())), "ends": pa.array(ends, pa.list_(pa.int64()))}
+        if decode:
+            fields["decoded"] = pa.array(back, pa.binary())
         return pa.StructArray.from_arrays(list(fields.values()), list(fields))
 
     kind = "n_tokens:long,ids:binary" + (",starts:array<long>,ends:array<long>" if offsets else "")
+    kind += ",decoded:binary" if decode else ""
     run = F.arrow_udf(batch, f"struct<{kind}>")
     return docs.withColumn(out, run(named(text).cast("string")))
 

@@ -27,7 +27,10 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a step is written: shuffle files go with the job, and a Python worker gets batches of at most 8 MB, since texts
+#: are long and the default is 64 MB, which Spark and the worker both hold.
+_WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+                  "spark.sql.execution.arrow.maxBytesPerBatch": "8MB"}
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -37,12 +40,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark: SparkSession = df.sparkSession
     path = shared_dir(spark, name)
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
+    before = {key: spark.conf.get(key) for key in _WHILE_WRITING}
     try:
+        for key, value in _WHILE_WRITING.items():
+            spark.conf.set(key, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
