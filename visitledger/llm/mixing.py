@@ -66,7 +66,7 @@ def marginals(cells: DataFrame, mix: Mix) -> list[DataFrame]:
         sums = cells.groupBy(dim).agg(F.sum("n").alias("n")).filter("n > 0").select(
             F.col(dim).alias("member"), F.pow(F.col("n").cast("double"), F.lit(power)).alias("weight"))
         total = sums.agg(F.sum("weight")).first()[0] or 1.0
-        found.append(sums.select("member", (F.col("weight") / total).alias("target")))
+        found.append(written(sums.select("member", (F.col("weight") / total).alias("target")), f"target-{dim}"))
     return found
 
 
@@ -81,7 +81,8 @@ def rake(cells: DataFrame, targets: list[DataFrame], mix: Mix) -> DataFrame:
                 "d", F.when(F.col("now") > 0, F.coalesce("target", F.lit(0.0)) / F.col("now")).otherwise(0.0).alias("factor"))
             fitted = fitted.join(factor, F.col(dim).eqNullSafe(F.col("d")), "left").select(
                 *DIMENSIONS, "n", (F.col("weight") * F.coalesce("factor", F.lit(0.0))).alias("weight"))
-        fitted = written(fitted, f"raked{number}")
+            # every step reads the one before twice: unwritten, three of them are eight reads and one large plan
+            fitted = written(fitted, f"raked{number}-{dim}")
     return fitted
 
 
