@@ -64,3 +64,24 @@ def test_rest(spark, odd, none):
         suffixes.repeats(odd, length=100)
     cut = spark.createDataFrame([("héllo", [(1, 3)]), (None, None)], "text string, spans array<struct<start:long,end:long>>")
     assert [bytes(r.kept) for r in suffixes.without(cut, "spans").collect()] == [b"hllo", b""]
+
+
+def test_equal_strings_of_a_slice_are_one_entry():
+    text = b"=" * 50_000
+    at = np.arange(len(text) - 399)
+    marks = suffixes.fingerprints(np.frombuffer(text, np.uint8), at, 400)
+    for check in (None, suffixes.checks(np.frombuffer(text, np.uint8), at, 400)):
+        rows = [r for b in suffixes._dealt(marks, check, np.zeros(len(at), np.int64), at, 6) for r in b.to_pylist()]
+        sent = [r for r in rows if r["bucket"] >= 0]
+        assert len(sent) == 1 and np.frombuffer(sent[0]["uids"], np.int64).tolist() == [-1]
+        settled = np.concatenate([np.frombuffer(r["at"], np.uint32) for r in rows if r["bucket"] < 0])
+        assert sorted(settled.tolist()) == at.tolist()
+
+
+def test_long_runs_and_frequent_passages(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "PIECE", 3_000)
+    passage = "".join(chr(97 + i * i % 23) for i in range(260))
+    texts = ["=" * 9_000, "ab" * 3_000, "head " + "=" * 500, *[f"{i} {passage} {i * 7919}" for i in range(40)], "x" * 199 + "y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: ([(s.start, s.end) for s in r.spans], r.kept_sha256) for r in suffixes.repeats(docs, length=200).collect()}
+    assert got == dict(enumerate(brute(texts, 200)))

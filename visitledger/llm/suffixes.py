@@ -11,9 +11,12 @@ position less than v bytes behind the one and the same distance behind the other
    are worked off in rounds of bounded volume, each of them a written table, so neither memory nor disk holds all suffixes.
 3. Ties become byte spans per text.
 
-Order among unequal suffixes is not needed, so buckets are ranges of fingerprints instead of first letters: they are even
-whatever the texts are, and no frequent passage makes a large one. Equal texts are one text with a count: all their
-strings repeat. Texts are worked on in pieces of ``PIECE`` bytes, so a long one needs no more memory than others.
+Order among unequal suffixes is not needed, so buckets are ranges of fingerprints instead of first letters: distinct
+strings are spread evenly over them. Equal strings have to meet in one bucket, so a slice of ``PIECE`` bytes first settles the
+ties within itself and sends one entry for each distinct value: a long run of one byte is one entry for each slice it is
+in, and a passage of a third of the texts one for each slice and offset, not one for each text. Equal texts are one text
+with a count: all their strings repeat. Texts are worked on in pieces of ``PIECE`` bytes, so fingerprints of a long one
+need no more memory than those of others.
 
 Defined results: a null text is empty; an empty or short text has no spans; repeated rows each get their result, and
 repeat each other from ``length`` bytes on; an empty table gives an empty result. Fingerprints have 64 bits and are
@@ -110,32 +113,71 @@ def slices(texts: Iterable[tuple[int, bytes, np.ndarray | None]], reach: int):
 
 
 _DEALT = "bucket int, uids binary, at binary, marks binary, checks binary"
+#: Positions in one row of ties that a slice found by itself.
+_LOCAL = 1 << 16
 
 
-def _dealt(marks: np.ndarray, check: np.ndarray | None, uids: np.ndarray, at: np.ndarray, bits: int) -> pa.RecordBatch:
-    """One row for each bucket that the entries fall into.
+def _equal_runs(*ranked: np.ndarray) -> np.ndarray:
+    """Begins of the runs of equal values in sorted columns."""
+    change = np.ones(len(ranked[0]), bool)
+    change[1:] = False
+    for values in ranked:
+        change[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(change)
 
-    Samples (no ``check``) only screen, so the upper 48 bits of their marks are enough.
+
+def _dealt(marks: np.ndarray, check: np.ndarray | None, uids: np.ndarray, at: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """What a slice sends: one entry for each distinct value, one row for each bucket that the entries fall into.
+
+    Positions of a value that the slice has several times tie with each other, so they are settled here: they go out as
+    rows with a negative bucket, which spread over the tasks, and their value's entry has the uid -1. A bucket so holds
+    at most one entry for each value and slice. Samples (no ``check``) only screen, so the upper 48 bits of their marks
+    are enough.
     """
+    keys = (marks,) if check is None else (marks, check)
+    order = np.argsort(marks) if check is None else np.lexsort((check, marks))
+    begin = _equal_runs(*[k[order] for k in keys])
+    size = np.diff(np.append(begin, len(order)))
+    settled = np.sort(order[np.repeat(size > 1, size)])
+    for k in range(0, len(settled), _LOCAL):
+        mine = settled[k:k + _LOCAL]
+        spread = int(uids[mine[0]]) * 31 + int(at[mine[0]]) // _LOCAL
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1 - spread * 0x9E3779B1 % 2 ** 30], pa.int32()), pa.array([uids[mine].tobytes()]),
+             pa.array([at[mine].astype("<u4").tobytes()]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())],
+            ["bucket", "uids", "at", "marks", "checks"])
+    order = order[begin]
+    marks, at, check = marks[order], at[order], None if check is None else check[order]
+    uids = np.where(size > 1, np.int64(-1), uids[order])
     bucket = (marks >> np.uint64(64 - bits)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    first = _equal_runs(bucket)
 
     def blobs(values: np.ndarray, skip: int = 0) -> pa.Array:
-        raw = np.ascontiguousarray(values[order])
+        raw = np.ascontiguousarray(values)
         raw = np.ascontiguousarray(raw.view(np.uint8).reshape(len(raw), -1)[:, skip:])
         ends = np.append(first, len(raw)).astype(np.int32) * raw.shape[1]
         return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
 
-    return pa.RecordBatch.from_arrays(
+    yield pa.RecordBatch.from_arrays(
         [pa.array(bucket[first]), blobs(uids), blobs(at.astype("<u4")), blobs(marks.astype("<u8"), 0 if check is not None else 2),
          pa.nulls(len(first), pa.binary()) if check is None else blobs(check)],
         ["bucket", "uids", "at", "marks", "checks"])
 
 
+def _by_uid(uids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """(uid, at) rows of the positions."""
+    again = np.lexsort((at, uids))
+    uids, at = uids[again], np.ascontiguousarray(at[again])
+    first = _equal_runs(uids)
+    ends = np.append(first, len(at)).astype(np.int32) * 4
+    return pa.RecordBatch.from_arrays(
+        [pa.array(uids[first]),
+         pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(at)])], ["uid", "at"])
+
+
 def _tied(rows: DataFrame) -> DataFrame:
-    """(uid, at): the positions whose entry has an equal one in its bucket. A task sorts one bucket after another."""
+    """(uid, at): the positions whose entry has an equal one in its bucket or its slice. A task sorts one bucket after
+    another."""
 
     def sort_bucket(held: list[dict]) -> pa.RecordBatch | None:
         if held[0]["checks"] is None:
@@ -160,22 +202,18 @@ def _tied(rows: DataFrame) -> DataFrame:
             tie[1:] |= same
             tie[:-1] |= same
             order = order[tie]
-        if not len(order):
-            return None
         uids = np.concatenate([np.frombuffer(r["uids"], np.int64) for r in held])[order]
         at = np.concatenate([np.frombuffer(r["at"], np.uint32) for r in held])[order]
-        again = np.lexsort((at, uids))
-        uids, at = uids[again], np.ascontiguousarray(at[again])
-        first = np.flatnonzero(np.concatenate([[True], uids[1:] != uids[:-1]]))
-        ends = np.append(first, len(at)).astype(np.int32) * 4
-        return pa.RecordBatch.from_arrays(
-            [pa.array(uids[first]),
-             pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(at)])], ["uid", "at"])
+        open_ = uids >= 0  # the others are settled in their slices
+        return _by_uid(uids[open_], at[open_]) if open_.any() else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
             for row in batch.to_pylist():
+                if row["bucket"] < 0:
+                    yield _by_uid(np.frombuffer(row["uids"], np.int64), np.frombuffer(row["at"], np.uint32))
+                    continue
                 if held and held[0]["bucket"] != row["bucket"]:
                     if (found := sort_bucket(held)) is not None:
                         yield found
@@ -200,7 +238,7 @@ def _samples(texts: DataFrame, length: int, bits: int) -> DataFrame:
             at = np.flatnonzero(in_cover[(place + offsets[owner]) % PERIOD] & (place <= sizes[owner] - reach))
             if len(at):
                 whose = owner[at]
-                yield _dealt(fingerprints(data, at, reach), None, uids[whose], place[at] + offsets[whose], bits)
+                yield from _dealt(fingerprints(data, at, reach), None, uids[whose], place[at] + offsets[whose], bits)
 
     return texts.select("uid", F.col("text").cast("binary").alias("text")).mapInArrow(run, _DEALT)
 
@@ -214,7 +252,7 @@ def _starts(size: int, sampled: np.ndarray, length: int) -> np.ndarray:
     change = np.zeros(size + 1, np.int32)
     np.add.at(change, np.maximum(sampled - PERIOD + 1, 0), 1)
     np.add.at(change, np.minimum(sampled + 1, size), -1)
-    mask = np.cumsum(change[:-1]) > 0
+    mask = np.cumsum(change[:-1], dtype=np.int32) > 0
     mask[max(0, size - length + 1):] = False
     return mask
 
@@ -241,7 +279,7 @@ def _suffixes(suspects: DataFrame, length: int, bits: int, turn: int, turns: int
             at, marks = at[mine], marks[mine]
             if len(at):
                 whose = owner[at]
-                yield _dealt(marks, checks(data, at, length), uids[whose], place[at] + offsets[whose], bits)
+                yield from _dealt(marks, checks(data, at, length), uids[whose], place[at] + offsets[whose], bits)
 
     return suspects.select("uid", "text", "at").mapInArrow(run, _DEALT)
 
