@@ -74,3 +74,35 @@ def test_frames(odd, none, documents):
     with pytest.raises(ValueError):
         secrets.scan(odd, out="mark")
     assert secrets.guess_bits("ab1" * 30_000) > 0
+
+
+def guessed(text, **options):
+    return [text[s[1]:s[2]] for s in secrets.find_spans(text, **options) if s[0] == "guess"]
+
+
+def test_clean_prose_with_the_corpus_words(spark):
+    prose = ["An important message says that the lines are concatenated first.",
+             "Two concatenated lines, one important message, and then the password zqvxkwjyhf is gone.",
+             "the secret is important", "the token is concatenated", "password: zqvxkwjyhf", "password = zqvxkwjyhf"]
+    docs = spark.createDataFrame(list(enumerate([*prose, None, ""])), "doc_id long, text string")
+    words = secrets.corpus_words(docs)
+    assert {"important", "concatenated", "message"} <= set(words) and "zqvxkwjyhf" not in words
+    few = secrets.corpus_words(docs, size=2)
+    assert 1 <= len(few) <= 2 and set(few) <= set(words)
+    found = {r.doc_id: [r.text[s.start:s.end] for s in r.secrets if s.kind == "guess"]
+             for r in secrets.scan(docs).collect() if r.secrets}
+    assert found == {4: ["zqvxkwjyhf"], 5: ["zqvxkwjyhf"]}
+
+
+def test_quoted_values_are_priced_whole():
+    assert guessed('password: "correct horse battery staple"') == ["correct horse battery staple"]
+    assert guessed("passphrase = 'correct horse battery staple', x") == ["correct horse battery staple"]
+    assert guessed('{"secret": "a \\"b\\" h7Kq9zPw2x"}') == ['a \\"b\\" h7Kq9zPw2x']
+    # no closing quote: up to white space, and the next context is not swallowed
+    assert guessed('password="h7Kq9zPw2xVb5LtY and token="Zt5LbVx2wPz9qK7h') == ["h7Kq9zPw2xVb5LtY", "Zt5LbVx2wPz9qK7h"]
+    assert guessed('password: "password"') == []
+
+
+def test_repeats_inside_a_value():
+    assert secrets.guess_bits("k7z" * 6 + "q") < secrets.MIN_BITS
+    assert secrets.guess_bits("q" + "k7z" * 6) < secrets.MIN_BITS

@@ -2,8 +2,13 @@
 
 The guess count is the cheapest way to cut a value into known words, dates, repeats, sequences, keyboard walks and
 spans that have to be tried character by character (dynamic programming over the value's positions). A value that needs
-``MIN_BITS`` bits of guessing or more is a secret; a dictionary word behind ``password:`` is not. Documents are judged
-one by one in Arrow batches; nothing is shuffled.
+``MIN_BITS`` bits of guessing or more is a secret; a dictionary word behind ``password:`` is not. The dictionary is the
+corpus' own: the ``DICTIONARY`` most frequent words that stand in two different texts or more outside of credential
+values, behind the list of frequent password parts. Words that are rarer are priced letter by letter. Documents are judged one by one
+in Arrow batches; only word counts are shuffled, combined on the map side.
+
+A value in quotes goes up to its closing quote on the line, so that a passphrase is priced as a whole; without quotes or without
+a closing one it ends at white space.
 
 Defined results: a null or empty text has no spans; repeated rows each get theirs; an empty table gives an empty
 result. Texts and values of any length are read whole; the work is linear in a value's length.
@@ -14,12 +19,14 @@ from __future__ import annotations
 import functools
 import math
 import re
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import named
+from .frames import named, written
 
 # The base patterns, the least length of what they find, and the order of kinds.
 _ASSIGN = re.compile(
@@ -31,10 +38,15 @@ KINDS = ("assign", "access", "hex", "guess")
 #: Words that make what follows a credential.
 CONTEXTS = ("password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "api_key", "apikey", "api-key",
             "credential", "auth", "private_key", "login")
-_CONTEXT = re.compile(
-    "(?:" + "|".join(map(re.escape, CONTEXTS)) + r""")s?["']?[\x20\t]*(?:=>|:=|[:=]|\bis\b)[\x20\t]*["']?"""
-    r"""([^\s"'<>,;]+)""", re.ASCII | re.IGNORECASE)
+_HEAD = ("(?:" + "|".join(map(re.escape, CONTEXTS)) + r""")s?["']?[\x20\t]*(?:=>|:=|[:=]|\bis\b)[\x20\t]*""")
+_CONTEXT = re.compile(_HEAD + r"""(?:"((?:[^"\\\n]|\\[^\n])+)"|'((?:[^'\\\n]|\\[^\n])+)'|["']?([^\s"'<>,;]+))""",
+                      re.ASCII | re.IGNORECASE)
+#: A quote behind this opens the next value and does not close the one before.
+_OPENS = re.compile(_HEAD + r"\Z", re.ASCII | re.IGNORECASE)
+_BARE = re.compile(r"""[^\s"'<>,;]+""", re.ASCII)
 MIN_BITS = 40.0
+#: Words that the corpus' dictionary has at most, and the letters of each.
+DICTIONARY, LETTERS = 50_000, (3, 24)
 
 #: Frequent parts of passwords, most frequent first; a word's place is its rank. Deployments give their own list.
 COMMON_WORDS = (
@@ -59,12 +71,19 @@ def _neighbours() -> dict[str, set[str]]:
 _NEXT_KEYS = _neighbours()
 
 
+class Ranked(NamedTuple):
+    """Words by rank, and the length of the longest."""
+
+    ranks: dict[str, int]
+    longest: int
+
+
 @functools.lru_cache(maxsize=4)
-def _ranked(words: tuple[str, ...]) -> tuple[dict[str, int], int]:
+def _ranked(words: tuple[str, ...]) -> Ranked:
     ranks: dict[str, int] = {}
     for i, word in enumerate(words, 1):
         ranks.setdefault(word.lower(), i)
-    return ranks, max(map(len, ranks), default=0)
+    return Ranked(ranks, max(map(len, ranks), default=0))
 
 
 def _alphabet(value: str) -> int:
@@ -75,12 +94,12 @@ def _alphabet(value: str) -> int:
     return size + 100 * any(not c.isascii() for c in value)
 
 
-def guess_bits(value: str, words: tuple[str, ...] = COMMON_WORDS) -> float:
+def guess_bits(value: str, words: tuple[str, ...] | Ranked = COMMON_WORDS) -> float:
     """Base-two logarithm of the guesses for the cheapest segmentation of ``value``."""
     n = len(value)
     if not n:
         return 0.0
-    ranks, longest = _ranked(words)
+    ranks, longest = words if isinstance(words, Ranked) else _ranked(words)
     low = value.lower()
     plain = low.translate(_LEET)
     per_char = math.log2(max(2, _alphabet(value)))
@@ -110,12 +129,13 @@ def guess_bits(value: str, words: tuple[str, ...] = COMMON_WORDS) -> float:
                 steps = 0.0 if first == per_char or first == 5.0 else 1.5 * (end - start - 1)
                 spans[start].append((end, first + math.log2(end - start) + steps))
             start = max(end - 1, start + 1) if end - start > 1 and end < n else end
-    for size in range(1, n // 2 + 1):  # the whole value as copies of its beginning
-        if size > 64:
-            break
-        if n % size == 0 and value == value[:size] * (n // size) and n // size > 1 and size > 1:
-            spans[0].append((n, size * per_char + math.log2(n // size)))
-            break
+    for size in range(2, min(64, n // 2) + 1):  # copies of up to 64 characters, wherever they stand
+        start = 0
+        for end in range(size, n + 1):
+            if end == n or value[end] != value[end - size]:
+                if end - start >= 2 * size:
+                    spans[start].append((end, size * per_char + math.log2((end - start) / size)))
+                start = end - size + 1
     best = [0.0] + [math.inf] * n
     for at in range(n):
         here = best[at]
@@ -127,7 +147,20 @@ def guess_bits(value: str, words: tuple[str, ...] = COMMON_WORDS) -> float:
     return best[n]
 
 
-def find_spans(text: str | None, words: tuple[str, ...] = COMMON_WORDS, min_bits: float = MIN_BITS):
+def _values(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the values in a credential context."""
+    at = 0
+    while m := _CONTEXT.search(text, at):
+        start, end = m.span(m.lastindex)
+        if m.lastindex < 3 and _OPENS.search(text, start, end):
+            bare = _BARE.match(text, start, end)
+            start, end = bare.span() if bare else (start, start)
+        if start < end:
+            yield start, end
+        at = max(end, m.start() + 1)
+
+
+def find_spans(text: str | None, words: tuple[str, ...] | Ranked = COMMON_WORDS, min_bits: float = MIN_BITS):
     """(kind, start, end, bits) by start and kind; bits is None for the fixed patterns."""
     if not text:
         return []
@@ -139,23 +172,59 @@ def find_spans(text: str | None, words: tuple[str, ...] = COMMON_WORDS, min_bits
         found += [("access", m.start(), m.end(), None) for m in _ACCESS.finditer(text)]
     found += [("hex", m.start(), m.end(), None) for m in _HEX.finditer(text)]
     if any(k in low for k in CONTEXTS):
-        for m in _CONTEXT.finditer(text):
-            bits = guess_bits(m[1], words)
+        for start, end in _values(text):
+            bits = guess_bits(text[start:end], words)
             if bits >= min_bits:
-                found.append(("guess", m.start(1), m.end(1), round(bits, 6)))
+                found.append(("guess", start, end, round(bits, 6)))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def scan(docs: DataFrame, text: str = "text", out: str = "secrets", words: tuple[str, ...] = COMMON_WORDS,
+def corpus_words(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> tuple[str, ...]:
+    """The ``size`` most frequent words of ``docs``, most frequent first; no more reach the driver.
+
+    Words are classed by frequency, each class in 64 parts by hash, and the classes are counted first: those that fit are taken
+    whole, so no task and no collection holds more than ``size`` words, whatever the number of partitions.
+
+    A word is a run of letters between other characters than letters and digits. It has to stand in two different texts,
+    and what follows a credential context, up to white space, is not counted.
+    """
+    whole = F.lower(named(text).cast("string"))
+    head = "(?i)" + _HEAD + r"""["']?[^\s"'<>,;]+"""
+    named_once = F.lit(False)
+    for context in CONTEXTS:
+        named_once = named_once | whole.contains(context)
+    clean = F.when(named_once, F.regexp_replace(whole, head, " ")).otherwise(whole)
+    rows = docs.select(F.explode(F.split(clean, r"[^\p{L}\p{N}]+")).alias("word"), F.xxhash64(named(text)).alias("mark"))
+    counts = rows.filter(F.length("word").between(*LETTERS) & F.col("word").rlike(r"^\p{L}+$")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"), F.min("mark").alias("least"), F.max("mark").alias("most"))
+    order = F.floor(F.log2("n") * 8).cast("long") * 64 + F.pmod(F.xxhash64("word"), F.lit(64))
+    listed = written(counts.filter("least <> most").select("word", "n", order.alias("class")), "words")
+    left, lowest = size, None
+    for row in sorted(listed.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        if row["n"] > left:
+            break
+        left, lowest = left - row["n"], row["class"]
+    if lowest is None:
+        return ()
+    found = listed.filter(F.col("class") >= lowest).select("word", "n").collect()
+    return tuple(r["word"] for r in sorted(found, key=lambda r: (-r["n"], r["word"])))
+
+
+def scan(docs: DataFrame, text: str = "text", out: str = "secrets", words: tuple[str, ...] | None = None,
          min_bits: float = MIN_BITS) -> DataFrame:
-    """``docs`` and an array ``out`` (which must not be a column yet) of kind, start, end (code points), bits."""
+    """``docs`` and an array ``out`` (which must not be a column yet) of kind, start, end (code points), bits.
+
+    ``words`` is a ranked dictionary; by default the frequent password parts and then the corpus' own words.
+    """
     if out.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"documents already have a column {out}")
+    words = COMMON_WORDS + corpus_words(docs, text) if words is None else words
     kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("bits", pa.float64())]))
 
     def batch(values: pa.Array) -> pa.Array:
+        ranked = _ranked(words)
         return pa.array([[dict(zip(("kind", "start", "end", "bits"), s, strict=True))
-                          for s in find_spans(v.as_py(), words, min_bits)] for v in values], kinds)
+                          for s in find_spans(v.as_py(), ranked, min_bits)] for v in values], kinds)
 
     run = F.arrow_udf(batch, "array<struct<kind:string,start:long,end:long,bits:double>>")
     return docs.withColumn(out, run(named(text).cast("string")))
