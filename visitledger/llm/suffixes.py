@@ -5,9 +5,9 @@ a few residues of which every distance modulo v is a difference. So if two suffi
 position less than v bytes behind the one and the same distance behind the other tie for length - v + 1 bytes:
 
 1. The cover sample (a ninth of all positions) is dealt to buckets by fingerprint and each bucket is sorted: samples
-   with equal neighbours have equal rank. All others are alone, and with them the suffixes that need them.
+   with equal neighbours are tied; no rank is kept. All others are alone, and with them the suffixes that need them.
 2. Only suffixes with a tied sample behind them are left. They are dealt to suffix buckets by the fingerprint of their
-   first ``length`` bytes and each bucket is sorted by itself; a tie is confirmed by bytes read from the string. Buckets
+   first ``length`` bytes and each bucket is sorted by itself; a tie is confirmed by a 32-bit hash of four words of the string. Buckets
    are worked off in rounds of bounded volume, each of them a written table, so neither memory nor disk holds all suffixes.
 3. Ties become byte spans per text.
 
