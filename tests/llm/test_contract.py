@@ -32,7 +32,7 @@ def texts():
 
 def test_all_registered():
     names = [re.match(r"op(\d+)_", n)[1] for n in QUERIES]
-    assert sorted(map(int, names)) == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert sorted(map(int, names)) == list(range(1, 14)) and set(SQL) <= set(QUERIES)
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 

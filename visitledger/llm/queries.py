@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, jaccard, licenses, lines, mixing, quality, secrets, suffixes, urls
-from .frames import read_table
+from . import bpe, conversations, embeddings, jaccard, licenses, lines, mixing, packing, periodic, quality, secrets, suffixes, urls
+from .frames import SPACE_CLASS, read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -190,6 +190,71 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.exists("expressions", lambda e: e["permitted"]).alias("permitted"))
 
 
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """The rows as the query damages them; dropped ones stay with ``present`` false and only name their conversation."""
+    blank = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"),
+                     F.coalesce(F.col("turn").cast("string"), blank))
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    kind = F.col("kind")
+    return rows.select("*", (F.crc32(place.cast("binary")) % 20).alias("kind")).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (kind != 0).alias("present"), F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("copy")
+    ).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged_conversations(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return conversations.reports(rows, present=F.col("present"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents as the query changes them: of every tenth, by a hash of the id, the words from some place on repeat."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.expr("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) div 10")
+    split = F.filter(F.split(F.col("text"), SPACE_CLASS + "+"), lambda w: w != "")
+    # a lambda over one value binds it, so that nothing is computed once for each word
+    bound = lambda value, then: F.transform(F.array(value), then)[0]
+
+    def repeated(words: Column) -> Column:
+        source = lambda i, m: F.when(i < m["a"], i).otherwise(m["a"] + (i - m["a"]) % m["p"]).cast("int")
+        start = g % F.size(words)
+        marks = F.struct(start.alias("a"), (1 + F.floor((F.size(words) - start) / (3 + g % 8))).alias("p"))
+        tail = bound(marks, lambda m: F.transform(words, lambda _, i: F.get(words, source(i, m))))
+        return F.when(F.size(words) > 0, F.array_join(tail, " ")).otherwise("")
+
+    text = F.when(h % 10 == 0, bound(split, repeated)).otherwise(F.col("text"))
+    # through a generator: the optimizer would move the lambdas into the call of a Python function, where they cannot run
+    return docs.select(*[c for c in docs.columns if c != "text"], F.explode(F.array(text)).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.runs(docs).select("doc_id", "periodic.*")
+    stronger = lambda r, best: (r["length"] * best["period"]) > (best["length"] * r["period"])
+    # runs come by start, then period, so a tie stays with the first
+    best = F.when(F.size("runs") > 0, F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)),
+        lambda best, r: F.when(stronger(r, best), r).otherwise(best)))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    rows = found.select("doc_id", "runs", "collapsed", "n_words", best.alias("best"))
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:
+    import public_tokenizers
+
+    vocab = packing.vocabulary(spark, public_tokenizers.path(vocabulary))
+    pieces = packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocab, end_id=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "padded_to")
+
+
 QUERIES: dict[str, Run] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_byte_bpe": op2_byte_bpe,
@@ -201,6 +266,9 @@ QUERIES: dict[str, Run] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_packing": op13_packing,
 }
 SQL: dict[str, str] = {
     "op1_source_mixing": _mixing_sql(mixing.Mix()),
