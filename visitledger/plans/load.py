@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ..config import FEEDS, Feed, Settings
 from ..schemas import LOADED_LOG
-from ..sources import bronze, landed
+from ..sources import bronze, delivery, landed
 from ..sources.silver import silver_rows
-from ..sources.tables import Warehouse
+from ..sources.tables import Warehouse, entry_folder
 from .gold import VIEWS, Silver
 
 
@@ -22,22 +23,25 @@ def land(
 ) -> str:
     """Store the response files of one extraction as a snapshot and note its window in the control log.
 
-    Rows without a readable day go to the quarantine folder.
-
-    Without a requested window the first and last delivered day are noted.
+    An extraction that is not whole is refused: truncated files go to quarantine, the ledger says what is missing, and
+    nothing becomes a snapshot. Rows without a readable day go to the quarantine folder. Without a requested window the
+    first and last delivered day are noted.
     """
-    records, rejected = landed.flatten(landed.read_landed(wh.spark, path), feed)
-    sid = bronze.append_snapshot(
-        wh, feed, records, extracted_at, snapshot_id, window if window and clear_empty_days else None
-    )
-    bronze.set_aside(wh, feed, rejected, sid)
-    mine = (F.col("snapshot_id") == sid) & (F.col("relatorio") == feed.name) & (F.col("linhas") > 0)
-    first, last, days, rows = wh.snapshots().where(mine).agg(
-        F.min("event_date"), F.max("event_date"), F.count("*"), F.sum("linhas")
-    ).first()
-    start, end = window or (first, last)
-    if start:
-        bronze.register_load(wh, wh.spark, feed.name, kind, start, end, days, rows or 0, extracted_at)
+    sid = snapshot_id or uuid.uuid4().hex
+    entry = f"{feed.name}-{sid}"
+    delivery.stage(wh, feed, landed.read_pages(wh.spark.read, path, sid), entry)
+    found = delivery.reconciled(wh.log("pages").where(F.col("entry") == entry)).first()
+    if found and found["state"] != "whole":
+        raise delivery.IncompleteDelivery(
+            f"{feed.name} {sid}: {found['state']}, {found['rows']} of {found['declared']} rows on {found['pages']} pages")
+    one = wh.spark.createDataFrame(
+        [(sid, sid, extracted_at, found["pages"] if found else 0, found["rows"] if found else 0)],
+        "extraction string, snapshot_id string, data_extracao timestamp_ntz, pages long, rows long")
+    empty = None
+    if window and clear_empty_days:
+        empty = one.select(F.explode(F.sequence(*map(F.lit, window))).alias("event_date"), "snapshot_id", "data_extracao")
+    delivery.take(wh, feed, one, entry, kind, extracted_at, window, empty)
+    wh.delete("landing", feed.name, entry_folder(entry))
     return sid
 
 
@@ -66,15 +70,19 @@ def refresh_silver(wh: Warehouse, feed: Feed, settings: Settings) -> list[dt.dat
 
 def _note_loaded(wh: Warehouse, feed: Feed, days: list[tuple[dt.date, dt.datetime]]) -> None:
     rows = [(feed.table, day, at) for day, at in days]
-    wh.append(wh.spark.createDataFrame(rows, LOADED_LOG).coalesce(1), "log", "loaded")
+    wh.note("loaded", wh.spark.createDataFrame(rows, LOADED_LOG))
 
 
 def rebuild_silver(wh: Warehouse, feed: Feed, settings: Settings) -> None:
-    """Everything again from the newest snapshot of every day, e.g. after a rule changed."""
+    """Everything again from the newest snapshot of every day, e.g. after a rule changed.
+
+    The old table counts until the new one is whole. A run that dies before the days are noted leaves days that look
+    older than they are, and the next load replaces them once more.
+    """
     newest = bronze.newest_snapshots(wh.snapshots().where(F.col("relatorio") == feed.name))
     wh.replace_all(feed.table, silver_rows(bronze.newest_rows(wh.bronze(feed), newest), feed, settings))
     loaded = newest.select(F.lit(feed.table).alias("tabela"), "event_date", "data_extracao")
-    wh.append(loaded.coalesce(1), "log", "loaded")
+    wh.note("loaded", loaded)
 
 
 def _chosen(wh: Warehouse, feed: Feed, days: list[tuple[dt.date, str]]) -> DataFrame:

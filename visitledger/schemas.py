@@ -57,6 +57,34 @@ CONTROL_LOG = T.StructType([
     T.StructField("executado_em", T.TimestampNTZType()),
 ])
 
+#: One line per delivered file: what it holds, and what keeps it from being used.
+PAGE_LOG = T.StructType([
+    T.StructField("relatorio", T.StringType()),
+    T.StructField("extraction", T.StringType()),
+    T.StructField("page", T.StringType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("delivered_at", T.TimestampNTZType()),
+    T.StructField("declared", T.IntegerType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("undated", T.LongType()),
+    T.StructField("missing", T.ArrayType(T.StringType())),
+    T.StructField("corrupt", T.BooleanType()),
+])
+
+#: One line per extraction that was used: its snapshot and what it was made of.
+TAKEN_LOG = T.StructType([
+    T.StructField("relatorio", T.StringType()),
+    T.StructField("extraction", T.StringType()),
+    T.StructField("snapshot_id", T.StringType()),
+    T.StructField("delivered_at", T.TimestampNTZType()),
+    T.StructField("pages", T.LongType()),
+    T.StructField("rows", T.LongType()),
+])
+
+LOGS = {
+    "snapshots": SNAPSHOT_LOG, "loaded": LOADED_LOG, "control": CONTROL_LOG, "pages": PAGE_LOG, "taken": TAKEN_LOG,
+}
+
 DIM_PAINEL = T.StructType([
     T.StructField("painel", T.StringType()),
     T.StructField("ordem_menu", T.IntegerType()),

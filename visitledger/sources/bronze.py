@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Feed, Settings
@@ -30,23 +30,41 @@ def append_snapshot(
     """
     sid = snapshot_id or uuid.uuid4().hex
     rows = records.withColumn("data_extracao", instant(extracted_at)).withColumn("snapshot_id", F.lit(sid))
-    _store(wh, feed, rows)
-    log = _stored(wh, feed, F.col("snapshot_id") == sid)
+    empty = None
     if empty_days:
-        wanted = wh.spark.range(1).select(F.explode(F.sequence(*map(F.lit, empty_days))).alias("event_date"))
-        log = log.unionByName(wanted.join(log, "event_date", "left_anti").select(
-            F.lit(feed.name).alias("relatorio"), "event_date", F.lit(sid).alias("snapshot_id"),
-            F.lit(0).cast("bigint").alias("linhas"), instant(extracted_at).alias("data_extracao"),
-        ))
-    wh.append(log.coalesce(1), "log", "snapshots")
+        empty = wh.spark.range(1).select(
+            F.explode(F.sequence(*map(F.lit, empty_days))).alias("event_date"), F.lit(sid).alias("snapshot_id"),
+            instant(extracted_at).alias("data_extracao"))
+    append_snapshots(wh, feed, rows, [sid], f"{feed.name}-{sid}", empty)
     return sid
 
 
+def append_snapshots(
+    wh: Warehouse, feed: Feed, rows: DataFrame, ids: list[str], entry: str, empty: DataFrame | None = None,
+) -> None:
+    """Store the snapshots ``ids``, whose id and time are columns of ``rows``, and note them as one entry of the log.
+
+    ``empty``: days (event_date, snapshot_id, data_extracao) that get an empty snapshot if there are no rows for them.
+    """
+    _store(wh, feed, rows)
+    log = _stored(wh, feed, F.col("snapshot_id").isin(ids))
+    if empty is not None:
+        blank = empty.join(log, ["event_date", "snapshot_id"], "left_anti").select(
+            F.lit(feed.name).alias("relatorio"), "event_date", "snapshot_id", F.lit(0).cast("bigint").alias("linhas"),
+            "data_extracao")
+        log = log.unionByName(blank)
+    wh.note("snapshots", log, entry)
+
+
 def import_payloads(wh: Warehouse, feed: Feed, snapshots: DataFrame) -> None:
-    """Take over snapshots kept elsewhere as one JSON array per day (``payload``, ``data_extracao``)."""
-    rows = explode_payload(snapshots.select("payload", "data_extracao"), feed)
-    _store(wh, feed, rows.withColumn("snapshot_id", _import_id(F.col("data_extracao"))))
-    wh.append(_stored(wh, feed, F.col("snapshot_id").startswith("import-")).coalesce(1), "log", "snapshots")
+    """Take over snapshots kept elsewhere as one JSON array per day (``payload``, ``data_extracao``).
+
+    A call notes its own extraction times only; the same call again replaces its lines.
+    """
+    imported = snapshots.select("payload", "data_extracao").withColumn("snapshot_id", _import_id(F.col("data_extracao")))
+    ids = sorted(r["snapshot_id"] for r in imported.select("snapshot_id").distinct().collect())
+    if ids:
+        append_snapshots(wh, feed, explode_payload(imported, feed), ids, f"{feed.name}-{ids[0]}-{ids[-1]}")
 
 
 def _import_id(extracted_at: Column) -> Column:
@@ -74,14 +92,15 @@ def _stored(wh: Warehouse, feed: Feed, chosen: Column) -> DataFrame:
 def explode_payload(snapshots: DataFrame, feed: Feed) -> DataFrame:
     """Rows of snapshots kept as one JSON array per day (``payload``); every other column is repeated.
 
-    A payload that cannot be read stops the job: leaving it out would drop its whole day.
+    A payload that cannot be read stops the job: leaving it out would drop its whole day. The parsed array is bound to
+    a name, so that testing it does not parse it again.
     """
     schema = "array<struct<" + ",".join(f"`{c}`:string" for c in payload_schema(feed).names) + ">>"
     others = [c for c in snapshots.columns if c != "payload"]
-    rows = F.from_json("payload", schema)
-    broken = F.col("payload").isNotNull() & rows.isNull()
-    checked = F.when(broken, F.raise_error(F.lit("a snapshot payload is not a readable JSON array"))).otherwise(rows)
-    return snapshots.select(*others, F.inline(checked))
+    bound = F.transform(F.array(F.from_json("payload", schema)), lambda rows: F.when(
+        rows.isNull() & F.col("payload").isNotNull(),
+        F.raise_error(F.lit("a snapshot payload is not a readable JSON array"))).otherwise(rows))
+    return snapshots.select(*others, F.inline(bound[0]))
 
 
 def newest_snapshots(log: DataFrame) -> DataFrame:
@@ -109,12 +128,6 @@ def pending_days(log: DataFrame, silver_days: DataFrame) -> DataFrame:
     ).drop("_held")
 
 
-def set_aside(wh: Warehouse, feed: Feed, rejected: DataFrame, snapshot_id: str) -> None:
-    """Keep rows that belong to no day, beside the snapshot they came with."""
-    if not rejected.isEmpty():
-        wh.append(rejected.withColumn("snapshot_id", F.lit(snapshot_id)), "quarantine", feed.name)
-
-
 # ---- load windows --------------------------------------------------------------------------------------------------
 
 def month_ranges(days: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -147,8 +160,9 @@ def load_window(control: DataFrame, floors: DataFrame, today: dt.date, settings:
 
 
 def register_load(
-    wh: Warehouse, spark: SparkSession, report: str, kind: str, start: dt.date, end: dt.date, days: int, rows: int,
-    at: dt.datetime,
+    wh: Warehouse, report: str, kind: str, start: dt.date, end: dt.date, days: int, rows: int, at: dt.datetime,
+    entry: str | None = None,
 ) -> None:
-    """One line in the control log; ``kind`` is ``historico`` or ``incremental``."""
-    wh.append(spark.createDataFrame([(report, kind, start, end, days, rows, at)], CONTROL_LOG), "log", "control")
+    """One line in the control log; ``kind`` is ``historico`` or ``incremental``. The same entry again replaces it."""
+    line = wh.spark.createDataFrame([(report, kind, start, end, days, rows, at)], CONTROL_LOG)
+    wh.note("control", line, entry)

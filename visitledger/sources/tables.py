@@ -1,15 +1,29 @@
-"""Parquet tables below one root: creation, reading with a fixed schema, and day replacement."""
+"""Parquet tables below one root: creation, reading with a fixed schema, day replacement and whole replacement.
+
+A table that can be replaced as a whole (silver, dimensions) is a folder of versions. Which one counts is told by the
+last of the empty files in its ``_versions`` folder, named by number and version. A replacement writes a version beside
+the others, and the file that names it is the switch: it appears in one step on every file system, nothing is ever
+overwritten or moved, and until then readers and later runs see the old table whole.
+
+A log is a folder of entries. An entry is written under a name that its load decides, so a load that is repeated after
+a crash replaces its own lines and adds none.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..config import FEEDS, Feed
-from ..schemas import CONTROL_LOG, DIMENSIONS, LOADED_LOG, SILVER, SNAPSHOT_LOG, payload_schema
+from ..schemas import DIMENSIONS, LOGS, SILVER, payload_schema
+
+#: Until a table is replaced as a whole.
+FIRST_VERSION = "first"
 
 
 @dataclass(frozen=True)
@@ -37,11 +51,12 @@ class Warehouse:
         """Folders of the tables that do not exist yet; an empty folder reads as an empty table of its schema."""
         for feed in FEEDS.values():
             self._create("bronze", feed.name)
-            self._create("silver", feed.table)
-        for log in ("snapshots", "loaded", "control"):
+            self._create("landing", feed.name)
+            self._create("silver", feed.table, FIRST_VERSION)
+        for log in LOGS:
             self._create("log", log)
         for dim in DIMENSIONS:
-            self._create("dims", dim)
+            self._create("dims", dim, FIRST_VERSION)
 
     def _folder(self, *parts: str):
         """(file system, path) of a folder, on whatever storage the root is."""
@@ -53,29 +68,73 @@ class Warehouse:
         fs, path = self._folder(*parts)
         fs.mkdirs(path)
 
+    def delete(self, *parts: str) -> None:
+        fs, path = self._folder(*parts)
+        fs.delete(path, True)
+
+    # -- versions ------------------------------------------------------------------------------------------------
+    def _switches(self, *parts: str) -> list[str]:
+        fs, path = self._folder(*parts, "_versions")
+        return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+    def current(self, *parts: str) -> str:
+        """Folder of the version that counts."""
+        switches = self._switches(*parts)
+        return self.path(*parts, switches[-1].split("-", 1)[1] if switches else FIRST_VERSION)
+
+    def _replace(self, rows: DataFrame, *parts: str, partitions: tuple[str, ...] = ()) -> None:
+        """A new version beside the others, then the switch; of the old versions the last stays for plans that read it."""
+        version = uuid.uuid4().hex
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(
+            self.path(*parts, version))
+        self._switch(version, *parts)
+        self._retire(*parts)
+
+    def _switch(self, version: str, *parts: str) -> None:
+        number = int(switches[-1].split("-", 1)[0]) + 1 if (switches := self._switches(*parts)) else 1
+        fs, path = self._folder(*parts, "_versions", f"{number:012d}-{version}")
+        fs.create(path, False).close()
+
+    def _retire(self, *parts: str) -> None:
+        """Remove versions before the last two, and what interrupted replacements left."""
+        fs, path = self._folder(*parts)
+        kept = {s.split("-", 1)[1] for s in self._switches(*parts)[-2:]} | {"_versions"}
+        if len(kept) < 3:
+            kept.add(FIRST_VERSION)
+        for folder in [f.getPath().getName() for f in fs.listStatus(path)]:
+            if folder not in kept:
+                self.delete(*parts, folder)
+
     # -- reading -------------------------------------------------------------------------------------------------
     def bronze(self, feed: Feed) -> DataFrame:
         return self.spark.read.schema(self.bronze_schema(feed)).parquet(self.path("bronze", feed.name))
 
     def silver(self, table: str) -> DataFrame:
         schema = SILVER[table]
-        return self.spark.read.schema(schema).parquet(self.path("silver", table)).select(*schema.names)
+        return self.spark.read.schema(schema).parquet(self.current("silver", table)).select(*schema.names)
+
+    def log(self, name: str) -> DataFrame:
+        """Lines of a log, with the ``entry`` they were written under."""
+        schema = T.StructType([*LOGS[name].fields, T.StructField("entry", T.StringType())])
+        return self.spark.read.schema(schema).parquet(self.path("log", name))
 
     def snapshots(self) -> DataFrame:
-        return self.spark.read.schema(SNAPSHOT_LOG).parquet(self.path("log", "snapshots"))
+        return self.log("snapshots").drop("entry")
 
     def loaded(self) -> DataFrame:
-        return self.spark.read.schema(LOADED_LOG).parquet(self.path("log", "loaded"))
+        return self.log("loaded").drop("entry")
 
     def control(self) -> DataFrame:
-        return self.spark.read.schema(CONTROL_LOG).parquet(self.path("log", "control"))
+        return self.log("control").drop("entry")
 
     def dim(self, name: str) -> DataFrame:
-        return self.spark.read.schema(DIMENSIONS[name]).parquet(self.path("dims", name))
+        return self.spark.read.schema(DIMENSIONS[name]).parquet(self.current("dims", name))
 
     # -- writing -------------------------------------------------------------------------------------------------
-    def append(self, df: DataFrame, *parts: str, partitions: tuple[str, ...] = ()) -> None:
-        df.write.mode("append").partitionBy(*partitions).parquet(self.path(*parts))
+    def note(self, name: str, lines: DataFrame, entry: str | None = None) -> None:
+        """Lines of a log under an entry; the same entry again replaces its lines."""
+        folder = self.path("log", name, entry_folder(entry or uuid.uuid4().hex))
+        lines.select(*LOGS[name].names).write.mode("overwrite").parquet(folder)
 
     def replace_days(self, table: str, rows: DataFrame, emptied: list[dt.date] | None = None) -> None:
         """Swap whole days: partitions present in ``rows`` are overwritten, other days stay as they are.
@@ -84,26 +143,25 @@ class Warehouse:
         writes. Executor loss is harmless: tasks write to a staging folder and finished partitions are moved at
         commit. The swap is per day, not atomic across days; re-running it is idempotent.
         """
-        path = self.path("silver", table)
+        path = self.current("silver", table)
         _by_day(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "event_date"
         ).parquet(path)
+        version = path.rsplit("/", 1)[1]
         for day in emptied or []:
-            fs, folder = self._folder("silver", table, f"event_date={day.isoformat()}")
-            fs.delete(folder, True)
+            self.delete("silver", table, version, f"event_date={day.isoformat()}")
 
     def replace_all(self, table: str, rows: DataFrame) -> None:
-        """Full rebuild."""
-        _by_day(rows).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "event_date"
-        ).parquet(self.path("silver", table))
+        """Full rebuild: the old table counts until the new one is whole."""
+        self._replace(_by_day(rows), "silver", table, partitions=("event_date",))
 
     def replace_dim(self, name: str, rows: DataFrame) -> None:
-        """Write the new dimension beside the old one first, because it was computed from the old one."""
-        staged = self.path("dims", f"_staged_{name}")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
-        fresh = self.spark.read.schema(DIMENSIONS[name]).parquet(staged)
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path("dims", name))
+        """The new dimension may be computed from the old one, which is still there when it is written."""
+        self._replace(rows, "dims", name)
+
+
+def entry_folder(entry: str) -> str:
+    return f"entry={quote(entry, safe='')}"
 
 
 def _by_day(rows: DataFrame) -> DataFrame:

@@ -10,8 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Feed, Settings
 from ..plans.load import refresh_silver
-from ..schemas import LANDED_RESPONSE
-from ..sources import bronze, landed
+from ..sources import delivery, landed
 from ..sources.tables import Warehouse
 
 
@@ -20,28 +19,26 @@ def stream_landed(
 ) -> StreamingQuery:
     """Process the files that arrived since the last run, then stop (``availableNow``).
 
-    A batch becomes one snapshot whose id is derived from the batch number. A batch that is replayed after a crash
-    finds its snapshot in the log and is not appended again; the silver refresh is idempotent by itself. Days that
-    arrive again later simply get a newer snapshot, which is how late data is absorbed.
+    Pages of one extraction may come in any number of batches, and several extractions in one. An extraction becomes a
+    snapshot in the batch that makes it whole, with the delivery time of its last page; of extractions that overlap the
+    newest wins day by day, whatever the batch. Truncated files and pages without a header of the feed are set aside
+    and hold their extraction back until the page is delivered again. What a batch writes is named by its number, so a
+    batch that is replayed after a crash replaces its own staged rows, log lines and quarantine and adds none.
     """
     now = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
     def on_batch(batch: DataFrame, number: int) -> None:
-        sid = f"stream-{number:012d}"
-        mine = (F.col("relatorio") == feed.name) & (F.col("snapshot_id") == sid)
-        if wh.snapshots().where(mine).isEmpty():
-            records, rejected = landed.flatten(batch, feed)
-            at = now()
-            bronze.set_aside(wh, feed, rejected, sid)
-            bronze.append_snapshot(wh, feed, records, at, sid)
-            span = wh.snapshots().where(mine).agg(F.min("event_date"), F.max("event_date"), F.count("*"), F.sum("linhas")).first()
-            if span[2]:
-                bronze.register_load(wh, wh.spark, feed.name, "incremental", *span, at)
+        entry = f"{feed.name}-stream-{number:012d}"
+        delivery.sweep(wh, feed, entry)
+        delivery.stage(wh, feed, batch, entry)
+        whole = delivery.open_extractions(wh, feed, entry).where("state = 'whole'").select(
+            "extraction", F.concat(F.lit("stream-"), "extraction").alias("snapshot_id"),
+            F.col("delivered_at").alias("data_extracao"), "pages", "rows")
+        delivery.take(wh, feed, whole, entry, "incremental", now())
         refresh_silver(wh, feed, settings)
 
-    stream = wh.spark.readStream.schema(LANDED_RESPONSE).option("multiLine", True).json(path)
     return (
-        stream.writeStream.foreachBatch(on_batch)
+        landed.read_pages(wh.spark.readStream, path).writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
