@@ -23,7 +23,7 @@ import json
 import os
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .frames import named
 
 #: Distinct words and pieces that a worker keeps encoded; beyond that it starts afresh.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 #: Characters of a text that are encoded at once, tokens that are laid out at once, and the tokens at their end that stay open.
 SLICE, HORIZON, OPEN = 2_000_000, 1_000_000, 65_536
 #: Words whose pieces are known without the file's own normalizer: ASCII, and Latin letters that stay as they are
@@ -87,11 +87,21 @@ class Encoder:
         self.words: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
 
+    def _cut(self, word: str) -> tuple[str, ...] | list[str] | None:
+        """Pieces of a word, None if it has to go through the whole pipeline."""
+        if not PLAIN.fullmatch(word):
+            return None
+        if word.isalpha():
+            return (word.lower(),)
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return word[:-1].lower(), word[-1]
+        return None if "<|" in word else self.cut(word.lower())
+
     def _fill(self, new: set[str]) -> None:
-        plain = {w: self.cut(w.lower()) for w in new if PLAIN.fullmatch(w) and "<|" not in w}
+        cuts = {word: self._cut(word) for word in new}
         if len(self.pieces) > CACHE_WORDS:
             self.pieces = {}
-        missing = list(set().union(*plain.values()).difference(self.pieces))
+        missing = list({piece for cut in cuts.values() if cut for piece in cut}.difference(self.pieces))
         for start in range(0, len(missing), 2000):
             part = missing[start:start + 2000]
             ids = np.array(self.merger.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
@@ -99,31 +109,53 @@ class Encoder:
             for piece, end in zip(part, (4 * (np.flatnonzero(self.word_ends[ids]) + 1)).tolist(), strict=True):
                 self.pieces[piece] = raw[at:end]
                 at = end
-        for word, cut in plain.items():
-            self.words[word] = b"".join(map(self.pieces.__getitem__, cut))
-        others = [w for w in new if w not in plain]
+        others = []
+        for word, cut in cuts.items():
+            if cut is None:
+                others.append(word)
+            else:
+                self.words[word] = self.pieces[cut[0]] if len(cut) == 1 else b"".join(map(self.pieces.__getitem__, cut))
         for start in range(0, len(others), 1000):
             part = others[start:start + 1000]
             for word, coded in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.words[word] = np.array(coded.ids, "<u4").tobytes()
 
+    def _group(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of a bounded size; the words that none of them had before are encoded together."""
+        split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
+        new = set().union(*split).difference(self.words)
+        if new and len(self.words) + len(new) > CACHE_WORDS:
+            self.words = {"": b""}
+            new = set().union(*split).difference(self.words)
+        if new:
+            self._fill(new)
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
     def encode(self, text: str | None) -> np.ndarray:
         text, parts, at = text or "", [], 0
         while at < len(text):
             end = len(text)
             if end - at > SLICE:  # at the next white space
                 end = min((x for x in (text.find(c, at + SLICE) for c in " \n\t") if x >= 0), default=end)
-            words = text[at:end].replace("\n", " ").replace("\t", " ").split(" ")
-            new = set(words).difference(self.words)
-            if new and len(self.words) + len(new) > CACHE_WORDS:
-                self.words = {"": b""}
-                new = set(words).difference(self.words)
-            if new:
-                self._fill(new)
-            parts.append(b"".join(map(self.words.__getitem__, words)))
+            parts += self._group([text[at:end]])
             at = end
         return np.frombuffer(b"".join(parts), "<u4")
 
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text in order. Short texts are encoded in groups."""
+        held, size = [], 0
+        for text in texts:
+            if len(text or "") < SLICE // 4:
+                held.append(text or "")
+                size += len(held[-1])
+            if held and (size >= SLICE // 4 or len(text or "") >= SLICE // 4):
+                yield from (np.frombuffer(ids, "<u4") for ids in self._group(held))
+                held, size = [], 0
+            if len(text or "") >= SLICE // 4:
+                yield self.encode(text)
+        if held:
+            yield from (np.frombuffer(ids, "<u4") for ids in self._group(held))
+
 
 @functools.lru_cache(maxsize=2)
 def _encoder(data: bytes) -> Encoder:
@@ -146,14 +178,13 @@ def layout(places: np.ndarray, penalty: np.ndarray, costs: Costs, last: bool) ->
     at = np.concatenate([[0], places]).astype(np.int64)
     index = np.full(int(at[-1]) + 1, -1, np.int64)
     index[at] = np.arange(len(at))
-    exact: dict[int, list[int]] = {}
-    size = 1
-    while size <= width:
-        back = at - size
-        met = np.where(back >= 0, index[np.maximum(back, 0)], -1)
-        for j in np.flatnonzero(met >= 0).tolist():
-            exact.setdefault(j, []).append(int(met[j]))
-        size *= 2
+    # places a power of two before each, as one list in the order of the places they lead to
+    backs = [at - (1 << k) for k in range(width.bit_length())]
+    met = [np.where(back >= 0, index[np.maximum(back, 0)], -1) for back in backs]
+    leads = [np.flatnonzero(m >= 0) for m in met]
+    order = np.argsort(np.concatenate(leads), kind="stable")
+    exact = np.concatenate([m[j] for m, j in zip(met, leads, strict=True)])[order].tolist()
+    upto = np.cumsum(np.bincount(np.concatenate(leads), minlength=len(at))).tolist()
     position, price = at.tolist(), [0, *np.asarray(penalty).tolist()]
     best, came, inside = [0] * len(at), [0] * len(at), [False] * len(at)
     queue = deque([0])  # best + position rises along it
@@ -168,7 +199,7 @@ def layout(places: np.ndarray, penalty: np.ndarray, costs: Costs, last: bool) ->
             i = j - 1
             least = best[i] + costs.inside * (len(powers(end - position[i], width)) - 1)
             inside[j] = True
-        for k in exact.get(j, ()):
+        for k in exact[upto[j - 1]:upto[j]]:
             if best[k] < least or best[k] == least and inside[j]:
                 i, least, inside[j] = k, best[k], False
         if last and j == len(position) - 1:
@@ -279,8 +310,9 @@ def pack(docs: DataFrame, vocab: Broadcast, end_id: int, key: str = "doc_id", te
 
         def pieces() -> Iterator[tuple]:
             for batch in batches:
-                for name, value in zip(batch.column("key"), batch.column("text"), strict=True):
-                    yield from packer.add(name.as_py(), np.concatenate([encoder.encode(value.as_py()), end]))
+                coded = encoder.encode_all(value.as_py() for value in batch.column("text"))
+                for name, ids in zip(batch.column("key"), coded, strict=True):
+                    yield from packer.add(name.as_py(), np.concatenate([ids, end]))
             yield from packer.settle(last=True)
 
         held, size = [], 0
