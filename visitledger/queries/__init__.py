@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("views", "reports", "functions", "star", "weekly", "quality", "ingest")
+_MODULES = ("views", "reports", "functions", "star", "weekly", "quality", "ingest", "delivery")
 
 
 def load_all():
