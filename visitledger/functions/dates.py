@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -77,7 +78,22 @@ def relative_day(text: str, today: dt.date) -> dt.date:
     return dt.date.fromisoformat(text)
 
 
-def reference_week(today: dt.date, sunday: dt.date | None = None) -> tuple[dt.date, dt.date]:
-    """Monday and Sunday of the last closed week, or of the week that ends on the given Sunday."""
-    end = sunday or today - dt.timedelta(days=today.weekday() + 1)
-    return end - dt.timedelta(days=6), end
+class Week(NamedTuple):
+    """Monday and Sunday of a week."""
+
+    monday: dt.date
+    sunday: dt.date
+
+    @classmethod
+    def of(cls, day: dt.date) -> Week:
+        """The week a day lies in, by its ISO number."""
+        year, number, _ = day.isocalendar()
+        return cls(*(dt.date.fromisocalendar(year, number, n) for n in (1, 7)))
+
+    def earlier(self, weeks: int = 1) -> Week:
+        return Week(*(day - dt.timedelta(weeks=weeks) for day in self))
+
+
+def reference_week(today: dt.date, sunday: dt.date | None = None) -> Week:
+    """The last week that is over, or the week of the given Sunday."""
+    return Week.of(sunday) if sunday else Week.of(today).earlier()

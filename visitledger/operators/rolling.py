@@ -20,6 +20,7 @@ def rolling_active_users(
     windows: tuple[int, ...] = WINDOW_DAYS,
     sums: tuple[str, ...] = (),
     until: dt.date | Column | None = None,
+    start: dt.date | None = None,
 ) -> DataFrame:
     """Exact users active in the last N days ending on each day, per key, for several N in one pass.
 
@@ -29,13 +30,18 @@ def rolling_active_users(
     running sum of +1 at starts and -1 at ends, so the work is linear in user-days whatever N is.
 
     Shuffles: user-days (combined on the map side, so a hot user collapses to at most one row per day and task),
-    user runs, change points, and the running sum. Rows without a user count for the sums only. No window ever holds more than one row per calendar day.
+    user runs, change points, and the running sum. Rows without a user count for the sums only. No window ever holds
+    more than one row per calendar day.
+
+    With ``start`` only the days from there on are returned, and only those and the longest window before them are
+    read: what a user did earlier can no longer count. The filter on the day reaches the scan.
 
     Returns key, day, ``users_<N>d`` and the additive ``sums`` of the day, for all days up to ``until`` on which any
     of the windows or sums is not empty. ``until`` is a date or a scalar column; when it is not given the last active day is
     found with a second pass over ``activity``.
     """
     user_day = [*keys, user, day]
+    activity = _in_reach(activity, day, windows, start, until)
     daily = (
         activity.groupBy(*user_day).agg(*[F.sum(c).alias(c) for c in sums]) if sums
         else activity.select(*user_day).distinct()
@@ -83,13 +89,27 @@ def rolling_active_users(
     measured = reduce(or_, [F.col(c) != 0 for c in sums], F.lit(False))
     until_next = F.when(occupied, F.least(F.date_sub("_next", 1), last)).otherwise(F.col("_at"))
     levels = levels.where((occupied | F.coalesce(measured, F.lit(False))) & (F.col("_at") <= last))
-    held = F.explode(F.sequence("_at", until_next))
+    shown = F.col("_at") if start is None else F.greatest("_at", F.lit(start))
+    if start is not None:
+        levels = levels.where(until_next >= F.lit(start))
+    held = F.explode(F.sequence(shown, until_next))
     return levels.select(*keys, held.alias(day), "_at", *names, *sums).select(
         *keys, day, *names,
         *[F.when(F.col(day) == F.col("_at"), F.col(c)).alias(c) for c in sums],
     )
 
 
+def _in_reach(
+    activity: DataFrame, day: str, windows: tuple[int, ...], start: dt.date | None, until: dt.date | Column | None
+) -> DataFrame:
+    """Rows of the days that can count on a day from ``start`` to ``until``."""
+    if start is not None:
+        activity = activity.where(F.col(day) > F.lit(start - dt.timedelta(days=max(windows))))
+    if isinstance(until, dt.date):
+        activity = activity.where(F.col(day) <= F.lit(until))
+    return activity
+
+
 def rolling_active_users_sketch(
     activity: DataFrame,
     keys: list[str],
@@ -97,22 +117,42 @@ def rolling_active_users_sketch(
     day: str = "event_date",
     windows: tuple[int, ...] = WINDOW_DAYS,
     until: dt.date | Column | None = None,
+    start: dt.date | None = None,
 ) -> DataFrame:
     """Estimate of :func:`rolling_active_users` from one small sketch per key and day.
 
     Only the daily sketches are repeated N times, never the users, so the cost after the first (map-side combined)
     aggregation depends on keys and days alone.
     """
-    daily = activity.groupBy(*keys, day).agg(F.hll_sketch_agg(user).alias("_sketch"))
     last = _last_day(activity, day, until)
+    reached = _in_reach(activity, day, windows, start, until)
+    return rolling_from_sketches(daily_user_sketches(reached, keys, user, day), keys, day, windows, last, start)
+
+
+def daily_user_sketches(activity: DataFrame, keys: list[str], user: str = "user_id", day: str = "event_date") -> DataFrame:
+    """Key, day and a sketch of the day's users, a few KB each: what to store, so that users are read once only."""
+    return activity.groupBy(*keys, day).agg(F.hll_sketch_agg(user).alias("sketch"))
+
+
+def rolling_from_sketches(
+    daily: DataFrame, keys: list[str], day: str = "event_date", windows: tuple[int, ...] = WINDOW_DAYS,
+    until: dt.date | Column | None = None, start: dt.date | None = None,
+) -> DataFrame:
+    """Estimated users of the last N days from daily sketches, stored or just made, for days up to ``until``.
+
+    Sketches of one key and day from several sources are merged. With ``start`` only the days that count are read.
+    """
     widest = max(windows)
-    spread = daily.select(
-        *keys, F.col(day).alias("_seen"), "_sketch",
-        F.explode(F.sequence(day, F.least(F.date_add(day, widest - 1), last))).alias(day),
+    last = _last_day(daily, day, until)
+    first = F.col(day) if start is None else F.greatest(day, F.lit(start))
+    reached = _in_reach(daily, day, windows, start, until).where(F.col(day) <= last)
+    spread = reached.select(
+        *keys, F.col(day).alias("_seen"), "sketch",
+        F.explode(F.sequence(first, F.least(F.date_add(day, widest - 1), last))).alias(day),
     )
     age = F.datediff(day, "_seen")
     return spread.groupBy(*keys, day).agg(*[
-        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(F.when(age < n, F.col("_sketch")))), F.lit(0).cast("bigint"))
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(F.when(age < n, F.col("sketch")))), F.lit(0).cast("bigint"))
         .alias(f"users_{n}d")
         for n in windows
     ])

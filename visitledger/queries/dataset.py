@@ -6,12 +6,15 @@ of all events is then a handful of rows per day before anything is shuffled by u
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import RobotRule, Settings
+from ..config import WINDOW_DAYS, RobotRule, Settings
+from ..functions.dates import instant
 from ..functions.text import or_not_set
 from ..functions.traffic import site_of
 from ..functions.url import redirect_target
@@ -41,6 +44,8 @@ PAGE = """concat('https://data.example.org/relatorios/?redirect=', CASE event_id
             ELSE CASE WHEN event_id % 10 = 4 THEN 'contato.php'
                       ELSE concat('https://bi.example/view?r=', substr(b64, 1, length(b64) - 3)) END END)"""
 
+#: Days before a span whose users still count in it.
+LOOKBACK = max(WINDOW_DAYS) - 1
 FEED_GRAIN = ["event_date", "hostname", "country", "region", "city", "device_category"]
 
 
@@ -57,8 +62,6 @@ TABLES = {
                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
                 "l_shipdate timestamp_ntz",
     "pages": "page_id bigint, url string, html string",
-    "labels": "doc_id bigint, quality int, toxic int",
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
 
@@ -71,9 +74,27 @@ def last_day(spark: SparkSession, sf_dir: str) -> Column:
     return table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).scalar()
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with report dimensions that need no other table."""
-    return table(spark, sf_dir, "events").select(
+class Span(NamedTuple):
+    """Days to read, both included; an open end is None."""
+
+    start: dt.date | None = None
+    end: dt.date | None = None
+
+    def reaching_back(self, days: int) -> Span:
+        return self._replace(start=self.start and self.start - dt.timedelta(days=days))
+
+
+ALL = Span()
+
+
+def raw_events(spark: SparkSession, sf_dir: str, span: Span = ALL) -> DataFrame:
+    """Events with report dimensions that need no other table. The span is a filter on the file's own time column."""
+    events = table(spark, sf_dir, "events")
+    if span.start:
+        events = events.where(F.col("ts") >= instant(dt.datetime.combine(span.start, dt.time())))
+    if span.end:
+        events = events.where(F.col("ts") < instant(dt.datetime.combine(span.end + dt.timedelta(days=1), dt.time())))
+    return events.select(
         "event_id", "ts", "user_id", "event_type", "props",
         F.to_date("ts").alias("event_date"),
         F.expr(HOST).alias("hostname"),
@@ -100,9 +121,9 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_days(spark: SparkSession, sf_dir: str, span: Span = ALL) -> DataFrame:
     """One row per day, user, device and event, with geography."""
-    events = raw_events(spark, sf_dir)
+    events = raw_events(spark, sf_dir, span)
     reduced = events.groupBy(
         "event_date", "user_id", "hostname", "device_category", "browser", "operating_system", "event_name"
     ).agg(
@@ -131,13 +152,13 @@ def _finish(df: DataFrame, name: str) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[name]])
 
 
-def site_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _feed(user_days(spark, sf_dir), [*FEED_GRAIN, "browser", "operating_system", "event_name"])
+def site_feed(spark: SparkSession, sf_dir: str, span: Span = ALL) -> DataFrame:
+    facts = _feed(user_days(spark, sf_dir, span), [*FEED_GRAIN, "browser", "operating_system", "event_name"])
     return _finish(flag_by_window(facts, SETTINGS), "ga4_eventos")
 
 
-def panel_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = raw_events(spark, sf_dir).where(F.col("event_name").isin("painel_acessado", "painel_clicado"))
+def panel_feed(spark: SparkSession, sf_dir: str, span: Span = ALL) -> DataFrame:
+    events = raw_events(spark, sf_dir, span).where(F.col("event_name").isin("painel_acessado", "painel_clicado"))
     reduced = events.groupBy(
         "event_date", "user_id", "hostname", "device_category", "event_name",
         or_not_set(F.expr(PANEL_NAME)).alias("nome_painel_raw"),
@@ -149,12 +170,12 @@ def panel_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(_feed(reduced, [*FEED_GRAIN, "event_name", "nome_painel_raw"]), "ga4_paineis")
 
 
-def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_feed(spark: SparkSession, sf_dir: str, span: Span = ALL) -> DataFrame:
     rolled = rolling_active_users(
-        user_days(spark, sf_dir),
+        user_days(spark, sf_dir, span.reaching_back(LOOKBACK)),
         ["hostname", "country", "device_category"],
         sums=("sessions", "engaged_sessions", "user_engagement_seconds"),
-        until=last_day(spark, sf_dir),
+        until=span.end or last_day(spark, sf_dir), start=span.start,
     )
     zero = F.lit(0)
     return _finish(
@@ -167,20 +188,21 @@ def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def page_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_events(spark: SparkSession, sf_dir: str, span: Span = ALL) -> DataFrame:
     """Panel page views of the panel site, with the URL that was opened."""
-    views = raw_events(spark, sf_dir).where(
+    views = raw_events(spark, sf_dir, span).where(
         (F.col("hostname") == "data.example.org") & (F.col("event_name") == "page_view")
     )
     return views.withColumn("b64", F.base64(F.col("props").cast("binary"))).withColumn("page_location", F.expr(PAGE))
 
 
-def page_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    opened = page_events(spark, sf_dir).where(F.col("page_location").contains("redirect=")).select(
+def page_feed(spark: SparkSession, sf_dir: str, span: Span = ALL) -> DataFrame:
+    opened = page_events(spark, sf_dir, span.reaching_back(LOOKBACK)).where(F.col("page_location").contains("redirect=")).select(
         "event_date", "hostname", "page_location", "user_id", F.lit(1).cast("bigint").alias("page_views")
     )
     rolled = rolling_active_users(
-        opened, ["hostname", "page_location"], sums=("page_views",), until=last_day(spark, sf_dir)
+        opened, ["hostname", "page_location"], sums=("page_views",), until=span.end or last_day(spark, sf_dir),
+        start=span.start,
     ).select(
         "event_date", "hostname", "page_location",
         F.coalesce("page_views", F.lit(0)).alias("page_views"),
@@ -238,24 +260,25 @@ class GivenTables:
 
     settings = SETTINGS
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, span: Span = ALL) -> None:
         self._at = (spark, sf_dir)
+        self._span = span
 
     @cached_property
     def ga4_eventos(self) -> DataFrame:
-        return site_feed(*self._at)
+        return site_feed(*self._at, self._span)
 
     @cached_property
     def ga4_paineis(self) -> DataFrame:
-        return panel_feed(*self._at)
+        return panel_feed(*self._at, self._span)
 
     @cached_property
     def ga4_usuarios(self) -> DataFrame:
-        return user_feed(*self._at)
+        return user_feed(*self._at, self._span)
 
     @cached_property
     def ga4_paginas(self) -> DataFrame:
-        return page_feed(*self._at)
+        return page_feed(*self._at, self._span)
 
     @cached_property
     def dim_painel(self) -> DataFrame:
@@ -270,5 +293,6 @@ class GivenTables:
         return report_dimension(*self._at)
 
 
-def silver(spark: SparkSession, sf_dir: str) -> GivenTables:
-    return GivenTables(spark, sf_dir)
+def silver(spark: SparkSession, sf_dir: str, span: Span = ALL) -> GivenTables:
+    """The given tables as facts of the span's days; nothing before it and its windows is read."""
+    return GivenTables(spark, sf_dir, span)

@@ -5,10 +5,15 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import reports as r
 from ..operators.matching import dominant_label, last_label_before, reconcile
-from ..operators.rolling import rolling_active_users, rolling_active_users_sketch
+from ..operators.rolling import (
+    daily_user_sketches, rolling_active_users, rolling_active_users_sketch, rolling_from_sketches,
+)
+from ..session import shared_dir
+from ..sources.tables import Warehouse
 from . import dataset as d
 from .oracle import SITE, money
 from .registry import registered
@@ -151,14 +156,36 @@ def rolling_users_sketch(spark, sf_dir):
     return rolling_active_users_sketch(d.raw_events(spark, sf_dir), ["hostname"], until=d.last_day(spark, sf_dir))
 
 
+_SKETCH_BOUND = 0.05
+
+
+@registered("rolling_users_sketch_error", f"""SELECT hostname, event_date, users_7d, users_28d, true AS within FROM ({_rolling_sql("hostname")})""")
+def rolling_users_sketch_error(spark, sf_dir):
+    """Exact users beside estimates from stored daily sketches, and whether these are within three standard errors.
+
+    The sketches of the first half of the month and of the rest are stored in two runs, as daily loads would.
+    """
+    wh, last = Warehouse(spark, shared_dir(spark, "sketches")), d.last_day(spark, sf_dir)
+    middle = dt.date(2024, 1, 15)
+    for span in (d.Span(None, middle), d.Span(middle + dt.timedelta(days=1), None)):
+        wh.store_sketches("site_users", daily_user_sketches(d.raw_events(spark, sf_dir, span), ["hostname"]))
+    stored = wh.sketches("site_users", T.StructType([T.StructField("hostname", T.StringType())]))
+    about = rolling_from_sketches(stored, ["hostname"], until=last).withColumnsRenamed({"users_7d": "about_7d", "users_28d": "about_28d"})
+    exact = rolling_active_users(d.raw_events(spark, sf_dir), ["hostname"], until=last)
+    near = lambda n: F.abs(F.col(f"about_{n}") - F.col(f"users_{n}")) <= F.greatest(
+        F.lit(1.0), _SKETCH_BOUND * F.col(f"users_{n}"))
+    both = exact.join(about, ["hostname", "event_date"], "left")
+    return both.select("hostname", "event_date", "users_7d", "users_28d", F.coalesce(near("7d") & near("28d"), F.lit(False)).alias("within"))
+
+
 @registered("closed_week_users", """SELECT hostname, count(DISTINCT user_id) AS closed_week,
     count(DISTINCT user_id) AS rolling_7d FROM raw_events
     WHERE event_date BETWEEN DATE '2024-01-22' AND DATE '2024-01-28' GROUP BY ALL""")
 def closed_week_users(spark, sf_dir):
     """The 7-day count on a Sunday equals the distinct users of the closed week."""
-    events = d.raw_events(spark, sf_dir)
+    events = d.raw_events(spark, sf_dir, d.Span(SUNDAY, SUNDAY).reaching_back(d.LOOKBACK))
     closed = r.period_users(events, ["hostname"], SUNDAY - dt.timedelta(days=6), SUNDAY)
-    rolled = rolling_active_users(events, ["hostname"], until=SUNDAY).where(F.col("event_date") == F.lit(SUNDAY))
+    rolled = rolling_active_users(events, ["hostname"], start=SUNDAY, until=SUNDAY)
     return closed.join(rolled, "hostname").select(
         "hostname", F.col("users").alias("closed_week"), F.col("users_7d").alias("rolling_7d")
     )

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import week_start
+from ..functions.dates import Week, week_start
 from ..operators.ranking import period_change, share_of_total
 from ..plans import gold, weekly
 from . import dataset as d
@@ -16,14 +16,16 @@ from .registry import registered
 SUNDAY = dt.date(2024, 1, 28)
 
 _WEEKS = """(SELECT DATE '2024-01-28' AS week_end UNION ALL SELECT DATE '2024-01-21')"""
-_KPIS = f"""SELECT site, week_end,
+_SITES = "(SELECT 'Dados' AS site UNION ALL SELECT 'Institucional')"
+_KPIS = f"""SELECT s.site, week_end,
       {big("COALESCE(sum(wau) FILTER (WHERE event_date = week_end), 0)")} AS wau,
       {big("COALESCE(sum(mau) FILTER (WHERE event_date = week_end), 0)")} AS mau,
       {big("COALESCE(sum(sessoes_7d) FILTER (WHERE event_date = week_end), 0)")} AS sessoes,
       {big("COALESCE(sum(sessoes_engajadas_7d) FILTER (WHERE event_date = week_end), 0)")} AS engajadas,
       CAST({big("COALESCE(sum(cents_7d) FILTER (WHERE event_date = week_end), 0)")} AS DOUBLE) / 100 AS tempo_s,
       {big("COALESCE(sum(dau), 0)")} AS dau_total
-    FROM vw_usuarios_ativos JOIN {_WEEKS} ON event_date BETWEEN week_end - 6 AND week_end GROUP BY site, week_end"""
+    FROM {_SITES} s CROSS JOIN {_WEEKS} LEFT JOIN vw_usuarios_ativos u ON u.site = s.site AND event_date BETWEEN week_end - 6 AND week_end
+    GROUP BY s.site, week_end"""
 _SITE_KPIS = f"""SELECT site, week_end, wau, mau, sessoes, engajadas, sessoes / 7 AS sessoes_dia, dau_total / 7 AS dau_medio,
       CASE WHEN sessoes = 0 THEN 0.0 ELSE tempo_s / sessoes END AS tempo_sessao,
       CASE WHEN wau = 0 THEN 0.0 ELSE sessoes / wau END AS visitas_usuario,
@@ -52,8 +54,12 @@ _THEME = f"""SELECT tema, acessos, acessos / total AS share FROM (
     ORDER BY acessos DESC, place LIMIT 1"""
 
 
+#: Both weeks and what their rolling sums need.
+_SPAN = d.Span(Week.of(SUNDAY).earlier().monday, SUNDAY).reaching_back(d.LOOKBACK)
+
+
 def _silver(spark, sf_dir):
-    return d.silver(spark, sf_dir)
+    return d.silver(spark, sf_dir, _SPAN)
 
 
 @registered("weekly_site_kpis", _SITE_KPIS)
@@ -141,10 +147,25 @@ def weekly_dataset(spark, sf_dir):
     return weekly.weekly_dataset(_silver(spark, sf_dir), SUNDAY)
 
 
+_ABSENT = """SELECT section, member, week_end, kpi, value FROM (VALUES ('Dados'), ('Institucional')) AS s(member),
+      (VALUES (DATE '2023-12-24'), (DATE '2023-12-31')) AS w(week_end),
+      (VALUES ('wau'), ('mau'), ('sessoes'), ('engajadas'), ('sessoes_dia'), ('dau_medio'), ('tempo_sessao'), ('visitas_usuario')) AS k(kpi),
+      (VALUES ('site', CAST(0 AS DOUBLE))) AS z(section, value)"""
+
+
+@registered("weekly_dataset_absent_week", f"""{_ABSENT} UNION ALL SELECT 'day', CAST(event_date AS VARCHAR), DATE '2023-12-31', 'dau', CAST(0 AS DOUBLE)
+    FROM (SELECT CAST(unnest(generate_series(DATE '2023-12-25', DATE '2023-12-31', INTERVAL 1 DAY)) AS DATE) AS event_date)""")
+def weekly_dataset_absent_week(spark, sf_dir):
+    """Weeks before the first event: zeros for every site, week and day, and no lists."""
+    sunday = dt.date(2023, 12, 31)
+    span = d.Span(Week.of(sunday).earlier().monday, sunday).reaching_back(d.LOOKBACK)
+    return weekly.closed_week_dataset(d.silver(spark, sf_dir, span), sunday, force=True)
+
+
 @registered("week_buckets", f"""SELECT CAST(date_trunc('week', event_date) AS DATE) AS week, site, {big("sum(sessoes)")} AS sessoes
     FROM vw_site_overview GROUP BY ALL""")
 def week_buckets(spark, sf_dir):
-    rows = gold.vw_site_overview(_silver(spark, sf_dir))
+    rows = gold.vw_site_overview(d.silver(spark, sf_dir))
     return rows.groupBy(week_start(F.col("event_date")).alias("week"), "site").agg(F.sum("sessoes").alias("sessoes"))
 
 
@@ -158,5 +179,5 @@ def week_change(spark, sf_dir):
 @registered("theme_shares", f"""SELECT tema, acessos, acessos / {big("sum(acessos) OVER ()")} AS share
     FROM (SELECT tema, {big("sum(acessos)")} AS acessos FROM vw_paineis_acessos GROUP BY tema)""")
 def theme_shares(spark, sf_dir):
-    rows = gold.vw_paineis_acessos(_silver(spark, sf_dir)).groupBy("tema").agg(F.sum("acessos").alias("acessos"))
+    rows = gold.vw_paineis_acessos(d.silver(spark, sf_dir)).groupBy("tema").agg(F.sum("acessos").alias("acessos"))
     return share_of_total(rows, "acessos")

@@ -151,6 +151,16 @@ class Warehouse:
         for day in emptied or []:
             self.delete("silver", table, version, f"event_date={day.isoformat()}")
 
+    def store_sketches(self, name: str, daily: DataFrame) -> None:
+        """Daily user sketches, a folder per day; days that are in ``daily`` are replaced."""
+        daily.hint("rebalance", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "event_date").parquet(self.path("sketches", name))
+
+    def sketches(self, name: str, keys: T.StructType) -> DataFrame:
+        """Stored sketches of the given key columns; a filter on ``event_date`` reads those days only."""
+        schema = T.StructType([*keys.fields, T.StructField("sketch", T.BinaryType()), T.StructField("event_date", T.DateType())])
+        return self.spark.read.schema(schema).parquet(self.path("sketches", name))
+
     def replace_all(self, table: str, rows: DataFrame) -> None:
         """Full rebuild: the old table counts until the new one is whole."""
         self._replace(_by_day(rows), "silver", table, partitions=("event_date",))
