@@ -186,37 +186,27 @@ def windowed_segments(s: Silver, start: dt.date | None = None, end: dt.date | No
     """
     read_from = None if start is None else start - dt.timedelta(days=max(WINDOW_DAYS) - 1)
     rows = _between(s.ga4_usuarios, read_from, end).where(F.col("site") != s.settings.other_site)
-    rolled = rolling_sums(
-        rows,
-        ["hostname", "country", "device_category"],
-        {
-            7: {"ses_7d": "sessions", "eng_7d": "engaged_sessions", "tempo_7d": "user_engagement_seconds"},
-            28: {"ses_28d": "sessions", "eng_28d": "engaged_sessions"},
-        },
-    )
-    rule = s.settings.robots
-    flagged = (
-        rolled.withColumn("valido_1d", valid_traffic(F.col("sessions"), F.col("engaged_sessions"), rule))
-        .withColumn("valido_7d", valid_traffic(F.col("ses_7d"), F.col("eng_7d"), rule))
-        .withColumn("valido_28d", valid_traffic(F.col("ses_28d"), F.col("eng_28d"), rule))
-    )
-    return _between(flagged, start, None)
+    measures = ("sessions", "engaged_sessions", "user_engagement_seconds")
+    named = {n: {f"{m}_{n}d": m for m in measures} for n in WINDOW_DAYS}
+    rolled = rolling_sums(rows, ["hostname", "country", "device_category"], named)
+    for n in WINDOW_DAYS:
+        sessions, engaged = (F.col(f"{m}_{n}d") for m in measures[:2])
+        rolled = rolled.withColumn(f"valid_{n}d", valid_traffic(sessions, engaged, s.settings.robots))
+    return _between(rolled, start, None)
 
 
 def vw_usuarios_ativos(s: Silver, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """DAU, WAU and MAU of valid traffic; each window is judged by its own sessions, not by the day's."""
-    d1, d7, d28 = F.col("valido_1d"), F.col("valido_7d"), F.col("valido_28d")
+    day, week, month = WINDOW_DAYS
+    published = {
+        "dau": ("dau", day), "wau": ("wau", week), "mau": ("mau", month),
+        "sessoes": (f"sessions_{day}d", day), "sessoes_engajadas": (f"engaged_sessions_{day}d", day),
+        "tempo_engajamento_s": (f"user_engagement_seconds_{day}d", day),
+        "sessoes_7d": (f"sessions_{week}d", week), "sessoes_engajadas_7d": (f"engaged_sessions_{week}d", week),
+        "tempo_engajamento_7d_s": (f"user_engagement_seconds_{week}d", week),
+    }
     return windowed_segments(s, start, end).groupBy("event_date", "site", "country", "device_category").agg(
-        _sum_if(d1, "dau").alias("dau"),
-        _sum_if(d7, "wau").alias("wau"),
-        _sum_if(d28, "mau").alias("mau"),
-        _sum_if(d1, "sessions").alias("sessoes"),
-        _sum_if(d1, "engaged_sessions").alias("sessoes_engajadas"),
-        _sum_if(d1, "user_engagement_seconds").alias("tempo_engajamento_s"),
-        _sum_if(d7, "ses_7d").alias("sessoes_7d"),
-        _sum_if(d7, "eng_7d").alias("sessoes_engajadas_7d"),
-        _sum_if(d7, "tempo_7d").alias("tempo_engajamento_7d_s"),
-    )
+        *[_sum_if(F.col(f"valid_{n}d"), column).alias(name) for name, (column, n) in published.items()])
 
 
 VIEWS: dict[str, Callable[..., DataFrame]] = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +41,7 @@ register("active_users", partial(_view, "vw_usuarios_ativos"),
 
 
 @registered("panel_resolved", """SELECT event_date, hostname, site, country, region, city, device_category, event_name,
-    nome_painel_raw, painel, event_count FROM vw_painel_normalizado""")
+    nome_painel_raw, painel, event_count FROM named_panels""")
 def panel_resolved(spark, sf_dir):
     return _view("vw_painel_normalizado", spark, sf_dir).select(
         "event_date", "hostname", "site", "country", "region", "city", "device_category", "event_name",
@@ -95,23 +96,24 @@ def rolling_order_sums(spark, sf_dir):
     return rolling_sums(daily, ["o_orderstatus"], {7: {"n_7d": "n", "cents_7d": "cents"}, 28: {"n_28d": "n"}}).drop("cents")
 
 
-@registered("window_validity", """SELECT event_date, hostname, country, device_category, ses_7d, eng_7d, ses_28d, eng_28d,
-    valido_1d, valido_7d, valido_28d FROM marcadas""")
+_WINDOWS = [(f"{name}_{n}d", value, n) for n in (1, 7, 28) for name, value in (
+    ("sessions", "sessions"), ("engaged_sessions", "engaged"), ("valid", "valid"))]
+
+
+@registered("window_validity", f"""SELECT event_date, hostname, country, device_category, {', '.join(
+    f"any_value({value}) FILTER (WHERE n = {n}) AS {name}" for name, value, n in _WINDOWS)} FROM recent_days GROUP BY ALL""")
 def window_validity(spark, sf_dir):
     return gold.windowed_segments(d.silver(spark, sf_dir)).select(
-        "event_date", "hostname", "country", "device_category", "ses_7d", "eng_7d", "ses_28d", "eng_28d",
-        "valido_1d", "valido_7d", "valido_28d",
-    )
+        "event_date", "hostname", "country", "device_category", *[name for name, _, _ in _WINDOWS])
 
 
 @registered("active_users_of_range", f"""SELECT * EXCLUDE (cents, cents_7d), {money('cents', 'tempo_engajamento_s')},
     {money('cents_7d', 'tempo_engajamento_7d_s')} FROM vw_usuarios_ativos
     WHERE event_date BETWEEN DATE '2024-01-22' AND DATE '2024-01-28'""")
 def active_users_of_range(spark, sf_dir):
-    """A week of the view, with the lookback its 28-day window needs."""
-    import datetime as dt
-
-    return gold.vw_usuarios_ativos(d.silver(spark, sf_dir), dt.date(2024, 1, 22), dt.date(2024, 1, 28))
+    """A week of the view, with the lookback its 28-day window needs; earlier days are not read."""
+    week = d.Span(dt.date(2024, 1, 22), dt.date(2024, 1, 28))
+    return gold.vw_usuarios_ativos(d.silver(spark, sf_dir, week.reaching_back(d.LOOKBACK)), *week)
 
 
 @registered("views_by_name", """SELECT site, CAST(sum(sessoes) AS BIGINT) AS sessoes FROM vw_site_overview GROUP BY site""")
