@@ -17,11 +17,11 @@ from .test_jaccard import brute as brute_classes
 from .test_licenses import brute as brute_notices
 from .test_secrets import base
 from .test_suffixes import brute as brute_repeats
-from visitledger.llm import licenses
+from visitledger.llm import embeddings, licenses
 from visitledger.llm.jaccard import Likeness
 from visitledger.llm.queries import QUERIES, SQL
 
-SF = "/root/testdata/sf0.001"
+SF, SF1 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -51,8 +51,12 @@ def test_op2(spark, texts, pair):  # noqa: F811
             len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
 
 
-def test_op3(spark, texts):
-    for r in QUERIES["op3_secret_scan"](spark, SF).collect():
+def test_op3(spark):
+    table = pq.read_table(f"{SF1}/documents.parquet")
+    texts = dict(zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True))
+    found = QUERIES["op3_secret_scan"](spark, SF1).collect()
+    assert sum(r.n_assign for r in found) > 5 and sum(r.n_hex for r in found) > 5 and any("guess" in r.spans for r in found)
+    for r in found:
         spans = base(texts[r.doc_id] or "")
         joined = [f"{k}:{a}:{b}" for k, a, b in spans]
         assert r.base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest()
@@ -74,14 +78,29 @@ def test_op6(spark, texts):
     assert got == brute_classes(list(texts.items()), Likeness(width=3, part=90))[0]
 
 
+def test_op7_planted(spark):
+    """Links between copies and near copies of given vectors; none of the given vectors has one."""
+    given = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = duckdb.sql(f"SELECT vec_id, embedding, label FROM '{SF}/embeddings.parquet'").fetchall()
+    rows += [(100_000 + i, v, k) for i, v, k in rows[:40]]
+    rows += [(200_000 + i, [x * (1.001 if n % 2 else 0.999) for n, x in enumerate(v)], k) for i, v, k in rows[10:30]]
+    planted = spark.createDataFrame([(i, list(v), k) for i, v, k in rows], given.schema)
+    got = sorted((tuple(r) for r in embeddings.near_duplicates(planted).collect()), key=repr)
+    assert got == brute_vectors([(i, list(v), k) for i, v, k in rows]) and sum(r[1] for r in got) >= 120
+
+
 def test_op7(spark):
     rows = duckdb.sql(f"SELECT vec_id, embedding, label FROM '{SF}/embeddings.parquet'").fetchall()
     got = sorted((tuple(r) for r in QUERIES["op7_embedding_near_dedup"](spark, SF).collect()), key=repr)
     assert got == brute_vectors([(i, list(v), k) for i, v, k in rows])
 
 
-def test_op10(spark, texts):
-    for r in QUERIES["op10_license_scan"](spark, SF).collect():
+def test_op10(spark):
+    table = pq.read_table(f"{SF1}/documents.parquet")
+    texts = dict(zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True))
+    found = QUERIES["op10_license_scan"](spark, SF1).collect()
+    assert sum(r.n_base for r in found) > 10
+    for r in found:
         n, places = brute_notices(texts[r.doc_id])
         mine = [(w, licenses.BASE_PHRASES[p]) for p, w in places if p in licenses.BASE_PHRASES]
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (

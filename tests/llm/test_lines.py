@@ -1,17 +1,21 @@
 import collections
+import re
 
 from visitledger.llm import lines
 
 SPACE = " \t\n\x0b\x0c\r"
 
 
-def brute(rows, least):
-    sites = collections.defaultdict(set)
+def brute(rows, rule):
+    sites, texts = collections.defaultdict(set), collections.defaultdict(set)
     for _, text, site in rows:
         for line in (text or "").split("\n"):
             if line.strip(SPACE):
                 sites[line.strip(SPACE)].add(site)
-    bad = {x for x, s in sites.items() if len(s) >= least}
+                texts[line.strip(SPACE)].add(text)
+    words = lambda x: len(re.findall(r"[^\x20\x09-\x0D]+", x))
+    least = lambda x: rule.sites if words(x) >= rule.words else rule.short_sites
+    bad = {x for x, s in sites.items() if min(len(s), len(texts[x])) >= least(x)}
     # the least id keeps the line: null ids first; these fixtures have no two texts under a tied id that share a line
     keeper = {}
     for key, text, _ in rows:
@@ -28,11 +32,13 @@ def brute(rows, least):
 
 
 def test_remove(odd, documents):
-    for docs, least in ((odd, 2), (documents, 3), (documents, 10)):
+    rules = [lines.Rule(sites=n, short_sites=n) for n in (2, 3, 10)] + [lines.Rule(), lines.Rule(words=1, sites=4)]
+    for docs, rule in ((odd, rules[0]), (odd, rules[1]), (documents, rules[1]), (documents, rules[2]), (documents, rules[3]),
+                       (documents, rules[4])):
         rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
-        found = lines.remove(docs, min_sites=least, removed="gone")
+        found = lines.remove(docs, rule=rule, removed="gone")
         assert found.columns == [*docs.columns, "gone"]
-        assert collections.Counter((r.doc_id, r.text, r.gone) for r in found.collect()) == brute(rows, least)
+        assert collections.Counter((r.doc_id, r.text, r.gone) for r in found.collect()) == brute(rows, rule)
 
 
 def test_empty_table_and_other_columns(odd, none):
@@ -42,14 +48,33 @@ def test_empty_table_and_other_columns(odd, none):
 
 
 def test_near_threshold_is_exact(spark):
-    rows = [(i, f"line {k}", f"site{i}") for k in range(9, 15) for i in range(k)]
+    rows = [(i, f"line {k}\nown {k} {i}", f"site{i}") for k in range(9, 15) for i in range(k)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    found = {r.sites: r.exact for r in lines.spread(docs, min_sites=10).collect()}
+    found = {r.sites: r.exact for r in lines.spread(docs).collect() if r.sites > 1}
     assert {k for k, exact in found.items() if exact} >= {9, 10, 11} and all(found[k] for k in (9, 10, 11))
-    assert lines.boilerplate(docs, min_sites=10).count() == 5
+    assert lines.boilerplate(docs).count() == 5
+
+
+def test_planted_lines(spark):
+    """Lines of five words go from three sites on, shorter ones from ten; copies of one text are one text."""
+    rows, n = [], 0
+    for sites in range(1, 13):
+        for line in (f"all rights are reserved here {sites}", f"short line {sites}"):
+            for site in range(sites):
+                rows.append((n, f"{line}\nwords of this document {n} alone", f"s{site}"))
+                n += 1
+    rows += [(n + k, "a copied document of one long line\nand of a second line too", f"s{k}") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = lines.remove(docs, removed="gone").collect()
+    gone = collections.Counter()
+    text_of = {r[0]: r[1].split("\n")[0] for r in rows}
+    for r in found:
+        gone[text_of[r.doc_id]] += r.gone
+    want = {f"all rights are reserved here {k}": k - 1 for k in range(3, 13)} | {f"short line {k}": k - 1 for k in (10, 11, 12)}
+    assert {k: v for k, v in gone.items() if v} == want
 
 
 def test_many_sites(spark):
-    docs = spark.range(3000).selectExpr("id AS doc_id", "'everywhere' AS text", "CAST(id AS STRING) AS source")
-    found = lines.spread(docs).collect()
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('everywhere\n', CAST(id AS STRING)) AS text", "CAST(id AS STRING) AS source")
+    found = [r for r in lines.spread(docs).collect() if r.sites > 1]
     assert len(found) == 1 and not found[0].exact and abs(found[0].sites - 3000) < 3000 * 0.15

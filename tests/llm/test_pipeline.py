@@ -57,14 +57,7 @@ def drawn(rows, mix):
                 now[c[d]] += w
             weight = {c: w * target.get(c[d], 0) / now[c[d]] if now[c[d]] else 0 for c, w in weight.items()}
     rate = {c: weight[c] / n if n else 0 for c, n in cells.items()}
-    scale = mix.budget * total
-    for _ in range(mix.fills):
-        full = {c for c in cells if rate[c] * scale >= 1}
-        rest = sum(w for c, w in weight.items() if c not in full)
-        following = (mix.budget * total - sum(cells[c] for c in full)) / rest if rest else scale
-        if following <= scale:
-            break
-        scale = following
+    scale = min(mix.budget * total, 1 / max(rate.values()))
     kept = []
     for row in rows:
         key, text, source, lang = row
@@ -79,7 +72,7 @@ def test_stages_and_run(spark, documents, pair):  # noqa: F811
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "jaccard_join", "source_mixing", "byte_bpe"]
     rows = [r for r in documents.select("doc_id", "text", "source", "lang").collect() if not rejected(r.text)]
     other = {r.doc_id: (r.source, r.lang) for r in rows}
-    cut = brute_lines([(r.doc_id, r.text, r.source) for r in rows], lines.MIN_SITES)
+    cut = brute_lines([(r.doc_id, r.text, r.source) for r in rows], lines.Rule())
     cleaned = [(key, text) for key, text, gone in cut if not gone or text.strip(SPACE)]
     assert len({k for k, _ in cleaned}) == len(cleaned)
     counts, roots = brute_classes(cleaned, Likeness())

@@ -64,7 +64,8 @@ def test_guess_spans():
     assert [s[:3] for s in secrets.find_spans(text) if s[0] == "guess"] == [("guess", 7, 23)]
 
 
-def test_frames(odd, none, documents):
+def test_frames(spark, odd, none):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")  # the smallest table that holds secrets
     rows = secrets.scan(documents).select("text", "secrets").collect()
     assert any(r.secrets for r in rows)
     for r in rows:

@@ -2,9 +2,10 @@
 
 Tokens are summed to cells of source, language and topic. Raking scales the cells until the sums by source, by language
 and by topic have the target shares: each pass multiplies by target over sum, one dimension after the other, for a
-stated number of passes. A document is kept with the probability of its cell: the fitted weight per token, scaled to a
-budget and cut off at one, what is cut off going to the other cells. The draw is a hash of id and text, so a
-repeated task draws the same and equal rows are kept or left together.
+stated number of passes. A document is kept with the probability of its cell: the fitted weight per token, scaled to the
+budget, or to the largest budget at which no probability exceeds one if that is less. No probability is cut off, so the
+expected shares of what is drawn are the target shares. The draw is a hash of id and text, so a repeated task draws the
+same and equal rows are kept or left together.
 
 Only cells are raked, but their number grows with the sources, so passes are DataFrame aggregations (combined on the map
 side, joined to sums of one dimension); each pass is written, which keeps plans short.
@@ -17,6 +18,7 @@ weight 0 and probability 0; an empty table gives an empty one. Ids may repeat.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,15 +30,12 @@ DIMENSIONS = ("source", "lang", "topic")
 
 @dataclass(frozen=True)
 class Mix:
-    """Target shares are ``share ** flatten`` of the given ones; ``budget`` is the share of all tokens to draw.
+    """Target shares are ``share ** flatten`` of the given ones, by source, language and topic; ``budget`` is the share
+    of all tokens to draw at most. The flatter the targets, the less can be drawn at all. ``passes`` rounds of raking."""
 
-    ``passes`` rounds of raking, ``fills`` rounds of handing on what probabilities above one leave over.
-    """
-
-    flatten: tuple[float, float, float] = (0.7, 0.7, 0.7)
-    budget: float = 0.9
+    flatten: tuple[float, float, float] = (0.85, 0.85, 0.95)
+    budget: float = 1.0
     passes: int = 10
-    fills: int = 8
     seed: str = "mix-1"
 
 
@@ -47,7 +46,7 @@ def tokens(text: Column) -> Column:
 
 
 def topic_of(text: Column) -> Column:
-    """A coarse topic by the text's form: tables, contacts and links, lists of short lines, or prose."""
+    """The form of the text as a stand-in for a topic: tables, contacts and links, paragraphs, or prose."""
     whole = F.coalesce(text.cast("string"), F.lit(""))
     return (F.when(whole.contains(" | "), "table").when(whole.rlike(r"@|https?://|\+\d"), "contact")
             .when(whole.contains("\n"), "paragraphs").otherwise("prose"))
@@ -87,26 +86,34 @@ def rake(cells: DataFrame, targets: list[DataFrame], mix: Mix) -> DataFrame:
 
 
 def probabilities(fitted: DataFrame, mix: Mix) -> DataFrame:
-    """``fitted`` and ``probability`` of a document of the cell.
-
-    Expected tokens are ``budget`` of all; each fill hands what full cells cannot give to the others, in proportion.
-    """
-    total = float(fitted.agg(F.sum("n")).first()[0] or 0)
+    """``fitted`` and ``probability`` of a document of the cell, in proportion to the fitted weight of a token."""
     rate = fitted.withColumn("rate", F.when(F.col("n") > 0, F.col("weight") / F.col("n")).otherwise(0.0))
-    scale = mix.budget * total
-    for _ in range(mix.fills):
-        full = F.col("rate") * scale >= 1
-        row = rate.agg(F.sum(F.when(full, F.col("n")).otherwise(0)).alias("full"),
-                       F.sum(F.when(~full, F.col("weight")).otherwise(0.0)).alias("open")).first()
-        if not row["open"]:
-            break
-        following = (mix.budget * total - row["full"]) / row["open"]
-        if following <= scale:
-            break
-        scale = following
+    found = rate.agg(F.sum("n").alias("total"), F.max("rate").alias("most")).first()
+    scale = min(mix.budget * float(found["total"] or 0), 1 / found["most"] if found["most"] else 0.0)
     return rate.withColumn("probability", F.least(F.lit(1.0), F.col("rate") * F.lit(scale))).drop("rate")
 
 
+def residuals(mixed: DataFrame, targets: list[DataFrame], out: str = "mixed", source: str = "source",
+              lang: str = "lang") -> DataFrame:
+    """(dimension, member, target, expected, drawn) shares of tokens of what ``drawn`` returned: the expected ones by the
+    probabilities, the drawn ones by the draw."""
+    rows = mixed.select(named(source).alias("source"), named(lang).alias("lang"), F.col(f"`{out}`.topic").alias("topic"),
+                        F.col(f"`{out}`.n_tokens").alias("n"), F.col(f"`{out}`.probability").alias("p"),
+                        F.col(f"`{out}`.sampled").alias("sampled"))
+    cells = rows.groupBy(*DIMENSIONS).agg(F.sum(F.col("n") * F.col("p")).alias("expected"),
+                                          F.sum(F.when(F.col("sampled"), F.col("n")).otherwise(0)).alias("drawn"))
+    cells = written(cells, "expected")
+    all_of = cells.agg(F.sum("expected").alias("expected"), F.sum("drawn").alias("drawn")).first()
+    parts = []
+    for dim, target in zip(DIMENSIONS, targets, strict=True):
+        sums = cells.groupBy(F.col(dim).alias("d")).agg(*[
+            (F.sum(c) / F.lit(float(all_of[c] or 1))).alias(c) for c in ("expected", "drawn")])
+        joined = target.join(sums, F.col("member").eqNullSafe(F.col("d")), "left")
+        parts.append(joined.select(F.lit(dim).alias("dimension"), F.col("member").cast("string"), "target",
+                                   *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("expected", "drawn")]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _cells(docs: DataFrame, text: str, source: str, lang: str, topic: Column) -> DataFrame:
     rows = docs.select(named(source).alias("source"), named(lang).alias("lang"), topic.alias("topic"),
                        tokens(named(text)).alias("n_tokens"))

@@ -90,19 +90,14 @@ def _mixing_sql(mix: mixing.Mix) -> str:
                 f"FROM f{number} f LEFT JOIN g_{dim} g ON f.{dim} IS NOT DISTINCT FROM g.{dim})")
             number += 1
     steps.append(f"r AS MATERIALIZED (SELECT *, CASE WHEN n > 0 THEN weight / n ELSE 0 END AS rate FROM f{number})")
-    steps.append(f"k0 AS (SELECT {mix.budget} * total AS scale FROM s)")
-    for k in range(mix.fills):
-        steps.append(
-            f"k{k + 1} AS MATERIALIZED (SELECT greatest(max(scale), coalesce(({mix.budget} * max(total) "
-            f"- sum(CASE WHEN rate * scale >= 1 THEN n ELSE 0 END)) "
-            f"/ nullif(sum(CASE WHEN rate * scale >= 1 THEN 0 ELSE weight END), 0), 0)) AS scale FROM r, k{k}, s)")
+    steps.append(f"k AS MATERIALIZED (SELECT least({mix.budget} * max(total), 1 / max(rate)) AS scale FROM r, s)")
     return "WITH " + ",\n".join(steps) + f"""
 SELECT doc_id, w.source, w.lang, w.topic, n_tokens, round(CASE WHEN n > 0 THEN weight * total / n ELSE 0 END, 6) AS weight,
   round(least(1.0, rate * scale), 6) AS probability,
   ('0x' || substr(md5('{mix.seed}' || chr(31) || doc_id || chr(31) || coalesce(text, chr(0))), 1, 8))::BIGINT / 4294967296.0
     < least(1.0, rate * scale) AS sampled
 FROM w JOIN r ON w.source IS NOT DISTINCT FROM r.source AND w.lang IS NOT DISTINCT FROM r.lang AND w.topic = r.topic,
-  k{mix.fills}, s"""
+  k, s"""
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +106,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = rf"""
-WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
              unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
 t AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM l),
-b AS (SELECT k, min(doc_id) AS keeper FROM t WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {lines.MIN_SITES}),
+b AS (SELECT k, min(doc_id) AS keeper FROM t WHERE k <> '' GROUP BY k HAVING least(count(DISTINCT source), count(DISTINCT text))
+        >= CASE WHEN len(regexp_extract_all(k, '[^\x20\x09-\x0D]+')) >= {lines.Rule().words} THEN {lines.Rule().sites} ELSE {lines.Rule().short_sites} END),
 r AS (SELECT t.*, b.k IS NOT NULL AND doc_id <> keeper AS gone FROM t LEFT JOIN b ON t.k = b.k),
 a AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text,
         count(*) FILTER (gone) AS n_removed FROM r GROUP BY doc_id)
