@@ -264,3 +264,10 @@ def test_constraints(spark):
     assert got == {("not_null", "id"): 1, ("not_null", "t"): 1, ("max_length", "t"): 1, ("unique", "id"): 1, ("references", "ref->parent.id"): 1}
     assert constraints.missing_columns(df, ["id", "nope"]) == ["nope"]
     assert RobotRule().min_sessions == 30
+
+
+def test_columns_are_those_of_the_file(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).selectExpr("id AS a", "id AS b").write.parquet(path)
+    declared = spark.read.schema("a bigint, b bigint, c bigint").parquet(path)
+    assert missing_columns(declared, ["a", "b", "c"]) == [] and missing_in_file(spark, path, ["a", "b", "c"]) == ["c"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import Constraints
@@ -46,3 +46,8 @@ def repeated_grain(df: DataFrame, grain: list[str]) -> DataFrame:
 
 def missing_columns(df: DataFrame, expected: list[str]) -> list[str]:
     return sorted(set(expected) - set(df.columns))
+
+
+def missing_in_file(spark: SparkSession, path: str, expected: list[str]) -> list[str]:
+    """Expected columns that a Parquet table lacks by its own footers, not by a schema declared for reading it."""
+    return missing_columns(spark.read.option("mergeSchema", "true").parquet(path), expected)

@@ -247,8 +247,9 @@ def report_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def region_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).where("n_nationkey % 6 <> 5").select(
-        F.concat(F.lit("State of "), F.col("n_name")).alias("region_ga4"),
+    kind = F.when(F.col("n_nationkey") % 6 == 5, "Province of ").otherwise("State of ")  # no event has a province
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.concat(kind, F.col("n_name")).alias("region_ga4"),
         F.col("n_name").alias("estado"),
         F.concat(F.lit("U"), F.col("n_nationkey").cast("string")).alias("uf"),
         F.col("r_name").alias("pais"),

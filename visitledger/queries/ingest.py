@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import seeds
 from ..config import FEEDS
 from ..plans import load
 from ..session import shared_dir
@@ -166,17 +168,15 @@ def latest_snapshot_rows(spark, sf_dir):
 
 @registered("pending_days", f"""WITH l AS (SELECT event_date, arg_max(snapshot_id, (data_extracao, snapshot_id)) AS snapshot_id, max(data_extracao) AS data_extracao
       FROM ({_LOG_SQL}) GROUP BY event_date),
-      s AS (SELECT CAST(ts AS DATE) AS event_date, max(CAST(CAST(ts AS DATE) AS TIMESTAMP) + CASE WHEN day(ts) % 3 = 1 THEN INTERVAL 6 HOURS ELSE INTERVAL 30 HOURS END) AS held
-            FROM events WHERE day(ts) % 3 <> 0 GROUP BY ALL)
+      s AS (SELECT CAST(ts AS DATE) AS event_date, max(CAST(CAST(ts AS DATE) AS TIMESTAMP) + CASE day(ts) % 3 WHEN 1 THEN INTERVAL 6 HOURS WHEN 2 THEN INTERVAL 30 HOURS END) AS held
+            FROM events GROUP BY ALL)
     SELECT l.event_date, snapshot_id, data_extracao FROM l LEFT JOIN s USING (event_date) WHERE held IS NULL OR data_extracao > held""")
 def pending_days(spark, sf_dir):
-    """A third of the days was never loaded, a third was loaded too early, a third is up to date."""
+    """A third of the days holds no time of loading, a third was loaded too early, a third is up to date."""
     held = F.col("event_date").cast("timestamp_ntz") + F.expr(
-        "CASE WHEN day(event_date) % 3 = 1 THEN INTERVAL '6' HOUR ELSE INTERVAL '30' HOUR END"
-    )
-    silver_days = d.raw_events(spark, sf_dir).where("day(event_date) % 3 <> 0").select(
-        "event_date", held.alias("data_extracao")
+        "CASE day(event_date) % 3 WHEN 1 THEN INTERVAL '6' HOUR WHEN 2 THEN INTERVAL '30' HOUR END"
     )
+    silver_days = d.raw_events(spark, sf_dir).select("event_date", held.alias("data_extracao"))
     return bronze.pending_days(_snapshot_log(spark, sf_dir), silver_days).drop("linhas")
 
 
@@ -203,7 +203,7 @@ def _facts(spark, sf_dir, events: DataFrame) -> DataFrame:
     return d._feed(reduced, [*d.FEED_GRAIN, "browser", "operating_system", "event_name"])
 
 
-_KEPT = "kept AS (SELECT * FROM hits WHERE event_id % 10 <> 0 OR event_date >= DATE '2024-01-28')"
+_KEPT = """kept AS (SELECT * REPLACE (engaged AND (event_id % 10 <> 0 OR event_date >= DATE '2024-01-28') AS engaged) FROM hits)"""
 _REPLACED = ", ".join(
     f"{new} AS ({CTES[old].replace('hits', 'kept').replace('facts', 'day_facts').replace('flags', 'day_flags')})"
     for old, new in (("facts", "day_facts"), ("flags", "day_flags"), ("eventos", "day_events"))
@@ -217,13 +217,14 @@ _REPLACED = ", ".join(
 def day_replace(spark, sf_dir):
     """Load, load again with late data for the last days, and once more without news, through real tables.
 
-    The first extraction misses a tenth of the events; the second brings the last three days whole. Silver must hold
-    the new rows of those days, the old rows of all others, and must not change on the third run.
+    The first extraction does not know yet that a tenth of the events was engaged; the second brings the last three days
+    anew. Silver must hold the new rows of those days, the old rows of all others, and must not change on the third run.
     """
     wh = Warehouse(spark, shared_dir(spark, "day_replace"))
     wh.create_all()
     events = d.raw_events(spark, sf_dir)
-    early = _as_delivered(_facts(spark, sf_dir, events.where("event_id % 10 <> 0")))
+    unsettled = events.withColumn("engaged", F.col("engaged") & (F.col("event_id") % 10 != 0))
+    early = _as_delivered(_facts(spark, sf_dir, unsettled))
     late = _as_delivered(_facts(spark, sf_dir, events.where("event_date >= DATE '2024-01-28'")))
     bronze.append_snapshot(wh, SITE_FEED, early, dt.datetime(2024, 1, 31, 6))
     load.refresh_silver(wh, SITE_FEED, d.SETTINGS)
@@ -325,3 +326,38 @@ def key_upsert(spark, sf_dir):
         F.lit("unica").alias("versao"), F.lit("site").alias("fonte"),
     ).distinct()
     return dims.upsert(old, changed.unionByName(new), "alvo")
+
+
+_TABLES = {"ga4_eventos": "eventos", "ga4_paineis": "paineis", "ga4_usuarios": "usuarios", "ga4_paginas": "paginas"}
+
+
+@registered("created_tables", " UNION ALL ".join(
+    f"SELECT '{table}' AS tabela, CAST(0 AS BIGINT) AS linhas_antes, count(*) AS linhas, count(DISTINCT event_date) AS dias FROM {cte}"
+    for table, cte in _TABLES.items()))
+def created_tables(spark, sf_dir):
+    """Every fact table as it is created, with its schema and no rows, and after the given data were written to it."""
+    wh = Warehouse(spark, shared_dir(spark, "created_tables"))
+    wh.create_all()
+    given = d.silver(spark, sf_dir)
+    parts = []
+    for table in _TABLES:
+        before = wh.silver(table)
+        wh.replace_all(table, before.unionByName(getattr(given, table)))
+        count = wh.silver(table).agg(F.count("*").alias("linhas"), F.count_distinct("event_date").alias("dias"))
+        parts.append(count.select(F.lit(table).alias("tabela"), before.agg(F.count("*")).scalar().alias("linhas_antes"), "linhas", "dias"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_SEED = ", ".join("('{}', {})".format(name.replace("'", "''"), "NULL" if place is None else place) for name, place, *_ in seeds.PANELS)
+
+
+@registered("seeded_panels", f"""SELECT painel, ordem_menu, count(p_partkey) AS parts, CAST(count(DISTINCT p_brand) AS BIGINT) AS brands
+    FROM (VALUES {_SEED}) AS s(painel, ordem_menu) LEFT JOIN part ON p_size = ordem_menu GROUP BY ALL""")
+def seeded_panels(spark, sf_dir):
+    """The seeded panels, through a load of the dimensions, with the parts of their menu number."""
+    wh = Warehouse(spark, shared_dir(spark, "seeded_panels"))
+    wh.create_all()
+    dims.load_dimensions(wh)
+    part = d.table(spark, sf_dir, "part")
+    joined = wh.dim("dim_painel").join(part, F.col("ordem_menu") == F.col("p_size"), "left")
+    return joined.groupBy("painel", "ordem_menu").agg(F.count("p_partkey").alias("parts"), F.count_distinct("p_brand").alias("brands"))

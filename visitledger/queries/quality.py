@@ -146,10 +146,11 @@ _CUSTOM = Constraints(
     UNION ALL SELECT 'orders', 'max_length', 'o_orderstatus', count(*) FILTER (WHERE length(o_orderstatus) > 1) FROM orders
     UNION ALL SELECT 'orders', 'unique', 'o_orderkey', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
     UNION ALL SELECT 'orders', 'unique', 'o_custkey', count(*) FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)
-    UNION ALL SELECT 'orders', 'references', 'o_custkey->customer.c_custkey', count(*) FROM orders ANTI JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0) ON c_custkey = o_custkey""")
+    UNION ALL SELECT 'orders', 'references', 'o_custkey->customer.c_custkey', count(*) FROM orders ANTI JOIN (SELECT CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey FROM customer) ON c_custkey = o_custkey""")
 def quality_constraints(spark, sf_dir):
-    """All kinds of rules, with real violations: a repeated key, long text, and orphans of a thinned parent."""
-    parent = d.table(spark, sf_dir, "customer").where("c_custkey % 10 <> 0")
+    """All kinds of rules, with real violations: a repeated key, long text, and orphans of parents whose key has changed."""
+    changed = F.expr("CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END")
+    parent = d.table(spark, sf_dir, "customer").withColumn("c_custkey", changed)
     return constraints.check_table("orders", d.table(spark, sf_dir, "orders"), _CUSTOM, {"customer": parent})
 
 
@@ -170,15 +171,17 @@ def quality_grain(spark, sf_dir):
     return constraints.repeated_grain(d.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_suppkey"])
 
 
-@registered("quality_version_label", """WITH per AS (SELECT nome_painel_raw AS target, device_category, count(*) AS n FROM raw_events
-      WHERE event_id % 3 <> 1 OR event_id % 30 < 12 GROUP BY ALL),
+_OPENED_ON = "CASE WHEN user_id % (2 + event_id % 30 % 9) = 0 THEN 'tablet' ELSE device_category END"
+
+
+@registered("quality_version_label", f"""WITH per AS (SELECT nome_painel_raw AS target, {_OPENED_ON} AS device_category, count(*) AS n FROM raw_events GROUP BY ALL),
       best AS (SELECT *, sum(n) OVER (PARTITION BY target) AS total, row_number() OVER (PARTITION BY target ORDER BY n DESC, device_category) AS rn FROM per)
     SELECT target, CAST(total AS BIGINT) AS total, CAST(n AS DOUBLE) / CAST(total AS DOUBLE) AS share,
       CASE WHEN n / total >= 0.8 THEN device_category ELSE 'unica' END AS versao FROM best WHERE rn = 1""")
 def quality_version_label(spark, sf_dir):
-    opens = d.raw_events(spark, sf_dir).withColumn("target", d.or_not_set(F.expr(d.PANEL_NAME))).where(
-        "event_id % 3 <> 1 OR event_id % 30 < 12"
-    ).withColumn("n", F.lit(1).cast("bigint"))
+    """Targets of which from a half to a tenth of the opens is on a second device."""
+    opens = d.raw_events(spark, sf_dir).withColumns({
+        "target": d.or_not_set(F.expr(d.PANEL_NAME)), "device_category": F.expr(_OPENED_ON), "n": F.lit(1).cast("bigint")})
     return quality.version_by_device(opens, "target", "device_category", "n")
 
 
@@ -189,12 +192,16 @@ def quality_listing(spark, sf_dir):
     return quality.listing(rows.select(d.or_not_set(F.expr(d.PANEL_NAME)).alias("nome_painel_raw")), ["nome_painel_raw"])
 
 
-@registered("quality_missing_days", """WITH busy AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS event_date FROM orders WHERE o_totalprice > 400000)
+_BOOKED = "CAST(o_orderdate AS DATE) - CAST(day(o_orderdate) % 3 AS INT)"
+
+
+@registered("quality_missing_days", f"""WITH busy AS (SELECT DISTINCT {_BOOKED} AS event_date FROM orders)
     SELECT event_date FROM (SELECT CAST(unnest(generate_series((SELECT min(event_date) FROM busy), (SELECT max(event_date) FROM busy), INTERVAL 1 DAY)) AS DATE) AS event_date)
     ANTI JOIN busy USING (event_date)""")
 def quality_missing_days(spark, sf_dir):
-    """Days without a large order."""
-    busy = d.table(spark, sf_dir, "orders").where("o_totalprice > 400000").select(F.to_date("o_orderdate").alias("event_date"))
+    """Days without a booking, where orders are booked every third day of the month."""
+    day = F.date_sub(F.to_date("o_orderdate"), F.day("o_orderdate") % 3)
+    busy = d.table(spark, sf_dir, "orders").select(day.alias("event_date"))
     first, last = busy.agg(F.min("event_date")).scalar(), busy.agg(F.max("event_date")).scalar()
     return quality.missing_days(busy, first, last)
 
@@ -237,8 +244,11 @@ def target_sets(spark, sf_dir):
     return marked.select("alvo", F.col("mapeado").alias("mapped")).distinct()
 
 
-@registered("expected_columns", """SELECT 'events' AS tabela, count(*) AS linhas, 'session_id' AS missing FROM events""")
+@registered("expected_columns", """SELECT 'events' AS tabela, count(*) AS linhas,
+      (SELECT string_agg(c, ',' ORDER BY c) FROM (VALUES ('event_id'), ('ts'), ('user_id'), ('session_id')) AS v(c)
+       WHERE c NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM events))) AS missing FROM events""")
 def expected_columns(spark, sf_dir):
-    events = d.table(spark, sf_dir, "events")
-    missing = constraints.missing_columns(events, ["event_id", "ts", "user_id", "session_id"])
-    return events.agg(F.lit("events").alias("tabela"), F.count("*").alias("linhas"), F.lit(",".join(missing)).alias("missing"))
+    """Columns that the file itself has, whatever schema is declared for it."""
+    missing = constraints.missing_in_file(spark, f"{sf_dir}/events.parquet", ["event_id", "ts", "user_id", "session_id"])
+    return d.table(spark, sf_dir, "events").agg(
+        F.lit("events").alias("tabela"), F.count("*").alias("linhas"), F.lit(",".join(missing)).alias("missing"))

@@ -221,17 +221,20 @@ def label_dominant(spark, sf_dir):
 
 
 @registered("reconcile_daily", """WITH a AS (SELECT event_date, hostname, event_name, count(*) AS n FROM raw_events GROUP BY ALL),
-      b AS (SELECT event_date, hostname, event_name, count(*) AS n FROM raw_events WHERE user_id % 11 <> 3 AND NOT
-            (event_name = 'page_view' AND event_id % 2 = 0) GROUP BY ALL)
+      b AS (SELECT event_date + CAST(user_id % 11 = 3 AS INT) AS event_date,
+              CASE WHEN event_name = 'page_view' AND event_id % 2 = 0 THEN 'localhost' ELSE hostname END AS hostname, event_name, count(*) AS n
+            FROM raw_events GROUP BY ALL)
     SELECT event_date, hostname, event_name, COALESCE(a.n, 0) AS left_value, COALESCE(b.n, 0) AS right_value,
       COALESCE(a.n, 0) - COALESCE(b.n, 0) AS difference,
       CAST(COALESCE(a.n, 0) - COALESCE(b.n, 0) AS DOUBLE) / b.n AS relative_difference
     FROM a FULL JOIN b USING (event_date, hostname, event_name)""")
 def reconcile_daily(spark, sf_dir):
-    """Feed counts against a second source that lost some of its events."""
+    """Feed counts against a second source that dates some events a day later and files others under another host."""
     feed = d.raw_events(spark, sf_dir).withColumn("n", F.lit(1).cast("bigint"))
-    lossy = feed.where("user_id % 11 <> 3 AND NOT (event_name = 'page_view' AND event_id % 2 = 0)")
-    return reconcile(feed, lossy, ["event_date", "hostname", "event_name"], "n")
+    other = feed.withColumns({
+        "event_date": F.expr("date_add(event_date, CAST(user_id % 11 = 3 AS INT))"),
+        "hostname": F.expr("CASE WHEN event_name = 'page_view' AND event_id % 2 = 0 THEN 'localhost' ELSE hostname END")})
+    return reconcile(feed, other, ["event_date", "hostname", "event_name"], "n")
 
 
 @registered("host_sites", f"""SELECT hostname, {SITE} AS site, count(*) AS events FROM raw_events GROUP BY ALL""")

@@ -115,6 +115,16 @@ def weekly_panels(spark, sf_dir):
     return weekly.top_panels(_silver(spark, sf_dir), SUNDAY)
 
 
+@registered("weekly_devices_top3", f"SELECT * FROM ({_DEVICES}) ORDER BY wau DESC, device LIMIT 3")
+def weekly_devices_top3(spark, sf_dir):
+    return weekly.devices(_silver(spark, sf_dir), SUNDAY, 3)
+
+
+@registered("weekly_panels_top3", f"SELECT * FROM ({_PANELS}) ORDER BY acessos DESC, pessoas DESC, painel LIMIT 3")
+def weekly_panels_top3(spark, sf_dir):
+    return weekly.top_panels(_silver(spark, sf_dir), SUNDAY, 3)
+
+
 @registered("weekly_panel_bars", f"""SELECT painel, tema, acessos, pessoas, CAST(row_number() OVER w AS INT) AS position,
       CAST(greatest(2, round_even(100.0 * (acessos / max(acessos) OVER ()), 0)) AS INT) AS width_pct
     FROM (SELECT * FROM ({_PANELS}) ORDER BY acessos DESC, pessoas DESC, painel LIMIT 6)
