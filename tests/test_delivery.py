@@ -252,3 +252,87 @@ def test_imports_note_their_own_lines(warehouse, spark):
         for _ in range(2):
             bronze.import_payloads(warehouse, USERS, spark.createDataFrame(rows, "payload string, data_extracao timestamp_ntz"))
     assert warehouse.snapshots().count() == 2
+
+
+# ---- constraints, statistics and ranges of a load ------------------------------------------------------------------
+
+@pytest.mark.parametrize(("bad", "said"), [
+    ({"host": None}, "ga4_usuarios.hostname is NULL"), ({"country": "x" * 101}, "ga4_usuarios.country is longer than 100: xxx"),
+])
+def test_a_row_that_breaks_a_constraint_stops_the_load(warehouse, spark, bad, said):
+    wh = warehouse
+    bronze.append_snapshot(wh, USERS, spark.createDataFrame([user_row("20240101", 1)]), dt.datetime(2024, 1, 2))
+    load.refresh_silver(wh, USERS, S)
+    rows = [user_row("20240101", 5), user_row("20240101", 6, **bad)]
+    bronze.append_snapshot(wh, USERS, spark.createDataFrame(rows), dt.datetime(2024, 1, 3))
+    for run in (load.refresh_silver, load.rebuild_silver):
+        with pytest.raises(Exception, match=said):
+            run(wh, USERS, S)
+        assert users(wh) == {(1, "Brazil"): 1} and wh.loaded().count() == 1
+
+
+def test_statistics_of_the_loaded_days(warehouse, spark):
+    from visitledger.plans import quality, weekly
+    from visitledger.plans.gold import Silver
+
+    wh, sunday = warehouse, dt.date(2024, 1, 7)
+    rows = [user_row("20240106", 1), user_row("20240107", 2), user_row("20240107", 3, country="Peru")]
+    bronze.append_snapshot(wh, USERS, spark.createDataFrame(rows), dt.datetime(2024, 1, 8, 9))
+    load.refresh_silver(wh, USERS, S)
+    facts = lambda: {r["event_date"].day: (r["linhas"], r["data_extracao"].day) for r in wh.days().collect()}
+    assert facts() == {6: (1, 8), 7: (2, 8)}
+    check = quality.week_completeness(Silver.of(wh, S), sunday)
+    assert "/silver/" not in check._jdf.queryExecution().executedPlan().toString()
+    assert {r["tabela"]: r["problem"] for r in check.collect()} == {"ga4_eventos": "missing_days", "ga4_usuarios": "extracted_early"}
+    bronze.append_snapshot(wh, USERS, spark.createDataFrame(rows[:2]), dt.datetime(2024, 1, 8, 13))
+    load.refresh_silver(wh, USERS, S)
+    assert facts() == {6: (1, 8), 7: (1, 8)}
+    load.rebuild_silver(wh, USERS, S)
+    assert facts() == {6: (1, 8), 7: (1, 8)}
+    assert [r["tabela"] for r in quality.week_completeness(Silver.of(wh, S), sunday).collect()] == ["ga4_eventos"]
+    with pytest.raises(Exception, match="ga4_eventos: missing_days"):
+        weekly.closed_week_dataset(Silver.of(wh, S), sunday).collect()
+
+
+def test_islands(spark):
+    days = [("a", d) for d in (1, 2, 2, 3, 5, 8, 9)] + [("b", 4)]
+    df = spark.createDataFrame([(k, dt.date(2024, 1, d)) for k, d in days], "k string, event_date date")
+    got = sorted((r["k"], r["range_start"].day, r["range_end"].day) for r in bronze.islands(df, ["k"]).collect())
+    assert got == [("a", 1, 3), ("a", 5, 5), ("a", 8, 9), ("b", 4, 4)]
+
+
+def test_loads_take_their_ranges_from_the_logs(warehouse, tmp_path):
+    """A history in months, a daily window, an outage of four days and the wider window after it."""
+    wh, inbox = warehouse, str(tmp_path / "inbox")
+    (tmp_path / "inbox" / "usuarios").mkdir(parents=True)
+
+    def deliver(start, end, value):
+        days = [start + dt.timedelta(days=n) for n in range((end - start).days + 1)]
+        land_file(tmp_path / "inbox" / "usuarios", f"{start}_{end}", USERS, [user_row(f"{x:%Y%m%d}", value) for x in days])
+
+    def wanted(today, history=False):
+        rows = load.wanted_ranges(wh, S, today, history).where("relatorio = 'usuarios'").collect()
+        return sorted((r["range_start"], r["range_end"]) for r in rows)
+
+    def run(today, history=False):
+        done = load.land_delivered(wh, S, inbox, today, dt.datetime.combine(today, dt.time(15)), history)
+        load.refresh_silver(wh, USERS, S)
+        return [(s, e) for _, s, e in done]
+
+    day = dt.date
+    months = wanted(day(2024, 3, 5), history=True)
+    assert len(months) == 37 and all(s.month == e.month for s, e in months) and months[-1] == (day(2024, 3, 1), day(2024, 3, 4))
+    for start, end in months[-2:]:
+        deliver(start, end, 1)
+    assert run(day(2024, 3, 5), history=True) == months[-2:]
+    assert len(wanted(day(2024, 3, 5), history=True)) == 36  # what was not delivered, and the usual window
+    assert wanted(day(2024, 3, 6)) == [(day(2024, 3, 1), day(2024, 3, 5))]
+    assert run(day(2024, 3, 6)) == []  # nothing delivered: the window stays open
+    assert wanted(day(2024, 3, 10)) == [(day(2024, 3, 1), day(2024, 3, 9))]
+    deliver(day(2024, 3, 1), day(2024, 3, 9), 2)
+    assert run(day(2024, 3, 10)) == [(day(2024, 3, 1), day(2024, 3, 9))]
+    got = {r["event_date"]: r["dau"] for r in wh.silver("ga4_usuarios").collect()}
+    assert got == {day(2024, 2, 1) + dt.timedelta(days=n): 1 if n < 29 else 2 for n in range(38)}
+    kinds = {r["tipo_carga"]: r["data_fim_janela"] for r in wh.control().orderBy("data_fim_janela").collect()}
+    assert kinds == {"historico": day(2024, 3, 4), "incremental": day(2024, 3, 9)}
+    assert wanted(day(2024, 3, 11)) == [(day(2024, 3, 6), day(2024, 3, 10))]

@@ -33,6 +33,28 @@ def check_table(name: str, df: DataFrame, rules: Constraints, tables: dict[str,
     return reduce(DataFrame.unionByName, parts)
 
 
+def enforced(name: str, rows: DataFrame, rules: Constraints) -> DataFrame:
+    """The rows themselves; reading one that breaks a row-level rule fails, naming table, column and value.
+
+    The test is part of the projection that writes the rows, so it costs no scan, and a write that fails commits nothing.
+    """
+    longest = dict(rules.max_length)
+
+    def checked(column: str) -> Column:
+        value = F.col(column)
+        bad = []
+        if column in rules.not_null:
+            bad.append((value.isNull(), F.lit(f"{name}.{column} is NULL")))
+        if column in longest:
+            said = F.concat(F.lit(f"{name}.{column} is longer than {longest[column]}: "), value)
+            bad.append((F.length(value) > longest[column], said))
+        for broken, message in bad:
+            value = F.when(broken, F.raise_error(message)).otherwise(value)
+        return value.alias(column)
+
+    return rows.select(*[checked(c) for c in rows.columns])
+
+
 def _count(bad: DataFrame, name: str, rule: str, target: str) -> DataFrame:
     return bad.agg(F.count("*").alias("violations")).select(
         F.lit(name).alias("tabela"), F.lit(rule).alias("rule"), F.lit(target).alias("target"), "violations"

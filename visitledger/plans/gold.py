@@ -34,12 +34,14 @@ class Silver:
     dim_painel_alias: DataFrame
     dim_painel_relatorio: DataFrame
     settings: Settings
+    #: Statistics of the loaded days (tabela, event_date, linhas, data_extracao); without them the facts are counted.
+    days: DataFrame | None = None
 
     @classmethod
     def of(cls, wh: Warehouse, settings: Settings) -> "Silver":
         facts = [wh.silver(t) for t in ("ga4_eventos", "ga4_paineis", "ga4_usuarios", "ga4_paginas")]
         dims = [wh.dim(t) for t in ("dim_painel", "dim_painel_alias", "dim_painel_relatorio")]
-        return cls(*facts, *dims, settings)
+        return cls(*facts, *dims, settings, wh.days())
 
 
 def _between(df: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FEEDS, Feed, Settings
-from ..schemas import LOADED_LOG
+from ..operators.constraints import enforced
+from ..schemas import CONSTRAINTS
 from ..sources import bronze, delivery, landed
 from ..sources.silver import silver_rows
 from ..sources.tables import Warehouse, entry_folder
@@ -63,14 +64,29 @@ def refresh_silver(wh: Warehouse, feed: Feed, settings: Settings) -> list[dt.dat
         return []
     filled = [(r["event_date"], r["snapshot_id"]) for r in days if r["linhas"]]
     emptied = [r["event_date"] for r in days if not r["linhas"]]
-    wh.replace_days(feed.table, silver_rows(_chosen(wh, feed, filled), feed, settings), emptied)
+    wh.replace_days(feed.table, _checked(_chosen(wh, feed, filled), feed, settings), emptied)
     _note_loaded(wh, feed, [(r["event_date"], r["data_extracao"]) for r in days])
     return [r["event_date"] for r in days]
 
 
+def _checked(records: DataFrame, feed: Feed, settings: Settings) -> DataFrame:
+    """Typed rows; one that breaks a declared constraint stops the load before any day is replaced."""
+    return enforced(feed.table, silver_rows(records, feed, settings), CONSTRAINTS[feed.table])
+
+
 def _note_loaded(wh: Warehouse, feed: Feed, days: list[tuple[dt.date, dt.datetime]]) -> None:
-    rows = [(feed.table, day, at) for day, at in days]
-    wh.note("loaded", wh.spark.createDataFrame(rows, LOADED_LOG))
+    """Extraction time and counts of the days that were just replaced; only those days are read."""
+    noted = wh.spark.createDataFrame(days, "event_date date, data_extracao timestamp_ntz")
+    rows = wh.silver(feed.table).where(F.col("event_date").isin(*[day for day, _ in days]))
+    _note(wh, feed, noted, rows)
+
+
+def _note(wh: Warehouse, feed: Feed, noted: DataFrame, rows: DataFrame) -> None:
+    valid = F.count_if("trafego_valido") if "trafego_valido" in rows.columns else F.lit(None).cast("bigint")
+    counts = rows.groupBy("event_date").agg(F.count("*").alias("linhas"), valid.alias("validas"))
+    wh.note("loaded", noted.join(counts, "event_date", "left").select(
+        F.lit(feed.table).alias("tabela"), "event_date", "data_extracao", F.coalesce("linhas", F.lit(0)).alias("linhas"),
+        "validas", F.localtimestamp().alias("executado_em")))
 
 
 def rebuild_silver(wh: Warehouse, feed: Feed, settings: Settings) -> None:
@@ -80,9 +96,8 @@ def rebuild_silver(wh: Warehouse, feed: Feed, settings: Settings) -> None:
     older than they are, and the next load replaces them once more.
     """
     newest = bronze.newest_snapshots(wh.snapshots().where(F.col("relatorio") == feed.name))
-    wh.replace_all(feed.table, silver_rows(bronze.newest_rows(wh.bronze(feed), newest), feed, settings))
-    loaded = newest.select(F.lit(feed.table).alias("tabela"), "event_date", "data_extracao")
-    wh.note("loaded", loaded)
+    wh.replace_all(feed.table, _checked(bronze.newest_rows(wh.bronze(feed), newest), feed, settings))
+    _note(wh, feed, newest.select("event_date", "data_extracao"), wh.silver(feed.table))
 
 
 def _chosen(wh: Warehouse, feed: Feed, days: list[tuple[dt.date, str]]) -> DataFrame:
@@ -99,6 +114,36 @@ def daily_load(wh: Warehouse, settings: Settings) -> dict[str, list[dt.date]]:
     return {feed.table: refresh_silver(wh, feed, settings) for feed in FEEDS.values()}
 
 
+def wanted_ranges(wh: Warehouse, settings: Settings, today: dt.date, history: bool = False) -> DataFrame:
+    """(relatorio, range_start, range_end): what to extract next, from the control and snapshot logs."""
+    floors = wh.spark.createDataFrame([(f.name, _floor(f, today)) for f in FEEDS.values()], "relatorio string, floor date")
+    return bronze.extraction_ranges(wh.control(), wh.snapshots(), floors, today, settings, history)
+
+
+def _floor(feed: Feed, today: dt.date) -> dt.date:
+    """First day a first run asks for."""
+    return today - dt.timedelta(days=feed.min_history_days) if feed.min_history_days else feed.first_day
+
+
+def land_delivered(
+    wh: Warehouse, settings: Settings, inbox: str, today: dt.date, extracted_at: dt.datetime, history: bool = False,
+) -> list[tuple[str, dt.date, dt.date]]:
+    """Land what was delivered for the wanted ranges, ``<inbox>/<feed>/<start>_<end>``; returns the ranges landed.
+
+    A range that was not delivered stays wanted: its window does not reach the control log, so the next one is wider.
+    The ranges, a few per feed and month, come to the driver.
+    """
+    landed_ranges = []
+    for row in sorted(wanted_ranges(wh, settings, today, history).collect()):
+        report, start, end = row["relatorio"], row["range_start"], row["range_end"]
+        folder = f"{inbox}/{report}/{start}_{end}"
+        if wh.exists(folder):
+            sid = f"{start}_{end}-{extracted_at:%Y%m%d%H%M%S}"
+            land(wh, FEEDS[report], folder, extracted_at, "historico" if history else "incremental", sid, (start, end))
+            landed_ranges.append((report, start, end))
+    return landed_ranges
+
+
 # ---- counts after a load -------------------------------------------------------------------------------------------
 
 def silver_counts(s: Silver) -> DataFrame:

@@ -16,19 +16,30 @@ from ..operators.panels import mark_targets, with_target
 from .gold import Silver
 
 
-def week_completeness(s: Silver, sunday: dt.date) -> DataFrame:
-    """Tables for which the week is not closed: Sunday missing, or extracted before it was final. Empty = pass."""
+def loaded_days(s: Silver, tables: tuple[str, ...]) -> DataFrame:
+    """(tabela, event_date, linhas, data_extracao) of fact tables: as noted by the loads, or else counted."""
+    if getattr(s, "days", None) is not None:
+        return s.days.where(F.col("tabela").isin(*tables))
+    parts = [getattr(s, name).groupBy("event_date").agg(
+        F.count("*").alias("linhas"), F.max("data_extracao").alias("data_extracao")).select(
+        F.lit(name).alias("tabela"), "event_date", "linhas", "data_extracao") for name in tables]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def week_completeness(s: Silver, sunday: dt.date, tables: tuple[str, ...] = ("ga4_eventos", "ga4_usuarios")) -> DataFrame:
+    """Tables for which the week is not closed: Sunday missing, or extracted before it was final. Empty = pass.
+
+    Where the loads have noted their days, no fact table is read.
+    """
     closes = dt.datetime.combine(sunday + dt.timedelta(days=1), dt.time(s.settings.day_closes_at_hour))
-    parts = []
-    for name, df in (("ga4_eventos", s.ga4_eventos), ("ga4_usuarios", s.ga4_usuarios)):
-        on_sunday = F.when(F.col("event_date") == F.lit(sunday), F.col("data_extracao"))
-        parts.append(df.agg(F.max("event_date").alias("last_day"), F.max(on_sunday).alias("extracted_at")).select(
-            F.lit(name).alias("tabela"), "last_day", "extracted_at"
-        ))
+    days = loaded_days(s, tables).where("linhas > 0")
+    on_sunday = F.when(F.col("event_date") == F.lit(sunday), F.col("data_extracao"))
+    found = days.groupBy("tabela").agg(F.max("event_date").alias("last_day"), F.max(on_sunday).alias("extracted_at"))
+    names = days.sparkSession.range(1).select(F.explode(F.array(*[F.lit(t) for t in tables])).alias("tabela"))
     missing = F.col("last_day").isNull() | (F.col("last_day") < F.lit(sunday))
     early = F.col("extracted_at").isNull() | (F.col("extracted_at") < instant(closes))
     problem = F.when(missing, F.lit("missing_days")).when(early, F.lit("extracted_early"))
-    return reduce(DataFrame.unionByName, parts).withColumn("problem", problem).where("problem is not null")
+    return names.join(found, "tabela", "left").withColumn("problem", problem).where("problem is not null")
 
 
 def freshness(events: DataFrame, now: dt.datetime, ts: str = "ts") -> DataFrame:

@@ -292,6 +292,27 @@ def days_to_load(spark, sf_dir):
     return rows.groupBy("event_date").agg(F.count("event_id").alias("rows_to_load"))
 
 
+_KNOWN_DAY = "CAST(ts AS DATE) - CAST(day(ts) % 4 AS INT)"
+
+
+@registered("extraction_ranges", f"""WITH f AS (SELECT event_type AS relatorio, min(CAST(ts AS DATE)) AS floor FROM events GROUP BY ALL),
+      w AS (SELECT relatorio, CASE WHEN last_end IS NULL THEN greatest(floor, DATE '2024-02-02') ELSE least(DATE '2024-02-02', last_end - 3) END AS s
+            FROM f LEFT JOIN (SELECT relatorio, max(data_fim_janela) AS last_end FROM ({_CONTROL_SQL}) GROUP BY ALL) USING (relatorio)),
+      k AS (SELECT DISTINCT event_type AS relatorio, {_KNOWN_DAY} AS event_date FROM events),
+      x AS (SELECT relatorio, CAST(unnest(generate_series(s, DATE '2024-02-04', INTERVAL 1 DAY)) AS DATE) AS event_date FROM w
+            UNION SELECT relatorio, event_date FROM (SELECT relatorio, CAST(unnest(generate_series(floor, DATE '2024-02-04', INTERVAL 1 DAY)) AS DATE) AS event_date FROM f)
+              ANTI JOIN k USING (relatorio, event_date))
+    SELECT relatorio, min(event_date) AS range_start, max(event_date) AS range_end
+    FROM (SELECT *, event_date - CAST(row_number() OVER (PARTITION BY relatorio, month(event_date) ORDER BY event_date) AS INT) AS run FROM x)
+    GROUP BY relatorio, month(event_date), run""")
+def extraction_ranges(spark, sf_dir):
+    """Windows of the reports and all days without a snapshot, where three of four days have none."""
+    events = d.raw_events(spark, sf_dir).withColumnRenamed("event_type", "relatorio")
+    floors = events.groupBy("relatorio").agg(F.min("event_date").alias("floor"))
+    known = events.select("relatorio", F.date_sub("event_date", F.day("event_date") % 4).alias("event_date"))
+    return bronze.extraction_ranges(_control(spark, sf_dir), known, floors, dt.date(2024, 2, 5), d.SETTINGS, history=True)
+
+
 _OLD = f"SELECT painel, ordem_menu, tema, hierarquia, tipo, true AS ativo FROM dim_painel WHERE {d.BRAND_NO.replace('p_brand', 'painel')} <= 18"
 _SEED = f"SELECT painel, ordem_menu + 100 AS ordem_menu, 'new ' || tema AS tema, hierarquia, tipo FROM dim_painel WHERE {d.BRAND_NO.replace('p_brand', 'painel')} >= 6"
 

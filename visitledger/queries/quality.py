@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -32,6 +33,15 @@ def quality_completeness(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@registered("quality_completeness_early", """SELECT tabela, last_day, TIMESTAMP '2024-01-29 15:00:00' AS extracted_at, 'extracted_early' AS problem FROM (
+      SELECT 'ga4_eventos' AS tabela, max(event_date) AS last_day FROM eventos UNION ALL SELECT 'ga4_usuarios', max(event_date) FROM usuarios)""")
+def quality_completeness_early(spark, sf_dir):
+    """Where a day is final at four in the afternoon, the Sunday that was extracted at three is not."""
+    silver = d.silver(spark, sf_dir)
+    silver.settings = replace(d.SETTINGS, day_closes_at_hour=16)
+    return quality.week_completeness(silver, SUNDAY)
+
+
 @registered("quality_freshness", """SELECT last_minute, date_diff('minute', last_minute, TIMESTAMP '2024-01-31 10:00:00') / 60 AS lag_hours,
     last_minute >= TIMESTAMP '2024-01-31' AS yesterday_closed,
     CASE WHEN last_minute < TIMESTAMP '2024-01-31' THEN date_diff('minute', last_minute, TIMESTAMP '2024-01-31') / 60 END AS hours_missing

@@ -41,10 +41,14 @@ SNAPSHOT_LOG = T.StructType([
     T.StructField("data_extracao", T.TimestampNTZType()),
 ])
 
+#: Statistics of a day of a fact table, written when the day was loaded.
 LOADED_LOG = T.StructType([
     T.StructField("tabela", T.StringType()),
     T.StructField("event_date", T.DateType()),
     T.StructField("data_extracao", T.TimestampNTZType()),
+    T.StructField("linhas", T.LongType()),
+    T.StructField("validas", T.LongType()),
+    T.StructField("executado_em", T.TimestampNTZType()),
 ])
 
 CONTROL_LOG = T.StructType([

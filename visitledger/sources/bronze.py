@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Feed, Settings
@@ -140,6 +140,32 @@ def month_ranges(days: DataFrame, start: str = "start", end: str = "end") -> Dat
     )
 
 
+def islands(days: DataFrame, keys: list[str], day: str = "event_date") -> DataFrame:
+    """Runs of days without a gap: keys, range_start, range_end. Repeated days count once."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(day))
+    runs = days.select(*keys, day).distinct().withColumn("_run", F.date_sub(day, place))
+    return runs.groupBy(*keys, "_run").agg(F.min(day).alias("range_start"), F.max(day).alias("range_end")).drop("_run")
+
+
+def extraction_ranges(
+    control: DataFrame, log: DataFrame, floors: DataFrame, today: dt.date, settings: Settings, history: bool = False,
+) -> DataFrame:
+    """The fewest ranges (relatorio, range_start, range_end) that hold every day to extract, cut at months.
+
+    Days to extract are those of the report's window; with ``history`` also every day since its floor without a snapshot.
+    """
+    window = load_window(control, floors, today, settings)
+    days = window.select("relatorio", F.explode(F.sequence("window_start", "window_end")).alias("event_date"))
+    if history:
+        yesterday = F.lit(today - dt.timedelta(days=1))
+        since = floors.where(F.col("floor") <= yesterday).select(
+            "relatorio", F.explode(F.sequence("floor", yesterday)).alias("event_date"))
+        days = days.unionByName(since.join(log.select("relatorio", "event_date"), ["relatorio", "event_date"], "left_anti"))
+    runs = islands(days, ["relatorio"])
+    return month_ranges(runs.withColumnsRenamed({"range_start": "start", "range_end": "end"})).select(
+        "relatorio", "range_start", "range_end")
+
+
 def last_window_end(control: DataFrame) -> DataFrame:
     return control.groupBy("relatorio").agg(F.max("data_fim_janela").alias("last_end"))
 

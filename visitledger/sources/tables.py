@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import FEEDS, Feed
@@ -68,6 +69,11 @@ class Warehouse:
         fs, path = self._folder(*parts)
         fs.mkdirs(path)
 
+    def exists(self, folder: str) -> bool:
+        """Whether a folder anywhere is there."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
     def delete(self, *parts: str) -> None:
         fs, path = self._folder(*parts)
         fs.delete(path, True)
@@ -124,6 +130,12 @@ class Warehouse:
     def loaded(self) -> DataFrame:
         return self.log("loaded").drop("entry")
 
+    def days(self) -> DataFrame:
+        """The last noted statistics of every loaded day of every fact table, one small row each."""
+        facts = F.struct("data_extracao", "linhas", "validas")
+        newest = F.max_by(facts, F.struct("data_extracao", "executado_em"))
+        return self.loaded().groupBy("tabela", "event_date").agg(newest.alias("_day")).select("tabela", "event_date", "_day.*")
+
     def control(self) -> DataFrame:
         return self.log("control").drop("entry")
 
