@@ -270,4 +270,35 @@ def test_columns_are_those_of_the_file(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     spark.range(3).selectExpr("id AS a", "id AS b").write.parquet(path)
     declared = spark.read.schema("a bigint, b bigint, c bigint").parquet(path)
-    assert missing_columns(declared, ["a", "b", "c"]) == [] and missing_in_file(spark, path, ["a", "b", "c"]) == ["c"]
+    assert constraints.missing_columns(declared, ["a", "b", "c"]) == []
+    assert constraints.missing_in_file(spark, path, ["a", "b", "c"]) == ["c"]
+
+
+def test_a_million_rows_are_numbered_without_one_task(spark):
+    """Half of the values tie; the numbers are dense and in order, and no task sorted more than its range."""
+    n = 1_000_000
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(n).select((F.when(F.col("id") % 2 == 0, F.col("id") % 1000).otherwise(F.hash("id"))).alias("v"), "id")
+        found = ranking.numbered_at_scale(df.repartition(16), F.desc("v"), F.asc("id"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    row = found.agg(F.count("*"), F.count_distinct("position"), F.min("position"), F.max("position")).first()
+    assert tuple(row) == (n, n, 1, n)
+    here = found.alias("a").join(found.alias("b"), F.col("a.position") + 1 == F.col("b.position"))
+    wrong = (F.col("a.v") < F.col("b.v")) | (F.col("a.v") == F.col("b.v")) & (F.col("a.id") > F.col("b.id"))
+    assert here.where(wrong).count() == 0
+    parts = found.inputFiles()
+    largest = spark.read.parquet(*parts).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert len(parts) >= 4 and largest < n / 2
+    assert ranking.numbered_at_scale(df.limit(0), F.asc("v")).count() == 0
+
+
+def test_a_payload_is_parsed_once(spark):
+    from visitledger.config import FEEDS
+    from visitledger.sources import bronze
+
+    df = spark.createDataFrame([("a", "[]")], "snapshot_id string, payload string")
+    plan = bronze.explode_payload(df, FEEDS["usuarios"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import ratio
+from ..session import shared_dir
 
 
 def top(df: DataFrame, k: int | None, *order: Column) -> DataFrame:
@@ -15,13 +17,34 @@ def top(df: DataFrame, k: int | None, *order: Column) -> DataFrame:
 
 
 def numbered(listing: DataFrame, *order: Column) -> DataFrame:
-    """1-based position in a list that was already cut to its top rows."""
+    """1-based position in a list that was already cut to its top rows; see :func:`numbered_at_scale` for whole tables."""
     return listing.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
 
 
+def numbered_at_scale(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
+    """1-based position of every row of a table of any size in the given order, no task seeing more than its range.
+
+    Rows are dealt by ranges of the order and sorted there; each range counts its rows, and the sums of the counts
+    before it, one row for each range, are where its own numbers begin. Rows that tie are numbered in no particular order,
+    once and for all, as the sorted rows are written to the shared folder: running a job is the price of it.
+    """
+    spark, own = df.sparkSession, "_place"
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    path = shared_dir(spark, "numbered")
+    sorted_rows.withColumn(own, F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(own, T.LongType())])).parquet(path)
+    part, within = F.shiftright(own, 33), F.col(own).bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
+    return rows.withColumn("_part", part).join(starts, "_part").select(
+        *[F.col("`" + c.replace("`", "``") + "`") for c in df.columns], (F.col("_start") + within + 1).alias(name))
+
+
 def against_top(listing: DataFrame, value: str, least: int = 2) -> DataFrame:
-    """Bar width in percent of the largest value of a top list: half to even, never below ``least``."""
-    largest = F.max(value).over(Window.partitionBy(F.lit(0)))
+    """Bar width in percent of the largest value: half to even, never below ``least``. The largest is one scalar of its
+    own, so the rows are not gathered anywhere."""
+    largest = listing.agg(F.max(value)).scalar()
     width = F.bround(100 * ratio(F.col(value), largest), 0).cast("int")
     return listing.withColumn("width_pct", F.greatest(F.lit(least), width))
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import constraints, panels
+from ..operators.ranking import against_top, numbered_at_scale
 from ..plans import load, quality
 from ..schemas import CONSTRAINTS, Constraints
 from . import dataset as d
@@ -205,6 +206,14 @@ def quality_listing(spark, sf_dir):
 _BOOKED = "CAST(o_orderdate AS DATE) - CAST(day(o_orderdate) % 3 AS INT)"
 
 
+@registered("order_positions", """SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position,
+      CAST(greatest(2, round_even(100 * (o_totalprice / (SELECT max(o_totalprice) FROM orders)), 0)) AS INT) AS width_pct FROM orders""")
+def order_positions(spark, sf_dir):
+    """Every order's place by price and its bar against the dearest one; no task sees the whole table."""
+    orders = d.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return against_top(numbered_at_scale(orders, F.desc("o_totalprice"), F.asc("o_orderkey")), "o_totalprice")
+
+
 @registered("quality_missing_days", f"""WITH busy AS (SELECT DISTINCT {_BOOKED} AS event_date FROM orders)
     SELECT event_date FROM (SELECT CAST(unnest(generate_series((SELECT min(event_date) FROM busy), (SELECT max(event_date) FROM busy), INTERVAL 1 DAY)) AS DATE) AS event_date)
     ANTI JOIN busy USING (event_date)""")
