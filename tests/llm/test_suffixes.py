@@ -43,10 +43,16 @@ def test_fingerprints_name_strings():
     assert len(set(by_string.values())) == len(by_string)
 
 
-@pytest.mark.parametrize(("piece", "share"), [(2_000_000, 0.05), (1_000, 1e-3)])
-def test_repeats(spark, odd, documents, monkeypatch, piece, share):
-    monkeypatch.setattr(suffixes, "PIECE", piece)
-    monkeypatch.setattr(suffixes, "ROUND_SHARE", max(share, 0.05))
+def test_slices_are_pieces():
+    texts = [(1, b"a" * 10_000, None), (2, b"b" * 500, None), (3, b"", None)]
+    found = list(suffixes.slices(iter(texts), 200, 3_000))
+    assert len(found) == 4 and max(len(f[0]) for f in found) < 2 * 3_000
+    own = [(int(u), int(o)) for _, uids, _, offsets, _, _ in found for u, o in zip(uids, offsets, strict=True)]
+    assert own == [(1, 0), (1, 3_000), (1, 6_000), (1, 9_000), (2, 0), (3, 0)]
+
+
+@pytest.mark.parametrize(("piece", "share"), [(2_000_000, 0.05), (1_000, 0.2)])
+def test_repeats(spark, odd, documents, piece, share):
     for docs in (odd.filter("length(text) < 100000 OR text IS NULL"), documents.limit(60)):
         rows = docs.select("doc_id", "text").collect()
         want = collections.Counter()
@@ -54,7 +60,7 @@ def test_repeats(spark, odd, documents, monkeypatch, piece, share):
             want[(r.doc_id, len((r.text or "").encode()), tuple(spans), digest)] += 1
         fixed = spark.createDataFrame(rows, "doc_id long, text string")
         got = collections.Counter((r.doc_id, r.n_bytes, tuple((s.start, s.end) for s in r.spans), r.kept_sha256)
-                                  for r in suffixes.repeats(fixed, length=200).collect())
+                                  for r in suffixes.repeats(fixed, length=200, piece=piece, round_share=share).collect())
         assert got == want
 
 
@@ -78,10 +84,20 @@ def test_equal_strings_of_a_slice_are_one_entry():
         assert sorted(settled.tolist()) == at.tolist()
 
 
-def test_long_runs_and_frequent_passages(spark, monkeypatch):
-    monkeypatch.setattr(suffixes, "PIECE", 3_000)
+@pytest.mark.parametrize("piece", [3_000, 2_000_000])
+def test_long_runs_and_frequent_passages(spark, piece):
     passage = "".join(chr(97 + i * i % 23) for i in range(260))
     texts = ["=" * 9_000, "ab" * 3_000, "head " + "=" * 500, *[f"{i} {passage} {i * 7919}" for i in range(40)], "x" * 199 + "y"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: ([(s.start, s.end) for s in r.spans], r.kept_sha256) for r in suffixes.repeats(docs, length=200).collect()}
+    got = {r.doc_id: ([(s.start, s.end) for s in r.spans], r.kept_sha256) for r in suffixes.repeats(docs, length=200, piece=piece).collect()}
     assert got == dict(enumerate(brute(texts, 200)))
+
+
+def test_a_text_of_several_pieces(spark):
+    """A text of five megabytes, more than two pieces as shipped: what it shares with another stands over a border."""
+    rng = np.random.default_rng(1)
+    long = bytes(rng.integers(97, 123, 5_000_000, dtype=np.uint8)).decode()
+    shared = long[1_999_700:2_000_500]
+    docs = spark.createDataFrame([(1, long), (2, "x" * 300 + shared), (3, long[4_999_000:])], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in suffixes.repeats(docs).collect()}
+    assert got == {1: [(1_999_700, 2_000_500), (4_999_000, 5_000_000)], 2: [(300, 1100)], 3: [(0, 1000)]}

@@ -87,8 +87,8 @@ def checks(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return (total >> np.uint64(32)).astype(np.uint32)
 
 
-def slices(texts: Iterable[tuple[int, bytes, np.ndarray | None]], reach: int):
-    """Texts, or pieces of long ones, gathered to about ``PIECE`` bytes: (bytes, uids, begins, offsets, lengths, marks).
+def slices(texts: Iterable[tuple[int, bytes, np.ndarray | None]], reach: int, piece: int = PIECE):
+    """Texts, or pieces of long ones, gathered to about ``piece`` bytes: (bytes, uids, begins, offsets, lengths, marks).
 
     A piece ends ``reach`` - 1 bytes behind its last own position.
     """
@@ -102,10 +102,10 @@ def slices(texts: Iterable[tuple[int, bytes, np.ndarray | None]], reach: int):
                 np.array([h[1] for h in held], np.int64), sizes, [h[3] for h in held])
 
     for uid, text, extra in texts:
-        for offset in range(0, max(1, len(text) - reach + 1), PIECE):
-            held.append((uid, offset, text[offset:offset + PIECE + reach - 1], extra))
+        for offset in range(0, max(1, len(text) - reach + 1), piece):
+            held.append((uid, offset, text[offset:offset + piece + reach - 1], extra))
             volume += len(held[-1][2])
-            if volume >= PIECE:
+            if volume >= piece:
                 yield flush()
                 held, volume = [], 0
     if held:
@@ -225,14 +225,14 @@ def _tied(rows: DataFrame) -> DataFrame:
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "uid long, at binary")
 
 
-def _samples(texts: DataFrame, length: int, bits: int) -> DataFrame:
+def _samples(texts: DataFrame, length: int, bits: int, piece: int) -> DataFrame:
     reach = length - PERIOD + 1
     in_cover = np.isin(np.arange(PERIOD), COVER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((u, t, None) for b in batches
                 for u, t in zip(b.column("uid").to_pylist(), b.column("text").to_pylist(), strict=True))
-        for data, uids, begins, offsets, sizes, _ in slices(rows, reach):
+        for data, uids, begins, offsets, sizes, _ in slices(rows, reach, piece):
             owner = np.repeat(np.arange(len(uids)), sizes)
             place = np.arange(len(data)) - begins[owner]
             at = np.flatnonzero(in_cover[(place + offsets[owner]) % PERIOD] & (place <= sizes[owner] - reach))
@@ -257,7 +257,7 @@ def _starts(size: int, sampled: np.ndarray, length: int) -> np.ndarray:
     return mask
 
 
-def _suffixes(suspects: DataFrame, length: int, bits: int, turn: int, turns: int) -> DataFrame:
+def _suffixes(suspects: DataFrame, length: int, bits: int, turn: int, turns: int, piece: int) -> DataFrame:
     """The suffixes of one round of buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +267,7 @@ def _suffixes(suspects: DataFrame, length: int, bits: int, turn: int, turns: int
                                     strict=True):
                     yield u, t, _starts(len(t), _positions(at), length)
 
-        for data, uids, begins, offsets, sizes, masks in slices(rows(), length):
+        for data, uids, begins, offsets, sizes, masks in slices(rows(), length, piece):
             wanted = np.concatenate([m[o:o + s] for m, o, s in zip(masks, offsets, sizes, strict=True)])
             owner = np.repeat(np.arange(len(uids)), sizes)
             place = np.arange(len(data)) - begins[owner]
@@ -292,9 +292,11 @@ def spans_of(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.concatenate([[0], cut + 1])], starts[np.concatenate([cut, [len(starts) - 1]])] + length
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, piece: int = PIECE,
+            round_share: float = ROUND_SHARE) -> DataFrame:
     """Of every row: key, mark (SHA-256 of the text), n_bytes, spans (array of start, end in bytes: what repeats),
-    kept_sha256 (of the bytes outside the spans)."""
+    kept_sha256 (of the bytes outside the spans). ``piece``: bytes that are worked on at once; ``round_share``: suffixes
+    of a round for each byte of text. Neither changes the result."""
     if length < 2 * PERIOD:
         raise ValueError(f"strings of at least {2 * PERIOD} bytes are looked for")
     whole = F.coalesce(named(text).cast("string"), F.lit(""))
@@ -306,7 +308,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(6, int(volume / BUCKET_BYTES).bit_length())
 
-    tied = written(_tied(_samples(texts, length, bits)), "tied")
+    tied = written(_tied(_samples(texts, length, bits, piece)), "tied")
     by_text = tied.groupBy(F.col("uid").alias("u")).agg(F.collect_list("at").alias("at"))
     # a text with copies repeats as a whole, whether or not others tie with a part of it
     suspects = written(texts.join(by_text, F.col("uid") == F.col("u"), "left").filter("u IS NOT NULL OR copies > 1").select(
@@ -317,8 +319,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
                          for v, b in zip(values, blobs, strict=True)], pa.int64())
 
     many = suspects.select(F.arrow_udf(count, "long")("text", "at").alias("n")).agg(F.sum("n")).first()[0] or 0
-    turns = max(1, -(-many // max(1, int(volume * ROUND_SHARE))))
-    hits = [written(_tied(_suffixes(suspects, length, bits, turn, turns)), f"hits{turn}") for turn in range(turns)]
+    turns = max(1, -(-many // max(1, int(volume * round_share))))
+    hits = [written(_tied(_suffixes(suspects, length, bits, turn, turns, piece)), f"hits{turn}") for turn in range(turns)]
     found = hits[0]
     for more in hits[1:]:
         found = found.unionByName(more)
