@@ -72,3 +72,20 @@ def test_recall_at_the_threshold():
     code = embeddings.Code(64, 80)
     missed = sum(not len(np.intersect1d(a, b)) for a, b in zip(code.filters(x), code.filters(y), strict=True))
     assert missed <= 5
+
+
+def test_hot_filter_of_distinct_vectors(spark):
+    """A third of the rows are different vectors that all link: their filters hold more than a tile's members."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=24)
+    rows = [(i, (base + rng.normal(size=24) * 0.04).tolist(), "a") for i in range(2300)]
+    rows += [(10_000 + i, rng.normal(size=24).tolist(), "a") for i in range(4600)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(docs).collect()}
+    unit = np.array([r[1] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    links = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    found = sum(got[r[0]][0] for r in rows)
+    assert links.sum() > 1_000_000 and 0.99 * links.sum() <= found <= links.sum()
+    assert all(got[r[0]][0] <= n for r, n in zip(rows, links.tolist(), strict=True))
+    assert {got[i][1] for i in range(2300)} == {0}

@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,8 +142,10 @@ def _links(vertices: DataFrame, words: int, threshold: float, kind: str) -> Data
     filters = written(vertices.withColumn("filters", F.arrow_udf(listed, "array<long>")("vector", "dim")), "filters")
     # filters with one vector go before vectors travel
     rows = filters.select(F.xxhash64("label", "dim").alias("part"), "dim", F.explode("filters").alias("filter"), "vertex")
-    at = Window.partitionBy("part", "dim", "filter")
-    shared = written(rows.withColumn("members", F.count(F.lit(1)).over(at)).filter("members > 1"), "shared")
+    # counted where the rows are and joined back, so that a hot filter is no task's group
+    at = ["part", "dim", "filter"]
+    sizes = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = written(rows.join(sizes, at).select(*rows.columns, "members"), "shared")
     spread = tiled(shared, "vertex", "members").join(
         filters.select("vertex", "copies", "vector", "filters", F.col("label").cast("string").alias("label")), "vertex"
     ).select("part", "dim", "filter", "tile_a", "tile_b", "tile_own", "vertex", "copies", "vector", "filters", "label")
@@ -170,11 +172,14 @@ def _links(vertices: DataFrame, words: int, threshold: float, kind: str) -> Data
         # a pair counts here if it shares no smaller filter, and inside a tile only beside that tile's first partner
         lists = rows.column("filters").take(pa.array(busy)).to_pylist()
         now = int(c["filter"][start])
-        smaller, place = np.unique(np.array([f for one in lists for f in one if f < now], np.int64), return_inverse=True)
+        smaller = np.array([f for one in lists for f in one if f < now], np.int64)
         member = np.repeat(np.arange(len(busy)), [sum(f < now for f in one) for one in lists])
-        met = np.zeros((len(busy), len(smaller)), np.float32)
-        met[member, place] = 1
-        counted = alike & (met @ met.T == 0)
+        order = np.argsort(smaller, kind="stable")
+        cuts = np.flatnonzero(np.diff(smaller[order])) + 1
+        counted = alike.copy()
+        for met in np.split(member[order], cuts):
+            if len(met) > 1:
+                counted[np.ix_(met, met)] = False
         if tile_a != tile_b:
             first = np.where(own == 0, 1, 0) == np.where(own == tile_a, tile_b, tile_a)
             counted &= (own[:, None] != own[None, :]) | first[:, None]
