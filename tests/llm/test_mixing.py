@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from visitledger.llm import mixing
+from visitledger.llm.queries import MIX
 
 
 def test_marginals_are_met(documents):
@@ -103,3 +104,29 @@ def test_odd_rows(odd, none):
     kept = mixing.sample(odd)
     assert kept.columns == odd.columns
     assert mixing.sample(none).count() == 0
+
+
+@pytest.mark.parametrize("path", ["/root/testdata/sf0.01", "hot"])
+def test_the_whole_budget_is_drawn_at_the_targets(spark, path):
+    """The query's mix: flat targets that cannot be met by drawing documents once are met with the whole budget."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    if path == "hot":
+        docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source")))
+    assert MIX.flatten == (0.7, 0.7, 0.7) and MIX.budget == 0.9
+    mixed = mixing.drawn(docs, MIX).cache()
+    rows = mixed.select("doc_id", "source", "lang", "mixed.*").collect()
+    cells = docs.groupBy("source", "lang", mixing.topic_of(F.col("text")).alias("topic")).agg(
+        F.sum(mixing.tokens(F.col("text"))).alias("n"))
+    targets = mixing.marginals(cells, MIX)
+    want = [{r.member: r.target for r in t.collect()} for t in targets]
+    for target, share in zip(want, expected_shares(rows, lambda r: r.expected), strict=True):
+        assert share == pytest.approx(target, abs=1e-3)
+    total = sum(r.n_tokens for r in rows)
+    assert sum(r.n_tokens * r.expected for r in rows) == pytest.approx(0.9 * total, rel=1e-6)
+    assert sum(r.n_tokens * r.copies for r in rows) == pytest.approx(0.9 * total, rel=0.1)
+    assert max(r.copies for r in rows) > 1
+    assert all(r.copies in (int(r.expected), int(r.expected) + 1) and r.sampled == (r.copies > 0) for r in rows)
+    for row in mixing.residuals(mixed, targets).collect():
+        assert row.expected == pytest.approx(row.target, abs=1e-3) and abs(row.drawn - row.expected) < 0.05
+    kept = {r.doc_id: r["count"] for r in mixing.sample(docs, MIX).groupBy("doc_id").count().collect()}
+    assert kept == {r.doc_id: r.copies for r in rows if r.copies}

@@ -2,10 +2,11 @@
 
 Tokens are summed to cells of source, language and topic. Raking scales the cells until the sums by source, by language
 and by topic have the target shares: each pass multiplies by target over sum, one dimension after the other, for a
-stated number of passes. A document is kept with the probability of its cell: the fitted weight per token, scaled to the
-budget, or to the largest budget at which no probability exceeds one if that is less. No probability is cut off, so the
-expected shares of what is drawn are the target shares. The draw is a hash of id and text, so a repeated task draws the
-same and equal rows are kept or left together.
+stated number of passes. A document is drawn as often as its cell expects: the fitted weight per token, scaled to the
+budget. With ``repeats`` that may be more than once, so the whole budget is drawn: the whole part as copies for certain, the
+rest as a probability of one more. Without, the scale is the largest at which no document is expected more than once, if that is
+less than the budget. Nothing is cut off either way, so the expected shares of what is drawn are the target shares. The draw is
+a hash of id and text, so a repeated task draws the same and equal rows are drawn equally often.
 
 Only cells are raked, but their number grows with the sources, so passes are DataFrame aggregations (combined on the map
 side, joined to sums of one dimension); each pass is written, which keeps plans short.
@@ -31,12 +32,14 @@ DIMENSIONS = ("source", "lang", "topic")
 @dataclass(frozen=True)
 class Mix:
     """Target shares are ``share ** flatten`` of the given ones, by source, language and topic; ``budget`` is the share
-    of all tokens to draw at most. The flatter the targets, the less can be drawn at all. ``passes`` rounds of raking."""
+    of all tokens to draw, at most if without ``repeats``: the flatter the targets, the less can be drawn once.
+    ``passes`` rounds of raking."""
 
     flatten: tuple[float, float, float] = (0.85, 0.85, 0.95)
     budget: float = 1.0
     passes: int = 10
     seed: str = "mix-1"
+    repeats: bool = False
 
 
 def tokens(text: Column) -> Column:
@@ -86,22 +89,27 @@ def rake(cells: DataFrame, targets: list[DataFrame], mix: Mix) -> DataFrame:
 
 
 def probabilities(fitted: DataFrame, mix: Mix) -> DataFrame:
-    """``fitted`` and ``probability`` of a document of the cell, in proportion to the fitted weight of a token."""
+    """``fitted``, ``expected`` copies of a document of the cell, in proportion to the fitted weight of a token, and its
+    ``probability`` of being drawn at all."""
     rate = fitted.withColumn("rate", F.when(F.col("n") > 0, F.col("weight") / F.col("n")).otherwise(0.0))
     found = rate.agg(F.sum("n").alias("total"), F.max("rate").alias("most")).first()
-    scale = min(mix.budget * float(found["total"] or 0), 1 / found["most"] if found["most"] else 0.0)
-    return rate.withColumn("probability", F.least(F.lit(1.0), F.col("rate") * F.lit(scale))).drop("rate")
+    scale = mix.budget * float(found["total"] or 0)
+    if not mix.repeats:
+        scale = min(scale, 1 / found["most"] if found["most"] else 0.0)
+    # without repeats the fullest cell may come out at 1 + 2^-52
+    expected = F.col("rate") * F.lit(scale) if mix.repeats else F.least(F.lit(1.0), F.col("rate") * F.lit(scale))
+    return rate.withColumn("expected", expected).withColumn("probability", F.least(F.lit(1.0), "expected")).drop("rate")
 
 
 def residuals(mixed: DataFrame, targets: list[DataFrame], out: str = "mixed", source: str = "source",
               lang: str = "lang") -> DataFrame:
     """(dimension, member, target, expected, drawn) shares of tokens of what ``drawn`` returned: the expected ones by the
-    probabilities, the drawn ones by the draw."""
+    expected copies, the drawn ones by the draw."""
     rows = mixed.select(named(source).alias("source"), named(lang).alias("lang"), F.col(f"`{out}`.topic").alias("topic"),
-                        F.col(f"`{out}`.n_tokens").alias("n"), F.col(f"`{out}`.probability").alias("p"),
-                        F.col(f"`{out}`.sampled").alias("sampled"))
-    cells = rows.groupBy(*DIMENSIONS).agg(F.sum(F.col("n") * F.col("p")).alias("expected"),
-                                          F.sum(F.when(F.col("sampled"), F.col("n")).otherwise(0)).alias("drawn"))
+                        F.col(f"`{out}`.n_tokens").alias("n"), F.col(f"`{out}`.expected").alias("e"),
+                        F.col(f"`{out}`.copies").alias("copies"))
+    cells = rows.groupBy(*DIMENSIONS).agg(F.sum(F.col("n") * F.col("e")).alias("expected"),
+                                          F.sum(F.col("n") * F.col("copies")).alias("drawn"))
     cells = written(cells, "expected")
     all_of = cells.agg(F.sum("expected").alias("expected"), F.sum("drawn").alias("drawn")).first()
     parts = []
@@ -123,7 +131,8 @@ def _cells(docs: DataFrame, text: str, source: str, lang: str, topic: Column) ->
 def drawn(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text", source: str = "source",
           lang: str = "lang", topic: Column | None = None, targets: list[DataFrame] | None = None,
           out: str = "mixed") -> DataFrame:
-    """``docs`` and a struct ``out``: topic, n_tokens, weight (of one token, 1 as it is), probability, sampled.
+    """``docs`` and a struct ``out``: topic, n_tokens, weight (of one token, 1 as it is), probability of being drawn,
+    sampled, expected copies, copies.
 
     ``targets``: (member, target share) for source, language and topic; by default the flattened shares of ``docs``.
     """
@@ -134,22 +143,27 @@ def drawn(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "t
     total = float(cells.agg(F.sum("n")).first()[0] or 1)
     final = written(probabilities(fitted, mix), "probabilities").select(
         F.struct("source", "lang", "topic").alias("cell"), (F.when(F.col("n") > 0, F.col("weight") * total / F.col("n"))
-                                                            .otherwise(0.0)).alias("weight"), "probability")
+                                                            .otherwise(0.0)).alias("weight"), "probability", "expected")
     flat = final.select(F.col("cell.source").alias("s"), F.col("cell.lang").alias("l"), F.col("cell.topic").alias("t"),
-                        "weight", "probability")
+                        "weight", "probability", "expected")
     shown = free_name([*docs.columns, out], "topic_of_text")
     rows = docs.withColumn(shown, topic).alias("d")
     col = lambda name: F.col("d.`" + name.replace("`", "``") + "`")
     joined = rows.join(flat.alias("c"), col(source).eqNullSafe(F.col("c.s")) & col(lang).eqNullSafe(F.col("c.l"))
                        & col(shown).eqNullSafe(F.col("c.t")), "left")
-    draw = unit_draw(mix.seed, col(key), col(text))
+    draw, expected = unit_draw(mix.seed, col(key), col(text)), F.col("c.expected")
+    copies = F.floor(expected) + F.when(draw < expected - F.floor(expected), 1).otherwise(0)
     return joined.select(*[col(c) for c in docs.columns], F.struct(
         col(shown).alias("topic"), tokens(col(text)).alias("n_tokens"), F.col("c.weight").alias("weight"),
-        F.col("c.probability").alias("probability"), (draw < F.col("c.probability")).alias("sampled")).alias(out))
+        F.col("c.probability").alias("probability"), (draw < F.col("c.probability")).alias("sampled"), expected.alias("expected"),
+        copies.cast("long").alias("copies")).alias(out))
 
 
 def sample(docs: DataFrame, mix: Mix = Mix(), **columns) -> DataFrame:
-    """The rows of ``docs`` that are drawn, with their own columns."""
+    """The rows of ``docs`` that are drawn, each as often as it is, with their own columns."""
     out = free_name(docs.columns, "mixed")
-    rows = drawn(docs, mix, out=out, **columns)
-    return rows.filter(F.col(f"`{out}`.sampled")).select(*[named(c) for c in docs.columns])
+    rows = drawn(docs, mix, out=out, **columns).filter(F.col(f"`{out}`.sampled"))
+    if mix.repeats:
+        times = F.explode(F.array_repeat(F.lit(0), F.col(f"`{out}`.copies").cast("int")))
+        rows = rows.withColumn(free_name(rows.columns, "time"), times)
+    return rows.select(*[named(c) for c in docs.columns])
