@@ -47,6 +47,26 @@ def test_long_texts_are_encoded_piecewise(pair, monkeypatch):
     assert pair[0].encode(text).tolist() == peer_ids(pair[1], text)
 
 
+def test_new_words_are_cut_and_coded_together(pair, monkeypatch):
+    """One call of the pattern and one of the model for all new plain words of a group, none for known ones; same ids as
+    the library, also for letters whose lower case has to be the library's, when stores grow and when they start afresh."""
+    rng = random.Random(9)
+    letters = [chr(c) for c in [*range(0x21, 0x7f), *range(0xc0, 0x17f)] if chr(c) not in "×÷"]
+    texts = ["".join(letters), " ".join(letters), "", " ", "\n\t ", *["'ll " + " ".join("".join(rng.choices(letters, k=rng.randint(1, 9)))
+             for _ in range(300)) + rng.choice(["", " ", "\n", " 中文 ", " <|x|> "]) for _ in range(60)]]
+    want = [peer_ids(pair[1], t) for t in texts]
+    with open(PATH, "rb") as file:
+        coder = packing.Encoder(file.read())
+    calls, cut = [], coder.cut
+    coder.cut = lambda text: calls.append(text) or cut(text)
+    assert [i.tolist() for i in coder.encode_all(texts)] == want and len(calls) == 1
+    assert [i.tolist() for i in coder.encode_all(texts)] == want and len(calls) == 1
+    monkeypatch.setattr(packing, "CACHE_WORDS", 700)
+    monkeypatch.setattr(packing, "SLICE", 5000)
+    coder.words, coder.pieces = packing._Ids(), packing._Ids()
+    assert [i.tolist() for i in coder.encode_all(texts)] == want and len(calls) > 1
+
+
 def brute(places, penalty, costs, last):
     """Cost by the same rules over every pair of places."""
     at, best = [0, *places], [0]

@@ -21,13 +21,13 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
 from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +41,7 @@ CACHE_WORDS = 1_000_000
 SLICE, HORIZON, OPEN = 2_000_000, 1_000_000, 65_536
 #: Words whose pieces are known without the file's own normalizer: ASCII, and Latin letters that stay as they are
 #: under NFC and have one lower-case letter.
-PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ž]+")
+PLAIN = "^[\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ž]+$"
 
 
 @dataclass(frozen=True)
@@ -53,12 +53,49 @@ class Costs:
     inside: int = 64
 
 
+def _gathered(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``values`` one after the other."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _strings(column: pa.Array) -> list[str]:
+    """As ``to_pylist``, which makes an object of Arrow's for each value first."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+class _Ids:
+    """Ids of numbered strings in one growing array; the number 0 is the empty string."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {"": 0}
+        self.flat, self.used = np.empty(1 << 16, "<u4"), 0
+        self.begins, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+
+    def add(self, names: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Strings that are new, and their ids one after the other."""
+        count, end = len(self.number), self.used + len(ids)
+        while end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while count + len(names) > len(self.sizes):
+            self.begins, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.sizes))
+        self.flat[self.used:end] = ids
+        self.sizes[count:count + len(names)] = sizes
+        self.begins[count:count + len(names)] = self.used + np.cumsum(sizes) - sizes
+        self.number.update(zip(names, range(count, count + len(names)), strict=True))
+        self.used = end
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        return _gathered(self.flat, self.begins[numbers], self.sizes[numbers])
+
+
 class Encoder:
     """Ids of texts by a vocabulary file whose words end in a mark of their own and never reach over white space.
 
-    Words between spaces, tabs and newlines are encoded once each. A word of ``PLAIN`` characters is lowered and cut by
-    the file's own pattern, and new pieces go to the model together; any other word, and one that may hold a special
-    token, goes through the file's whole pipeline. Both give what the library gives for the text.
+    Words between spaces, tabs and newlines are numbered and encoded once each; a text's ids are gathered by the numbers of its
+    words. Words of ``PLAIN`` characters are lowered and cut by the file's own pattern, all new ones as one string, and new
+    pieces go to the model together; any other word, and one that may hold a special token, goes through the file's whole
+    pipeline. Both give what the library gives for the text.
     """
 
     def __init__(self, data: bytes):
@@ -69,7 +106,7 @@ class Encoder:
         spec = json.loads(data)
         self.whole = Tokenizer.from_str(data.decode())
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.cut = regex.compile(split["pattern"]["Regex"]).findall
+        self.cut = regex.compile(split["pattern"]["Regex"] + "| ").findall  # no piece has a space
         spec["normalizer"] = None
         spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
             {"type": "WhitespaceSplit"},
@@ -84,52 +121,60 @@ class Encoder:
             if token.endswith(mark):
                 self.word_ends[i] = True
                 self.sentence_ends[i] = token[:-len(mark)].rstrip("\"')]").endswith((".", "!", "?"))
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
-
-    def _cut(self, word: str) -> tuple[str, ...] | list[str] | None:
-        """Pieces of a word, None if it has to go through the whole pipeline."""
-        if not PLAIN.fullmatch(word):
-            return None
-        if word.isalpha():
-            return (word.lower(),)
-        if word[-1] in ".,;:!?" and word[:-1].isalpha():
-            return word[:-1].lower(), word[-1]
-        return None if "<|" in word else self.cut(word.lower())
-
-    def _fill(self, new: set[str]) -> None:
-        cuts = {word: self._cut(word) for word in new}
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces = {}
-        missing = list({piece for cut in cuts.values() if cut for piece in cut}.difference(self.pieces))
-        for start in range(0, len(missing), 2000):
-            part = missing[start:start + 2000]
-            ids = np.array(self.merger.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            raw, at = ids.tobytes(), 0
-            for piece, end in zip(part, (4 * (np.flatnonzero(self.word_ends[ids]) + 1)).tolist(), strict=True):
-                self.pieces[piece] = raw[at:end]
-                at = end
-        others = []
-        for word, cut in cuts.items():
-            if cut is None:
-                others.append(word)
-            else:
-                self.words[word] = self.pieces[cut[0]] if len(cut) == 1 else b"".join(map(self.pieces.__getitem__, cut))
+        self.words, self.pieces = _Ids(), _Ids()
+
+    def _fill_pieces(self, new: list[str]) -> None:
+        for start in range(0, len(new), 2000):
+            part = new[start:start + 2000]
+            ids = np.array(self.merger.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            sizes = np.diff(np.flatnonzero(self.word_ends[ids]), prepend=-1)
+            if len(sizes) != len(part):
+                raise ValueError("a piece has to end in the vocabulary's mark once")
+            self.pieces.add(part, sizes, ids)
+
+    def _fill(self, new: list[str]) -> None:
+        """Encodes words that were not there before."""
+        column = pa.array(new, pa.large_string())
+        plain = pc.and_not(pc.match_substring_regex(column, PLAIN), pc.match_substring(column, "<|"))
+        words, others = _strings(column.filter(plain)), _strings(column.filter(pc.invert(plain)))
+        if words:
+            pieces = pa.array(self.cut(" ".join(words).lower()), pa.large_string()).dictionary_encode()
+            names = _strings(pieces.dictionary)
+            missing = [x for x in names if x not in self.pieces.number and x != " "]
+            if len(self.pieces.number) + len(missing) > CACHE_WORDS:
+                self.pieces = _Ids()
+                missing = [x for x in names if x != " "]
+            self._fill_pieces(missing)
+            numbers = np.array([-1 if x == " " else self.pieces.number[x] for x in names], np.int64)[pieces.indices.to_numpy()]
+            gaps = numbers < 0
+            numbers = np.where(gaps, 0, numbers)
+            # ids of a word: what lies between the gaps before and behind it
+            upto = np.concatenate([[0], np.cumsum(self.pieces.sizes[numbers])])
+            ends = np.append(upto[np.flatnonzero(gaps)], upto[-1])
+            self.words.add(words, np.diff(ends, prepend=0), self.pieces.of(numbers))
         for start in range(0, len(others), 1000):
             part = others[start:start + 1000]
-            for word, coded in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.words[word] = np.array(coded.ids, "<u4").tobytes()
+            coded = [c.ids for c in self.whole.encode_batch_fast(part, add_special_tokens=False)]
+            self.words.add(part, np.array([len(c) for c in coded], np.int64), np.array([i for c in coded for i in c], "<u4"))
 
-    def _group(self, texts: list[str]) -> list[bytes]:
+    def _group(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts of a bounded size; the words that none of them had before are encoded together."""
-        split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-        new = set().union(*split).difference(self.words)
-        if new and len(self.words) + len(new) > CACHE_WORDS:
-            self.words = {"": b""}
-            new = set().union(*split).difference(self.words)
+        column = pa.array(texts, pa.large_string())
+        for mark in "\n\t":
+            column = pc.replace_substring(column, mark, " ")
+        split = pc.split_pattern(column, " ")
+        words = split.flatten().dictionary_encode()
+        names = _strings(words.dictionary)
+        new = [x for x in names if x not in self.words.number]
+        if new and len(self.words.number) + len(new) > CACHE_WORDS:
+            self.words = _Ids()
+            new = [x for x in names if x]
         if new:
             self._fill(new)
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        numbers = np.array([self.words.number[x] for x in names], np.int64)[words.indices.to_numpy()]
+        upto = np.concatenate([[0], np.cumsum(self.words.sizes[numbers])])
+        ends = upto[np.cumsum(pc.list_value_length(split).to_numpy())]
+        return np.split(self.words.of(numbers), ends[:-1])
 
     def encode(self, text: str | None) -> np.ndarray:
         text, parts, at = text or "", [], 0
@@ -139,7 +184,7 @@ class Encoder:
                 end = min((x for x in (text.find(c, at + SLICE) for c in " \n\t") if x >= 0), default=end)
             parts += self._group([text[at:end]])
             at = end
-        return np.frombuffer(b"".join(parts), "<u4")
+        return np.concatenate(parts) if parts else np.empty(0, "<u4")
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text in order. Short texts are encoded in groups."""
@@ -148,13 +193,13 @@ class Encoder:
             if len(text or "") < SLICE // 4:
                 held.append(text or "")
                 size += len(held[-1])
-            if held and (size >= SLICE // 4 or len(text or "") >= SLICE // 4):
-                yield from (np.frombuffer(ids, "<u4") for ids in self._group(held))
+            if held and (size >= SLICE or len(text or "") >= SLICE // 4):
+                yield from self._group(held)
                 held, size = [], 0
             if len(text or "") >= SLICE // 4:
                 yield self.encode(text)
         if held:
-            yield from (np.frombuffer(ids, "<u4") for ids in self._group(held))
+            yield from self._group(held)
 
 
 @functools.lru_cache(maxsize=2)
