@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .frames import named
 
 #: Distinct words and pieces that a worker keeps encoded; beyond that it starts afresh.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 #: Characters of a text that are encoded at once, tokens that are laid out at once, and the tokens at their end that stay open.
 SLICE, HORIZON, OPEN = 2_000_000, 1_000_000, 65_536
 #: Words whose pieces are known without the file's own normalizer: ASCII, and Latin letters that stay as they are
