@@ -67,6 +67,21 @@ def test_new_words_are_cut_and_coded_together(pair, monkeypatch):
     assert [i.tolist() for i in coder.encode_all(texts)] == want and len(calls) > 1
 
 
+def test_a_full_store_keeps_the_words_at_hand(pair, monkeypatch):
+    """Words of every text are encoded once, however often rare ones fill the store; same ids as the library."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 60)
+    with open(PATH, "rb") as file:
+        coder = packing.Encoder(file.read())
+    counts, fill, fill_pieces = {"words": [], "pieces": []}, coder._fill, coder._fill_pieces
+    monkeypatch.setattr(coder, "_fill", lambda new: counts["words"].append(len(new)) or fill(new))
+    monkeypatch.setattr(coder, "_fill_pieces", lambda new: counts["pieces"].append(len(new)) or fill_pieces(new))
+    for n in range(30):
+        text = " ".join(["The end.", "中文", *(f"common{chr(97 + i)}" for i in range(17)), *(f"rare{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + i)}" for i in range(20))])
+        assert coder.encode(text).tolist() == peer_ids(pair[1], text)
+    assert counts["words"] == [40] + 29 * [20]
+    assert counts["pieces"] == [40] + 29 * [20]
+
+
 def brute(places, penalty, costs, last):
     """Cost by the same rules over every pair of places."""
     at, best = [0, *places], [0]

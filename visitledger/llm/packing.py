@@ -22,7 +22,7 @@ import functools
 import json
 import os
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,10 +35,10 @@ from pyspark.sql import types as T
 
 from .frames import named
 
-#: Distinct words and pieces that a worker keeps encoded; beyond that it starts afresh.
+#: Distinct words and pieces that a worker keeps encoded; beyond that it keeps those of the texts at hand.
 CACHE_WORDS = 500_000
 #: Characters of a text that are encoded at once, tokens that are laid out at once, and the tokens at their end that stay open.
-SLICE, HORIZON, OPEN = 2_000_000, 1_000_000, 65_536
+SLICE, HORIZON, OPEN = 4_000_000, 1_000_000, 65_536
 #: Words whose pieces are known without the file's own normalizer: ASCII, and Latin letters that stay as they are
 #: under NFC and have one lower-case letter.
 PLAIN = "^[\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ž]+$"
@@ -65,16 +65,17 @@ def _strings(column: pa.Array) -> list[str]:
 
 
 class _Ids:
-    """Ids of numbered strings in one growing array; the number 0 is the empty string."""
+    """Ids of numbered strings in one growing array; the number 0 is the empty string. Strings are looked up by Arrow, many at
+    once, so that there is no Python object for a word."""
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {"": 0}
+        self.names = pa.array([""], pa.large_string())
         self.flat, self.used = np.empty(1 << 16, "<u4"), 0
         self.begins, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
-    def add(self, names: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, names: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
         """Strings that are new, and their ids one after the other."""
-        count, end = len(self.number), self.used + len(ids)
+        count, end = len(self.names), self.used + len(ids)
         while end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         while count + len(names) > len(self.sizes):
@@ -82,9 +83,34 @@ class _Ids:
         self.flat[self.used:end] = ids
         self.sizes[count:count + len(names)] = sizes
         self.begins[count:count + len(names)] = self.used + np.cumsum(sizes) - sizes
-        self.number.update(zip(names, range(count, count + len(names)), strict=True))
+        self.names = pa.concat_arrays([self.names, names])
         self.used = end
 
+    def numbers(self, names: pa.Array) -> np.ndarray:
+        """The number of each string, -1 for those that are not there."""
+        return pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy().copy()
+
+    def known(self, names: pa.Array, fill: Callable[[pa.Array], np.ndarray]) -> np.ndarray:
+        """The number of each of some different strings. ``fill`` adds new ones and says in which order."""
+        numbers = self.numbers(names)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            if len(self.names) + len(missing) > CACHE_WORDS:
+                numbers = self._kept(numbers)
+            first = len(self.names)
+            numbers[missing[fill(names.take(pa.array(missing)))]] = np.arange(first, first + len(missing))
+        return numbers
+
+    def _kept(self, numbers: np.ndarray) -> np.ndarray:
+        """Forgets all strings but those of these numbers, and returns their new numbers."""
+        there = np.flatnonzero(numbers > 0)
+        old = numbers[there]
+        names, sizes, ids = self.names.take(pa.array(old)), self.sizes[old], self.of(old)
+        self.__init__()
+        self.add(names, sizes, ids)
+        numbers[there] = np.arange(1, len(there) + 1)
+        return numbers
+
     def of(self, numbers: np.ndarray) -> np.ndarray:
         return _gathered(self.flat, self.begins[numbers], self.sizes[numbers])
 
@@ -93,20 +119,19 @@ class Encoder:
     """Ids of texts by a vocabulary file whose words end in a mark of their own and never reach over white space.
 
     Words between spaces, tabs and newlines are numbered and encoded once each; a text's ids are gathered by the numbers of its
-    words. Words of ``PLAIN`` characters are lowered and cut by the file's own pattern, all new ones as one string, and new
+    words. Words of ``PLAIN`` characters are lowered and cut by the file's own pattern, all new ones in one call, and new
     pieces go to the model together; any other word, and one that may hold a special token, goes through the file's whole
     pipeline. Both give what the library gives for the text.
     """
 
     def __init__(self, data: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        import regex
         from tokenizers import Tokenizer
 
         spec = json.loads(data)
         self.whole = Tokenizer.from_str(data.decode())
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.cut = regex.compile(split["pattern"]["Regex"] + "| ").findall  # no piece has a space
+        self.pattern = split["pattern"]["Regex"]
         spec["normalizer"] = None
         spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
             {"type": "WhitespaceSplit"},
@@ -123,39 +148,40 @@ class Encoder:
                 self.sentence_ends[i] = token[:-len(mark)].rstrip("\"')]").endswith((".", "!", "?"))
         self.words, self.pieces = _Ids(), _Ids()
 
-    def _fill_pieces(self, new: list[str]) -> None:
-        for start in range(0, len(new), 2000):
-            part = new[start:start + 2000]
-            ids = np.array(self.merger.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            sizes = np.diff(np.flatnonzero(self.word_ends[ids]), prepend=-1)
-            if len(sizes) != len(part):
+    def cut(self, words: pa.Array) -> pa.Array:
+        """Pieces of lowered plain words, each followed by a space; by Arrow's regular expressions, which take the first
+        alternative that fits as the library's do, and know the same letters and digits among plain characters."""
+        return pc.replace_substring_regex(words, self.pattern, r"\0 ")
+
+    def _fill_pieces(self, new: pa.Array) -> np.ndarray:
+        names, coded, sizes = _strings(new), [], []
+        for start in range(0, len(names), 2000):
+            part = names[start:start + 2000]
+            coded.append(np.array(self.merger.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4"))
+            sizes.append(np.diff(np.flatnonzero(self.word_ends[coded[-1]]), prepend=-1))
+            if len(sizes[-1]) != len(part):
                 raise ValueError("a piece has to end in the vocabulary's mark once")
-            self.pieces.add(part, sizes, ids)
-
-    def _fill(self, new: list[str]) -> None:
-        """Encodes words that were not there before."""
-        column = pa.array(new, pa.large_string())
-        plain = pc.and_not(pc.match_substring_regex(column, PLAIN), pc.match_substring(column, "<|"))
-        words, others = _strings(column.filter(plain)), _strings(column.filter(pc.invert(plain)))
-        if words:
-            pieces = pa.array(self.cut(" ".join(words).lower()), pa.large_string()).dictionary_encode()
-            names = _strings(pieces.dictionary)
-            missing = [x for x in names if x not in self.pieces.number and x != " "]
-            if len(self.pieces.number) + len(missing) > CACHE_WORDS:
-                self.pieces = _Ids()
-                missing = [x for x in names if x != " "]
-            self._fill_pieces(missing)
-            numbers = np.array([-1 if x == " " else self.pieces.number[x] for x in names], np.int64)[pieces.indices.to_numpy()]
-            gaps = numbers < 0
-            numbers = np.where(gaps, 0, numbers)
-            # ids of a word: what lies between the gaps before and behind it
+        self.pieces.add(new, np.concatenate(sizes), np.concatenate(coded))
+        return np.arange(len(new))
+
+    def _fill(self, new: pa.Array) -> np.ndarray:
+        """Encodes words that were not there before, plain ones first."""
+        plain = pc.and_not(pc.match_substring_regex(new, PLAIN), pc.match_substring(new, "<|"))
+        words, others = new.filter(plain), new.filter(pc.invert(plain))
+        if len(words):
+            split = pc.split_pattern(self.cut(pc.utf8_lower(words)), " ")
+            pieces = split.flatten().dictionary_encode()
+            numbers = self.pieces.known(pieces.dictionary, self._fill_pieces)[pieces.indices.to_numpy()]
             upto = np.concatenate([[0], np.cumsum(self.pieces.sizes[numbers])])
-            ends = np.append(upto[np.flatnonzero(gaps)], upto[-1])
+            ends = upto[np.cumsum(pc.list_value_length(split).to_numpy())]
             self.words.add(words, np.diff(ends, prepend=0), self.pieces.of(numbers))
+        coded, sizes = [np.empty(0, "<u4")], []
         for start in range(0, len(others), 1000):
-            part = others[start:start + 1000]
-            coded = [c.ids for c in self.whole.encode_batch_fast(part, add_special_tokens=False)]
-            self.words.add(part, np.array([len(c) for c in coded], np.int64), np.array([i for c in coded for i in c], "<u4"))
+            part = [c.ids for c in self.whole.encode_batch_fast(_strings(others[start:start + 1000]), add_special_tokens=False)]
+            coded.append(np.array([i for ids in part for i in ids], "<u4"))
+            sizes += [len(ids) for ids in part]
+        self.words.add(others, np.array(sizes, np.int64), np.concatenate(coded))
+        return np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts of a bounded size; the words that none of them had before are encoded together."""
@@ -164,14 +190,7 @@ class Encoder:
             column = pc.replace_substring(column, mark, " ")
         split = pc.split_pattern(column, " ")
         words = split.flatten().dictionary_encode()
-        names = _strings(words.dictionary)
-        new = [x for x in names if x not in self.words.number]
-        if new and len(self.words.number) + len(new) > CACHE_WORDS:
-            self.words = _Ids()
-            new = [x for x in names if x]
-        if new:
-            self._fill(new)
-        numbers = np.array([self.words.number[x] for x in names], np.int64)[words.indices.to_numpy()]
+        numbers = self.words.known(words.dictionary, self._fill)[words.indices.to_numpy()]
         upto = np.concatenate([[0], np.cumsum(self.words.sizes[numbers])])
         ends = upto[np.cumsum(pc.list_value_length(split).to_numpy())]
         return np.split(self.words.of(numbers), ends[:-1])
@@ -232,21 +251,25 @@ def layout(places: np.ndarray, penalty: np.ndarray, costs: Costs, last: bool) ->
     upto = np.cumsum(np.bincount(np.concatenate(leads), minlength=len(at))).tolist()
     position, price = at.tolist(), [0, *np.asarray(penalty).tolist()]
     best, came, inside = [0] * len(at), [0] * len(at), [False] * len(at)
-    queue = deque([0])  # best + position rises along it
+    level = [0] * len(at)  # best + position, which rises along the queue
+    queue = deque([0])
+    done = 0
     for j in range(1, len(position)):
         end = position[j]
         while queue and position[queue[0]] < end - width:
             queue.popleft()
         if queue:
             i = queue[0]
-            least = best[i] + width - end + position[i]
+            least = level[i] + width - end
         else:  # no place within a sequence of this one
             i = j - 1
             least = best[i] + costs.inside * (len(powers(end - position[i], width)) - 1)
             inside[j] = True
-        for k in exact[upto[j - 1]:upto[j]]:
-            if best[k] < least or best[k] == least and inside[j]:
-                i, least, inside[j] = k, best[k], False
+        if upto[j] > done:
+            for k in exact[done:upto[j]]:
+                if best[k] < least or best[k] == least and inside[j]:
+                    i, least, inside[j] = k, best[k], False
+            done = upto[j]
         if last and j == len(position) - 1:
             for k in range(j - 1, -1, -1):
                 if position[k] < end - width:
@@ -254,9 +277,10 @@ def layout(places: np.ndarray, penalty: np.ndarray, costs: Costs, last: bool) ->
                 split = best[k] + costs.inside * (len(powers(end - position[k], width)) - 1)
                 if split < least:
                     i, least, inside[j] = k, split, True
-        best[j], came[j] = least + price[j], i
-        level = best[j] + end
-        while queue and best[queue[-1]] + position[queue[-1]] >= level:
+        best[j] = least = least + price[j]
+        came[j] = i
+        level[j] = least = least + end
+        while queue and level[queue[-1]] >= least:
             queue.pop()
         queue.append(j)
     cuts, j = [], len(position) - 1
